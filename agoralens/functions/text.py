@@ -27,9 +27,7 @@ def word_count(text) -> Column:
 
 def is_blank(text) -> Column:
     """True for a text that is empty or white space only, null for a null text."""
-    return ~F.col(text).rlike(f"[^{fv.SPACE_CLASS}]") if isinstance(text, str) else ~text.rlike(
-        f"[^{fv.SPACE_CLASS}]"
-    )
+    return ~F.rlike(text, F.lit(f"[^{fv.SPACE_CLASS}]"))
 
 
 def with_text_counts(df, text="text"):
@@ -107,4 +105,4 @@ def normal_label(label) -> Column:
 
 def percent_text(value) -> Column:
     """A percentage with one decimal, halves rounded to even on the exact binary value."""
-    return F.format_number(value, "0.0")
+    return F.call_function("format_number", value, F.lit("0.0"))

@@ -44,7 +44,10 @@ def _per_class(df, true, predicted):
                     F.when(same, F.col("count")).otherwise(0).alias("hits"),
                 ),
                 F.struct(
-                    F.col("predicted_label"), F.lit(0).cast("long"), F.col("count"), F.lit(0).cast("long")
+                    F.col("predicted_label").alias("label"),
+                    F.lit(0).cast("long").alias("support"),
+                    F.col("count").alias("predicted"),
+                    F.lit(0).cast("long").alias("hits"),
                 ),
             )
         )
@@ -112,7 +115,7 @@ def distribution_compare(df: DataFrame, true: str, predicted: str) -> DataFrame:
     """Rows per label before and after classification, by label."""
     sides = F.array(
         F.struct(F.col(true).alias("label"), F.lit(1).alias("o"), F.lit(0).alias("p")),
-        F.struct(F.col(predicted), F.lit(0), F.lit(1)),
+        F.struct(F.col(predicted).alias("label"), F.lit(0).alias("o"), F.lit(1).alias("p")),
     )
     return (
         df.select(F.inline(sides))

@@ -180,12 +180,9 @@ def quality_report(topics, opinions, conclusions, key="topic_id", text="text") -
     parts = []
     for name, df in (("topics", topics), ("opinions", opinions), ("conclusions", conclusions)):
         nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
-        entries = [F.struct(F.lit("missing_values").alias("check"), F.col("nulls").alias("value"))]
+        checks = {"missing_values": "nulls"}
         if name != "conclusions":
-            entries += [
-                F.struct(F.lit("blank_texts"), F.col("blank")),
-                F.struct(F.lit("short_texts"), F.col("short")),
-            ]
+            checks |= {"blank_texts": "blank", "short_texts": "short"}
             parts.append(
                 duplicate_rows(df).select(
                     F.lit("duplicate_rows").alias("check"),
@@ -193,6 +190,9 @@ def quality_report(topics, opinions, conclusions, key="topic_id", text="text") -
                     F.col("duplicates").alias("value"),
                 )
             )
+        entries = [
+            F.struct(F.lit(check).alias("check"), F.col(c).alias("value")) for check, c in checks.items()
+        ]
         counts = df.agg(
             nulls.alias("nulls"),
             F.count_if(is_blank(F.col(text))).alias("blank"),

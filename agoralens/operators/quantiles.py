@@ -11,24 +11,26 @@ def exact_quantiles(df: DataFrame, value: str, shares, group: str | None = None)
 
     The built-in exact percentile keeps every distinct value of a group in one task. Here an
     approximate percentile, whose rank error is known, first brackets each quantile. Values
-    below a bracket are only counted. Values inside it, about 4 in ``ACCURACY`` of the
-    group, are ranked, equal values folded into one row. ``group`` is for a flag or a small
-    set of classes. Null values and null groups are left out.
+    below a bracket are only counted. Values inside it, about 8 in ``ACCURACY`` of the
+    group, are ranked, equal values folded into one row. A group of up to ``ACCURACY`` rows
+    is ranked whole. ``group`` is for a flag or a small set of classes. Null values and null
+    groups are left out.
     """
     g = F.col(group) if group else F.lit(0)
     rows = df.select(g.alias("_g"), F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & F.col("_g").isNotNull()
     )
-    slack = 2.0 / ACCURACY
+    slack = 4.0 / ACCURACY
     edges = [x for q in shares for x in (max(0.0, q - slack), min(1.0, q + slack))]
+    small = F.col("n") <= ACCURACY
     parts = F.array(
         *[
             F.struct(
                 F.lit(float(q)).alias("share"),
-                F.when(F.lit(q <= slack), F.lit(float("-inf")))
+                F.when(small | F.lit(q <= slack), F.lit(float("-inf")))
                 .otherwise(F.col("_p")[2 * i])
                 .alias("lo"),
-                F.when(F.lit(q >= 1 - slack), F.lit(float("inf")))
+                F.when(small | F.lit(q >= 1 - slack), F.lit(float("inf")))
                 .otherwise(F.col("_p")[2 * i + 1])
                 .alias("hi"),
             )
