@@ -55,40 +55,6 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(fv.TOKEN_PATTERN), F.lit(0))
 
 
-def bucket(token, dim: int) -> Column:
-    """The vector position of a token: the first 28 bits of its MD5, modulo ``dim``."""
-    return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("int") % dim
-
-
-def bucket_counts(text, dim: int) -> Column:
-    """``ARRAY<STRUCT<bucket, tf>>`` of a text, in bucket order.
-
-    Sorting the buckets of one text and cutting them into runs keeps the count narrow:
-    no token leaves its row, so no shuffle is needed.
-    """
-
-    def runs(s):
-        def starts_run(i):
-            return (i == 0) | (s[i] != s[F.greatest(i - 1, F.lit(0))])
-
-        positions = F.filter(F.sequence(F.lit(0), F.size(s) - 1), starts_run)
-
-        def cut(p):
-            return F.transform(
-                p,
-                lambda at, j: F.struct(
-                    s[at].alias("bucket"),
-                    (F.coalesce(F.get(p, j + 1), F.size(s)) - at).alias("tf"),
-                ),
-            )
-
-        return F.when(F.size(s) > 0, let(positions, cut)).otherwise(
-            F.array().cast("array<struct<bucket:int,tf:int>>")
-        )
-
-    return let(F.sort_array(F.transform(tokens(text), lambda t: bucket(t, dim))), runs)
-
-
 def sentences(text) -> Column:
     """Trimmed sentences of a text without the blank ones."""
     edge = f"^[{fv.SPACE_CLASS}]+|[{fv.SPACE_CLASS}]+$"

@@ -4,85 +4,116 @@
 functions. ``model_encoder`` wraps a model that maps a list of texts to dense vectors.
 """
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agoralens.functions.text import bucket_counts, let
+from agoralens.functions.text import tokens
 
 SPARSE = "struct<indices:array<int>,values:array<double>>"
 
 
+def bucket_of(token: str, dim: int) -> int:
+    """The vector position of a token: the first 28 bits of its MD5, modulo ``dim``."""
+    return int(hashlib.md5(token.encode()).hexdigest()[:7], 16) % dim
+
+
+def count_buckets(words, dim):
+    """Rows, buckets and counts of an Arrow batch of token lists, in row and bucket order.
+
+    Each distinct token of the batch is hashed once.
+    """
+    sizes = np.diff(words.offsets.to_numpy())
+    sizes = np.where(words.is_valid(), sizes, 0)
+    flat = words.flatten().dictionary_encode()
+    places = np.array([bucket_of(t, dim) for t in flat.dictionary.to_pylist()], dtype=np.int64)
+    codes = flat.indices.to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(words)), sizes)
+    keys, counts = np.unique(rows * dim + places[codes], return_counts=True)
+    return keys // dim, keys % dim, counts
+
+
 class TfIdfEncoder:
     """Hashed TF-IDF with a fixed number of buckets.
 
-    The fitted state is one weight per bucket, so its size is ``dim`` whatever the corpus.
+    Texts are cut into tokens inside the JVM. Counting them per text needs a loop over
+    arrays, which Spark interprets element by element, so that part runs on whole Arrow
+    batches. No token leaves its row, so nothing is shuffled. The fitted state is one weight
+    per bucket: its size is ``dim`` whatever the corpus.
     """
 
-    def __init__(self, spark: SparkSession, idf: list[float]):
+    def __init__(self, spark: SparkSession, idf):
         self.spark = spark
-        self.idf = idf
-        self.dim = len(idf)
+        self.idf = np.asarray(idf, dtype=np.float64)
+        self.dim = len(self.idf)
 
     @classmethod
     def fit(cls, corpus: DataFrame, text="text", dim=4096) -> "TfIdfEncoder":
-        """One pass over the corpus; each task sends at most ``dim`` + 1 counts."""
-        spark = corpus.sparkSession
-        # Bucket -1 is met once in every text, so its count is the number of texts.
-        present = F.concat(
-            F.array(F.lit(-1)), F.transform(bucket_counts(F.coalesce(text, F.lit("")), dim), lambda x: x["bucket"])
+        """One pass over the corpus; a batch sends at most ``dim`` + 1 counts."""
+
+        def count(batches):
+            for batch in batches:
+                _, buckets, _ = count_buckets(batch.column("words"), dim)
+                texts_with = np.bincount(buckets, minlength=dim)
+                met = np.flatnonzero(texts_with)
+                # Bucket -1 carries the number of texts.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.append(met, -1).astype(np.int32)),
+                        pa.array(np.append(texts_with[met], batch.num_rows).astype(np.int64)),
+                    ],
+                    names=["bucket", "texts"],
+                )
+
+        counts = (
+            corpus.select(tokens(F.col(text)).alias("words"))
+            .mapInArrow(count, "bucket int, texts long")
+            .groupBy("bucket")
+            .agg(F.sum("texts").alias("texts"))
         )
-        df = corpus.select(F.explode_outer(present).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
-        counts = {r["b"]: r["n"] for r in df.collect()}
-        n = counts.get(-1, 0)
-        return cls(spark, [float(np.log((n + 1) / (counts.get(b, 0) + 1))) for b in range(dim)])
-
-    def weights(self) -> Column:
-        """The bucket weights as a column."""
-        return self.spark.createDataFrame([(self.idf,)], "idf array<double>").scalar()
-
-    def weight_table(self) -> DataFrame:
-        """The bucket weights as a table of ``dim`` rows."""
-        rows = [(b, w) for b, w in enumerate(self.idf)]
-        return self.spark.createDataFrame(rows, "bucket int, idf double")
+        found = {r["bucket"]: r["texts"] for r in counts.collect()}
+        n = found.get(-1, 0)
+        return cls(corpus.sparkSession, [np.log((n + 1) / (found.get(b, 0) + 1)) for b in range(dim)])
 
     def __call__(self, df: DataFrame, text="text") -> DataFrame:
-        with_idf = df.withColumn("_idf", self.weights())
-
-        def weigh(counts):
-            return F.transform(
-                counts,
-                lambda x: F.struct(
-                    x["bucket"].alias("bucket"), (x["tf"] * F.get("_idf", x["bucket"])).alias("w")
-                ),
+        """Adds the unit ``vector``; null for a null text and for one without weight."""
+        idf, dim = self.idf, self.dim
+
+        @F.arrow_udf(SPARSE)
+        def embed(words: pa.Array) -> pa.Array:
+            rows, buckets, counts = count_buckets(words, dim)
+            weights = counts * idf[buckets]
+            lengths = np.sqrt(np.bincount(rows, weights**2, minlength=len(words)))
+            sizes = np.bincount(rows, minlength=len(words))
+            known = lengths > 0
+            kept = known[rows]
+            offsets = pa.array(np.append(0, np.cumsum(np.where(known, sizes, 0))).astype(np.int32))
+            indices = pa.array(buckets[kept].astype(np.int32))
+            values = pa.array(weights[kept] / lengths[rows[kept]])
+            return pa.StructArray.from_arrays(
+                [pa.ListArray.from_arrays(offsets, x) for x in (indices, values)],
+                names=["indices", "values"],
+                mask=pa.array(~known),
             )
 
-        def unit(w):
-            square = F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
-            return let(
-                F.sqrt(square),
-                lambda n: F.when(
-                    n > 0,
-                    F.struct(
-                        F.transform(w, lambda x: x["bucket"]).alias("indices"),
-                        F.transform(w, lambda x: x["w"] / n).alias("values"),
-                    ),
-                ),
-            )
+        return df.withColumn("vector", embed(tokens(F.col(text))))
 
-        vector = let(weigh(bucket_counts(text, self.dim)), unit).cast(SPARSE)
-        return with_idf.withColumn("vector", vector).drop("_idf")
+    def weight_table(self) -> DataFrame:
+        """The bucket weights as a table of ``dim`` rows."""
+        rows = [(b, float(w)) for b, w in enumerate(self.idf)]
+        return self.spark.createDataFrame(rows, "bucket int, idf double")
 
     def save(self, path: str) -> None:
         self.weight_table().coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TfIdfEncoder":
-        rows = sorted(spark.read.parquet(path).collect())
-        return cls(spark, [r["idf"] for r in rows])
+        return cls(spark, [r["idf"] for r in sorted(spark.read.parquet(path).collect())])
 
 
 def model_encoder(make_model, batch_size=32):

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from agoralens import fixed_values as fv
 from agoralens.functions import vectors
 from agoralens.functions.vectors import SCORE_DIGITS
-from agoralens.session import shared_folder
+from agoralens.session import settled
 
 SCALE = 10**SCORE_DIGITS
 CHUNK_BYTES = 32 << 20
@@ -243,7 +243,6 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
     It then visits every cell whose bound reaches its k-th score so far.
     """
     spark = topics.sparkSession
-    shared_folder(spark)
     known = topics.select("point_id", "topic_id", vectors.l2_normalise("vector").alias("vector")).filter(
         "vector is not null"
     )
@@ -269,7 +268,8 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
     placed = known.mapInArrow(
         place_topics,
         T.StructType(known.schema.fields + [_field("cell", "int"), _field("far", "double")]),
-    ).checkpoint()
+    )
+    placed = settled(placed, "topic-cells")
     # One row per cell, at most n_cells of them.
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r")).collect()
     radius = np.full(len(centres.value), -np.inf)
@@ -300,7 +300,8 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
     bounded = rows.mapInArrow(
         bound_cells,
         T.StructType(rows.schema.fields + [_field("home", "int"), _field("bounds", "array<double>")]),
-    ).checkpoint()
+    )
+    bounded = settled(bounded, "opinion-bounds")
 
     def visit(probes):
         """Score (opinion, cell) visits, each cell cut into blocks and its visitors into chunks."""
@@ -332,9 +333,8 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
         )
         return _block_hits(left, right, k, dim)
 
-    first = visit(
-        bounded.filter("home is not null").select("opinion_id", "vector", F.col("home").alias("cell"))
-    ).checkpoint()
+    at_home = bounded.filter("home is not null").select("opinion_id", "vector", F.col("home").alias("cell"))
+    first = settled(visit(at_home), "first-hits")
     reached = first.groupBy("opinion_id").agg(
         F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(-2.0)).alias("kth")
     )
@@ -346,8 +346,8 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
         .select("opinion_id", "vector", "home", "kth", F.posexplode("bounds").alias("cell", "bound"))
         .filter((F.col("cell") != F.col("home")) & (F.col("bound") > -2) & (F.col("bound") >= F.col("kth") - margin))
         .select("opinion_id", "vector", "cell")
-        .checkpoint()
     )
+    others = settled(others, "visits")
     best = _merge(first.unionByName(visit(others)), k)
     return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
 

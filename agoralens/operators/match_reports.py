@@ -7,6 +7,7 @@ from agoralens import fixed_values as fv
 from agoralens.functions.lookup import one_row_map
 from agoralens.operators.profile import histogram
 from agoralens.operators.quantiles import exact_quantiles
+from agoralens.session import settled
 
 
 def below_threshold(matches: DataFrame, threshold=fv.MATCH_THRESHOLD) -> DataFrame:
@@ -74,17 +75,21 @@ def score_by_correctness(df: DataFrame, score="similarity_score", correct="is_co
 
 
 def box_statistics(df: DataFrame, score="similarity_score", correct="is_correct") -> DataFrame:
-    """Quartiles, whiskers at 1.5 quartile ranges and outlier count of right and wrong rows."""
-    quarters = exact_quantiles(df, score, (0.25, 0.5, 0.75), correct)
-    per_flag = quarters.groupBy(correct).agg(
-        F.map_from_entries(F.collect_list(F.struct("share", "quantile"))).alias("q")
+    """Quartiles, whiskers at 1.5 quartile ranges and outlier count of right and wrong rows.
+
+    Flag and score are stored first, because the quartiles need several passes over them.
+    """
+    flags = df.select(F.col(correct).alias("is_correct"), F.col(score).cast("double").alias("v"))
+    flags = settled(flags.filter("v is not null and is_correct is not null"), "scores")
+    per_flag = (
+        exact_quantiles(flags, "v", (0.25, 0.5, 0.75), "is_correct")
+        .groupBy("is_correct")
+        .agg(F.map_from_entries(F.collect_list(F.struct("share", "quantile"))).alias("q"))
     )
-    lookup = one_row_map(per_flag, correct, "q")
+    lookup = one_row_map(per_flag, "is_correct", "q")
     q = {n: F.col("q")[F.lit(s)] for n, s in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
     rows = (
-        df.select(F.col(correct).alias("is_correct"), F.col(score).cast("double").alias("v"))
-        .filter("v is not null and is_correct is not null")
-        .withColumn("q", lookup[F.col("is_correct")])
+        flags.withColumn("q", lookup[F.col("is_correct")])
         .select("is_correct", "v", *[c.alias(n) for n, c in q.items()])
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
@@ -95,19 +100,27 @@ def box_statistics(df: DataFrame, score="similarity_score", correct="is_correct"
         *[F.max(n).alias(n) for n in ("q1", "median", "q3")],
         F.min(F.when(v >= low, v)).alias("lo"),
         F.max(F.when(v <= high, v)).alias("hi"),
+        F.count_if((v < low) | (v > high)).alias("outliers"),
     )
     # A whisker never ends inside the box.
-    whiskers = stats.withColumns(
-        {"whisker_low": F.least("lo", "q1"), "whisker_high": F.greatest("hi", "q3")}
-    )
-    outliers = rows.groupBy("is_correct").agg(
-        F.count_if((v < low) | (v > high)).alias("outliers")
+    return stats.select(
+        "is_correct",
+        "count",
+        "q1",
+        "median",
+        "q3",
+        F.least("lo", "q1").alias("whisker_low"),
+        F.greatest("hi", "q3").alias("whisker_high"),
+        "outliers",
     )
-    return whiskers.drop("lo", "hi").join(outliers, "is_correct")
 
 
 def distribution_report(df: DataFrame, score: str, bins: int, guide=fv.REPORT_GUIDE) -> DataFrame:
-    """Histogram of scores; every row repeats the mean and the share at or over the guide."""
+    """Histogram of scores; every row repeats the mean and the share at or over the guide.
+
+    The scores are stored first, because the edges need one pass and the counts another.
+    """
+    df = settled(df.select(score), "scores")
     known = F.col(score)
     totals = df.agg(
         F.struct(

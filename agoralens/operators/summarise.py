@@ -4,10 +4,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agoralens import fixed_values as fv
-from agoralens.functions.text import bucket_counts, sentences, word_count
-from agoralens.functions.vectors import stable_score
+from agoralens.functions.text import sentences, word_count
 from agoralens.operators.analysis import first_texts
 from agoralens.operators.encode import TfIdfEncoder
+from agoralens.operators.match import pair_similarity
 
 
 def topic_sentences(df, topic, n_texts=fv.SUMMARY_TEXTS, id_col="opinion_id") -> DataFrame:
@@ -18,32 +18,18 @@ def topic_sentences(df, topic, n_texts=fv.SUMMARY_TEXTS, id_col="opinion_id") ->
 
 
 def sentence_scores(parts: DataFrame, encoder: TfIdfEncoder) -> DataFrame:
-    """Cosine of each sentence with the text of its topic, both as TF-IDF vectors.
+    """Cosine of each sentence with all sentences of its topic as one text.
 
-    The topic vector is the sum of its sentence vectors. A sentence without weight scores 0
-    and is left out here.
+    A topic has the sentences of few texts here. A sentence without weight has a null score.
     """
-    weights = F.broadcast(encoder.weight_table())  # dim rows
-    terms = (
-        parts.select("topic_id", "rank", "pos", F.inline_outer(bucket_counts(F.col("sentence"), encoder.dim)))
-        .join(weights, "bucket")
-        .select("topic_id", "rank", "pos", "bucket", (F.col("tf") * F.col("idf")).alias("w"))
-    )
-    whole = F.sum("w").over(Window.partitionBy("topic_id", "bucket"))
-    dots = (
-        terms.withColumn("t", whole)
-        .groupBy("topic_id", "rank", "pos")
-        .agg(F.sum(F.col("w") * F.col("t")).alias("dot"), F.sum(F.col("w") * F.col("w")).alias("own"))
-    )
-    # The squared length of the topic vector is the sum of these products.
-    square = F.sum("dot").over(Window.partitionBy("topic_id"))
-    scale = F.sqrt("own") * F.sqrt(square)
-    return dots.withColumn("scale", scale).select(
-        "topic_id",
-        "rank",
-        "pos",
-        F.when(F.col("scale") > 0, stable_score(F.col("dot") / F.col("scale"))).otherwise(0.0).alias("score"),
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "pos", "sentence")))
+    whole = parts.groupBy("topic_id").agg(
+        F.array_join(F.transform(in_order, lambda s: s["sentence"]), " ").alias("text")
     )
+    topic_vectors = encoder(whole).select("topic_id", F.col("vector").alias("right_vector"))
+    vectors = encoder(parts, "sentence").withColumnRenamed("vector", "left_vector")
+    pairs = pair_similarity(vectors.join(topic_vectors, "topic_id"), dim=encoder.dim)
+    return pairs.select(*parts.columns, F.col("similarity").alias("score"))
 
 
 def summarise_topics(
@@ -61,10 +47,8 @@ def summarise_topics(
     before it is under ``min_words``. A topic without a sentence has no row.
     """
     parts = topic_sentences(df, topic, n_texts, id_col)
-    keys = ["topic_id", "rank", "pos"]
-    scored = parts.join(sentence_scores(parts, encoder), keys, "left").select(
-        *keys,
-        "sentence",
+    scored = sentence_scores(parts, encoder).select(
+        *parts.columns,
         F.coalesce("score", F.lit(0.0)).alias("score"),
         word_count(F.col("sentence")).alias("words"),
     )

@@ -65,12 +65,13 @@ def topics(spark, sf_dir):
 
 def rule_classify(df):
     """Position and confidence from counts of function words: (most + 1) / (all + 4)."""
-    words = tokens(F.col("text"))
+    listed = [w for words in WORDS.values() for w in words]
+    found = df.withColumn("_w", F.filter(tokens(F.col("text")), lambda w: w.isin(*listed)))
 
     def hits(code):
-        return F.size(F.filter(words, lambda w: w.isin(*WORDS[code])))
+        return F.size(F.filter("_w", lambda w: w.isin(*WORDS[code])))
 
-    counted = df.withColumn("_h", F.struct(*[hits(c).alias(c) for c in WORDS]))
+    counted = found.withColumn("_h", F.struct(*[hits(c).alias(c) for c in WORDS]))
     most = F.greatest(*[F.col(f"_h.{c}") for c in WORDS])
     total = sum((F.col(f"_h.{c}") for c in WORDS), F.lit(0))
     best = F.when(most == 0, "none")
@@ -78,7 +79,7 @@ def rule_classify(df):
         best = best.when(F.col(f"_h.{code}") == most, code)
     return counted.withColumns(
         {"predicted_type": _position(best), "type_confidence": (most + 1) / (total + 4)}
-    ).drop("_h")
+    ).drop("_w", "_h")
 
 
 def classified(spark, sf_dir):

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master=None, app_name="agoralens", **settings) -> SparkSession:
@@ -43,3 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared folder that nothing has used before."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name="step") -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Later passes read the stored columns and do not repeat the work behind them, also after
+    an executor is lost.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
