@@ -1,5 +1,7 @@
 """Session settings and the shared working folder."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,25 @@ def build_session(master=None, app_name="agoralens", **settings) -> SparkSession
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Needed where it is neither installed on the workers nor given with ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_agoralens_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="agoralens-"), "agoralens"), "zip", root, "agoralens"
+    )
+    sc.addPyFile(archive)
+    sc._agoralens_shipped = True
 
 
 def shared_folder(spark: SparkSession) -> str:
