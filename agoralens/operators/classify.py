@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
@@ -22,6 +22,7 @@ from agoralens.functions.lookup import one_row_map
 from agoralens.operators.metrics import class_weights
 from agoralens.operators.split import stratified_split
 from agoralens.schemas import TRAINING_HISTORY
+from agoralens.session import settled
 
 
 class Trained(NamedTuple):
@@ -42,7 +43,7 @@ def label_decoder(encoder: StringIndexerModel, column="label_id", output="label"
 
 
 def text_stages(text="text", max_tokens: int | None = None, features=1 << 16) -> list:
-    """Tokens, hashed counts and inverse document frequencies.
+    """Tokens and hashed token counts.
 
     Whole texts are read; ``max_tokens`` cuts each text to its first tokens on request.
     """
@@ -57,15 +58,11 @@ def text_stages(text="text", max_tokens: int | None = None, features=1 << 16) ->
             )
         )
         tokens = "_head"
-    return stages + [
-        HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_features"),
-    ]
+    return [*stages, HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=features)]
 
 
 def train_classifier(
     opinions: DataFrame,
-    text="text",
     label="type",
     id_col="opinion_id",
     share=fv.SPLIT_SHARE,
@@ -75,19 +72,22 @@ def train_classifier(
     max_tokens: int | None = None,
     features=1 << 16,
 ) -> Trained:
-    """Split, fit with balanced class weights, and evaluate both parts.
+    """Split, fit on ``text`` with balanced class weights, and evaluate both parts.
 
-    Executors compute the gradients, and the driver adds one array of classes x features.
+    Texts are cut and hashed once. The token counts are stored, and all passes of the fit
+    read them. Executors compute the gradients, and the driver adds one array of classes x
+    features per iteration.
     """
-    usable = opinions.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+    usable = opinions.filter(F.col("text").isNotNull() & F.col(label).isNotNull())
     split = stratified_split(usable, label, id_col, share, seed)
-    train = split.filter(~F.col("is_validation"))
-    encoder = label_encoder(train, label)
-    weights = class_weights(train, label)
-    weighted = train.withColumn("_weight", one_row_map(weights, label, "weight")[F.col(label)])
-    # The indexer is fitted before the pipeline, so that prediction needs no true label.
-    prepared = Pipeline(stages=text_stages(text, max_tokens, features)).fit(weighted)
-    rows = encoder.transform(prepared.transform(weighted)).select("_features", "label_id", "_weight")
+    stages = text_stages("text", max_tokens, features)
+    counted = PipelineModel(stages=stages).transform(split)
+    rows = settled(counted.select(F.col(label).alias("_label"), "is_validation", "_tf"), "token-counts")
+    train = rows.filter(~F.col("is_validation"))
+    encoder = label_encoder(train, "_label")
+    weights = class_weights(train, "_label").select("_label", "weight")
+    weighted = train.withColumn("_weight", one_row_map(weights, "_label", "weight")[F.col("_label")])
+    idf = IDF(inputCol="_tf", outputCol="_features").fit(train)
     regression = LogisticRegression(
         featuresCol="_features",
         labelCol="label_id",
@@ -95,10 +95,11 @@ def train_classifier(
         family="multinomial",
         maxIter=max_iter,
         regParam=reg,
-    ).fit(rows)
-    decode = label_decoder(encoder, "prediction", "predicted_type")
-    model = PipelineModel(stages=prepared.stages + [regression, decode])
-    return Trained(model, training_history(model, encoder, split, weights, label), split)
+    ).fit(encoder.setOutputCol("label_id").transform(idf.transform(weighted)))
+    last = [idf, regression, label_decoder(encoder, "prediction", "predicted_type")]
+    scored = PipelineModel(stages=last).transform(rows)
+    history = training_history(scored, encoder.labels, weights, regression.summary.totalIterations)
+    return Trained(PipelineModel(stages=stages + last), history, split)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -120,41 +121,43 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(scored: DataFrame, encoder_labels, label="type", weights: DataFrame | None = None) -> DataFrame:
-    """Mean log loss, plain and class-weighted, and accuracy over scored rows in one row."""
-    position = F.array_position(F.array(*[F.lit(x) for x in encoder_labels]), F.col(label))
+def log_loss(label, labels):
+    """Minus the log of the probability given to the true label."""
+    position = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label))
     p = F.get("probabilities", (position - 1).cast("int"))
-    loss = -F.log(F.greatest(p, F.lit(1e-15)))
-    w = F.lit(1.0) if weights is None else F.col("_w")
-    rows = scored if weights is None else scored.withColumn("_w", one_row_map(weights, label, "weight")[F.col(label)])
-    return rows.agg(
+    return -F.log(F.greatest(p, F.lit(1e-15)))
+
+
+def evaluate(scored: DataFrame, labels, label="type") -> DataFrame:
+    """Rows, mean log loss and accuracy of scored rows."""
+    return scored.agg(
         F.count("*").alias("rows"),
-        F.avg(loss).alias("loss"),
-        (F.sum(loss * w) / F.sum(w)).alias("weighted_loss"),
+        F.avg(log_loss(label, labels)).alias("loss"),
         F.avg((F.col("predicted_type") == F.col(label)).cast("int")).alias("accuracy"),
     )
 
 
-def training_history(model, encoder, split, weights, label="type") -> DataFrame:
-    """One row for the fitted model: weighted train loss, plain validation loss, accuracies."""
-    scored = predict(model, split)
-    train = evaluate(scored.filter(~F.col("is_validation")), encoder.labels, label, weights)
-    val = evaluate(scored.filter("is_validation"), encoder.labels, label)
-    both = train.select(F.col("weighted_loss").alias("train_loss"), F.col("accuracy").alias("train_accuracy"))
-    v = val.select(F.struct("loss", "accuracy")).scalar()
-    regression = model.stages[-2]
-    epochs = regression.summary.totalIterations if regression.hasSummary else 0
-    return (
-        both.withColumn("v", v)
-        .select(
-            F.lit(epochs).alias("epoch"),
-            "train_loss",
-            "train_accuracy",
-            F.col("v.loss").alias("val_loss"),
-            F.col("v.accuracy").alias("val_accuracy"),
-        )
-        .to(TRAINING_HISTORY)
+def training_history(scored: DataFrame, labels, weights: DataFrame, epochs: int) -> DataFrame:
+    """One row for the fitted model: class-weighted train loss, plain validation loss, accuracies."""
+    rows = scored.withColumns(
+        {
+            "probabilities": vector_to_array("probability"),
+            "_w": one_row_map(weights, "_label", "weight")[F.col("_label")],
+        }
+    ).select(
+        "is_validation",
+        "_w",
+        log_loss("_label", labels).alias("loss"),
+        (F.col("predicted_type") == F.col("_label")).cast("int").alias("hit"),
     )
+    val = F.col("is_validation")
+    return rows.agg(
+        F.lit(epochs).alias("epoch"),
+        (F.sum(F.when(~val, F.col("loss") * F.col("_w"))) / F.sum(F.when(~val, F.col("_w")))).alias("train_loss"),
+        F.avg(F.when(~val, F.col("hit"))).alias("train_accuracy"),
+        F.avg(F.when(val, F.col("loss"))).alias("val_loss"),
+        F.avg(F.when(val, F.col("hit"))).alias("val_accuracy"),
+    ).to(TRAINING_HISTORY)
 
 
 def objective_history(model: PipelineModel) -> DataFrame:

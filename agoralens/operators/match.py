@@ -240,14 +240,15 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
     For unit vectors at distance ``d`` the cosine is ``1 - d * d / 2``. A topic of a cell
     with centre ``c`` and radius ``r`` is at least ``|o - c| - r`` away from opinion ``o``,
     which bounds its score from above. Each opinion first visits the cell nearest to it.
-    It then visits every cell whose bound reaches its k-th score so far.
+    It then visits every cell whose bound reaches its k-th score so far. How well the cells
+    are cut only changes the number of visits, so a few rounds of clustering are enough.
     """
     spark = topics.sparkSession
     known = topics.select("point_id", "topic_id", vectors.l2_normalise("vector").alias("vector")).filter(
         "vector is not null"
     )
     points = known.select(array_to_vector("vector").alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=10).fit(points)
+    model = KMeans(k=n_cells, seed=seed, maxIter=5, initMode="random").fit(points)
     centres = spark.sparkContext.broadcast(np.array(model.clusterCenters()))
 
     def distances(block):

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from agoralens import fixed_values as fv
 from agoralens.functions.text import tokens
 from agoralens.operators.match import is_correct
+from agoralens.session import settled
+from agoralens.sources.tables import spread_small
 
 SPACE = fv.SPACE_CLASS
 DIM = 4096
@@ -38,6 +40,11 @@ def stream(spark, sf_dir, name):
     return reader.parquet(path)
 
 
+def documents(spark, sf_dir):
+    """The documents for work on whole texts."""
+    return spread_small(table(spark, sf_dir, "documents"))
+
+
 def _position(lang):
     out = None
     for code, position in POSITION_OF.items():
@@ -46,7 +53,7 @@ def _position(lang):
 
 
 def opinions(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("opinion_id"),
         F.col("source").alias("topic_id"),
         "text",
@@ -83,7 +90,8 @@ def rule_classify(df):
 
 
 def classified(spark, sf_dir):
-    return rule_classify(opinions(spark, sf_dir))
+    """The classified opinions as a stored table, as the steps after the classifier find them."""
+    return settled(rule_classify(opinions(spark, sf_dir)), "classified")
 
 
 def vector_opinions(spark, sf_dir):

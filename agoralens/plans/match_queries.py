@@ -12,6 +12,7 @@ from agoralens.plans.inputs import (
     CLASSIFIED_SQL,
     bucket_sql,
     classified,
+    documents,
     flag_correct,
     label_topics,
     opinions,
@@ -246,10 +247,10 @@ def pair_similarity(spark, sf_dir):
     f"WITH {weights_sql()} SELECT doc_id, bucket, round(w, 6) AS weight FROM vec",
 )
 def encode_tfidf(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     coded = TfIdfEncoder.fit(docs, dim=DIM)(docs.select("doc_id", "text"))
     parts = F.arrays_zip(F.col("vector.indices").alias("bucket"), F.col("vector.values").alias("weight"))
-    flat = coded.filter("vector is not null").select("doc_id", F.inline_outer(parts))
+    flat = coded.select("doc_id", F.inline(parts))
     return rounded(flat.toDF("doc_id", "bucket", "weight"), "weight")
 
 
@@ -321,7 +322,7 @@ FROM hits JOIN benchmark b ON b.item_id::VARCHAR = topic_id WHERE rank <= 5""",
 )
 def similar_topics(spark, sf_dir):
     """Each benchmark text as a query for its five most similar benchmark texts."""
-    encoder = TfIdfEncoder.fit(table(spark, sf_dir, "documents"), dim=DIM)
+    encoder = TfIdfEncoder.fit(documents(spark, sf_dir), dim=DIM)
     stored = text_topics(spark, sf_dir, encoder)
     queries = stored.select(F.col("point_id").alias("opinion_id"), "vector")
     return rounded(match.similar_topics(queries, stored, dim=DIM), "score")
@@ -338,7 +339,7 @@ LEFT JOIN ids i ON i.doc_id = a.doc_id LEFT JOIN ids j ON j.doc_id = b.doc_id"""
 )
 def text_pair_similarity(spark, sf_dir):
     """Each document with the document of the next id."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     coded = TfIdfEncoder.fit(docs, dim=DIM)(docs.select("doc_id", "text")).select("doc_id", "vector")
     left = coded.select(F.col("doc_id").alias("left_id"), F.col("vector").alias("left_vector"))
     right = coded.select((F.col("doc_id") - 1).alias("left_id"), F.col("vector").alias("right_vector"))
@@ -389,7 +390,7 @@ SELECT source, 'toxic', '1' FROM toxic WHERE toxic = 1""",
 )
 def vector_payload(spark, sf_dir):
     """Payloads of the topic vectors; metadata of toxic sources wins over the base fields."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     toxic = (
         docs.select("doc_id", "source")
         .join(table(spark, sf_dir, "labels"), "doc_id")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from agoralens.functions.text import is_blank, preview, with_text_counts
 from agoralens.operators import profile
 from agoralens.operators.clean import long_enough, with_known_topic
-from agoralens.plans.inputs import OPINIONS_SQL, SPACE, TOPICS_SQL, opinions, table, topics
+from agoralens.plans.inputs import OPINIONS_SQL, SPACE, TOPICS_SQL, documents, opinions, table, topics
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path
 from agoralens.sources.tables import read_table, write_table
@@ -19,7 +19,7 @@ WORD_COUNT_SQL = f"len(regexp_extract_all(text, '[^{SPACE}]+'))::INTEGER"
   NOT regexp_matches(text, '[^{SPACE}]') AS is_blank FROM documents""",
 )
 def text_stats(spark, sf_dir):
-    df = with_text_counts(table(spark, sf_dir, "documents"))
+    df = with_text_counts(documents(spark, sf_dir))
     return df.select("doc_id", "text_length", "word_count", is_blank("text").alias("is_blank"))
 
 
@@ -282,7 +282,7 @@ ROUNDED = ("mean", "std", "q25", "q50", "q75")
     f"{_describe_sql('text_length', 'length(text)')} FROM documents UNION ALL {_describe_sql('word_count', WORD_COUNT_SQL)} FROM documents",
 )
 def describe_lengths(spark, sf_dir):
-    df = profile.describe(with_text_counts(table(spark, sf_dir, "documents")), "text_length", "word_count")
+    df = profile.describe(with_text_counts(documents(spark, sf_dir)), "text_length", "word_count")
     return df.withColumns({c: F.round(c, 6) for c in ROUNDED})
 
 
@@ -319,7 +319,7 @@ FROM bins LEFT JOIN counts USING (bin)"""
     f"WITH s0 AS (SELECT length(text) AS text_length FROM documents), {histogram_sql('s0', 'text_length', 50)}",
 )
 def histogram_lengths(spark, sf_dir):
-    df = profile.histogram(with_text_counts(table(spark, sf_dir, "documents")), "text_length", 50)
+    df = profile.histogram(with_text_counts(documents(spark, sf_dir)), "text_length", 50)
     return df.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 

@@ -44,6 +44,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df if schema is None else conform(df, schema)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """A table smaller than one input split, dealt out to all cores.
+
+    Such a table often is one file of one row group, hence one task. A table of many splits
+    is returned as it is, so nothing is shuffled at scale.
+    """
+    spark = df.sparkSession
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
+    limit = int(split.rstrip("bkmgt")) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(split.rstrip("b")[-1], 0)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= limit:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of a schema in its order and types; a missing column is an error."""
     missing = [f.name for f in schema if f.name not in df.columns]
