@@ -100,13 +100,13 @@ def _topic_matrix(table, dim):
 
 def _hits(vector_column, points, topic_ids, matrix, k):
     """One list of hits per row of a batch; null where the row or every topic lacks a vector."""
+    if not len(matrix):
+        return pa.nulls(len(vector_column), HIT_TYPE)
     dim = matrix.shape[1]
-    offsets, positions, scores = [0], [], []
-    mask = []
+    offsets, positions, scores, mask = [0], [], [], []
     starts, step = _chunks(len(vector_column), dim + len(matrix))
     for start in starts:
         block, valid = _unit_rows(vector_column.slice(start, step), dim)
-        valid &= len(matrix) > 0
         mask.append(~valid)
         size = np.zeros(len(block), dtype=np.int64)
         if valid.any():
