@@ -42,7 +42,7 @@ def label_decoder(encoder: StringIndexerModel, column="label_id", output="label"
     return IndexToString(inputCol=column, outputCol=output, labels=encoder.labels)
 
 
-def text_stages(text="text", max_tokens: int | None = None, features=1 << 16) -> list:
+def text_stages(text="text", max_tokens: int | None = None, features=1 << 15) -> list:
     """Tokens and hashed token counts.
 
     Whole texts are read; ``max_tokens`` cuts each text to its first tokens on request.
@@ -70,7 +70,7 @@ def train_classifier(
     max_iter=20,
     reg=1e-3,
     max_tokens: int | None = None,
-    features=1 << 16,
+    features=1 << 15,
 ) -> Trained:
     """Split, fit on ``text`` with balanced class weights, and evaluate both parts.
 

@@ -30,7 +30,7 @@ from agoralens.session import settled
 SCALE = 10**SCORE_DIGITS
 CHUNK_BYTES = 32 << 20
 BROADCAST_BYTES = 64 << 20
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 128 << 20
 HITS = "array<struct<point_id:string,topic_id:string,score:double>>"
 HIT_TYPE = pa.list_(
     pa.struct([("point_id", pa.string()), ("topic_id", pa.string()), ("score", pa.float64())])
@@ -361,21 +361,25 @@ def topic_hits(
     dim: int | None = None,
     plan="auto",
     broadcast_bytes=BROADCAST_BYTES,
-    topic_rows=BLOCK_ROWS,
-    opinion_rows=BLOCK_ROWS,
+    topic_rows: int | None = None,
+    opinion_rows: int | None = None,
     n_cells=64,
     seed=fv.SPLIT_SEED,
 ) -> DataFrame:
     """``opinion_id``, the ``keep`` columns and ``hits``, best first, null without a hit.
 
     ``plan`` is ``broadcast``, ``blocked``, ``cells`` or ``auto``, which measures the topic
-    vectors and takes the broadcast only within ``broadcast_bytes``. ``dim`` is needed for
-    sparse vectors, which ``cells`` does not take.
+    vectors and takes the broadcast only within ``broadcast_bytes``, else ``blocked``.
+    Blocks of ``topic_rows`` topics and ``opinion_rows`` opinions hold 128 MiB of vectors
+    unless told otherwise: the larger the blocks, the fewer copies of either side are
+    shuffled. ``dim`` is needed for sparse vectors, which ``cells`` does not take.
     """
     opinions = opinions.withColumn("opinion_id", F.col("opinion_id").cast("string"))
     topics = topics.withColumns({c: F.col(c).cast("string") for c in ("point_id", "topic_id")})
     n, dim = _measure(topics, _vector_dim(topics, dim))
     fits = n * dim * 8 <= broadcast_bytes
+    block = max(1, BLOCK_BYTES // (8 * dim))
+    topic_rows, opinion_rows = topic_rows or block, opinion_rows or block
     if plan == "auto":
         plan = "broadcast" if fits else "blocked"
     if plan == "broadcast":

@@ -59,11 +59,15 @@ def type_by_topic(df: DataFrame, types, topic="topic_id", column="type") -> Data
 
 
 def top_type_by_topic(df: DataFrame, types, n=15, topic="topic_id", column="type") -> DataFrame:
-    """The rows of ``type_by_topic`` for the n largest topics, in their order."""
+    """The rows of ``type_by_topic`` for the n largest topics, in their order.
+
+    The n topics are broadcast, so only their rows are counted by type.
+    """
     top = top_topics(df, n, topic)
+    rows = df.join(F.broadcast(top), topic)
     return (
-        type_by_topic(df, types, topic, column)
-        .join(top, topic)
+        type_by_topic(rows, types, topic, column)
+        .join(F.broadcast(top), topic)
         .orderBy(F.desc("opinion_count"), topic)
     )
 
@@ -125,6 +129,20 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicates"))
 
 
+def mark_duplicates(df: DataFrame, keys, id_col: str) -> DataFrame:
+    """Adds ``is_duplicate``: true for all rows of a key but the one with the lowest id.
+
+    Keys are compared by digest, and the lowest id per key is a partial aggregate. The marks
+    come back by the unique id, so the copies of a hot key are never brought together.
+    """
+    digest = F.unhex(row_digest(df.select(*keys)))
+    firsts = df.select(digest.alias("d"), id_col).groupBy("d").agg(F.min(id_col).alias(id_col))
+    marks = firsts.select(id_col, F.lit(False).alias("is_duplicate"))
+    return df.join(marks, id_col, "left").withColumn(
+        "is_duplicate", F.coalesce("is_duplicate", F.lit(True))
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values, null included."""
     return df.select(column).distinct()

@@ -16,15 +16,15 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_validation``: true for the ``round(share * n)`` smallest hashes of each class.
 
-    No class is sorted as a whole. Hashes are counted by their first three digits, which
-    tells in which of the 4096 ranges a class reaches its quota. Only that range is ranked,
+    No class is sorted as a whole. Hashes are counted by their first four digits, which
+    tells in which of the 65536 ranges a class reaches its quota. Only that range is ranked,
     and the hash found there is the limit of the class. Rows then compare themselves with
     the limit where they lie, so texts are not shuffled. Rows without a label are left out.
     """
     rows = df.filter(F.col(label).isNotNull())
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     hashes = rows.select(F.col(label).alias("y"), digest.alias("h"))
-    ranges = hashes.groupBy("y", F.substring("h", 1, 3).alias("r")).agg(F.count("*").alias("n"))
+    ranges = hashes.groupBy("y", F.substring("h", 1, 4).alias("r")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("y")
     upto = ranges.select(
         "y",
@@ -37,7 +37,7 @@ def stratified_split(
     at = one_row_map(
         cut, "y", F.struct("r", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("rank"))
     )
-    near = hashes.withColumn("c", at[F.col("y")]).filter(F.substring("h", 1, 3) == F.col("c.r"))
+    near = hashes.withColumn("c", at[F.col("y")]).filter(F.substring("h", 1, 4) == F.col("c.r"))
     ranked = near.withColumn("rn", F.row_number().over(w.orderBy("h"))).filter(F.col("rn") == F.col("c.rank"))
     limit = one_row_map(ranked, "y", "h")
     # A class whose quota is 0 has no limit and gives no validation rows.

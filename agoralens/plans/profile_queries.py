@@ -178,6 +178,16 @@ def dup_keys(spark, sf_dir):
     return profile.duplicate_keys(table(spark, sf_dir, "documents"), "source")
 
 
+@query(
+    "dup_marks",
+    f"""WITH {WITH_NULLS_SQL}
+SELECT doc_id, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) > 1 AS is_duplicate FROM d""",
+)
+def dup_marks(spark, sf_dir):
+    marked = profile.mark_duplicates(with_nulls(spark, sf_dir), ("text", "lang"), "doc_id")
+    return marked.select("doc_id", "is_duplicate")
+
+
 @query("distinct_values", f"WITH {WITH_NULLS_SQL} SELECT DISTINCT lang FROM d")
 def distinct_values(spark, sf_dir):
     return profile.distinct_values(with_nulls(spark, sf_dir), "lang")
