@@ -200,7 +200,7 @@ def result_of_topic(spark, sf_dir):
 asked AS (SELECT DISTINCT user_id::VARCHAR AS opinion_id FROM events UNION SELECT vec_id::VARCHAR FROM embeddings
   UNION SELECT 'unknown ' || label FROM embeddings)
 SELECT a.opinion_id, m.matched_topic_id, 'label ' || m.matched_topic_id AS topic_text,
-  round(m.similarity_score, 4)::FLOAT AS topic_similarity,
+  m.similarity_score::FLOAT AS topic_similarity,
   CASE WHEN m.opinion_id IS NOT NULL THEN 'claim' END AS predicted_position,
   CASE WHEN m.opinion_id IS NOT NULL THEN 0.5 END::FLOAT AS position_confidence,
   'conclusion of ' || m.matched_topic_id AS conclusion, m.opinion_id IS NOT NULL AS is_processed
@@ -219,7 +219,7 @@ def opinion_lookup(spark, sf_dir):
     scored = matches(spark, sf_dir).select(
         "opinion_id",
         "matched_topic_id",
-        F.round("similarity_score", 4).cast("float").alias("topic_similarity"),
+        F.col("similarity_score").cast("float").alias("topic_similarity"),
         F.lit("claim").alias("predicted_position"),
         F.lit(0.5).cast("float").alias("position_confidence"),
     )

@@ -103,16 +103,19 @@ def vector_opinions(spark, sf_dir):
 
 
 def label_topics(spark, sf_dir):
-    """The mean vector of each label as a topic."""
+    """The mean vector of each label as a topic, in a stored vector table."""
     parts = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
     means = parts.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "m")))
-    return means.groupBy("label").agg(F.transform(ordered, lambda p: p["m"]).alias("vector")).select(
-        F.col("label").cast("string").alias("point_id"),
-        F.col("label").cast("string").alias("topic_id"),
-        F.concat(F.lit("label "), F.col("label").cast("string")).alias("topic_text"),
+    vectors = means.groupBy("label").agg(F.transform(ordered, lambda p: p["m"]).alias("vector"))
+    label = F.col("label").cast("string")
+    points = vectors.select(
+        label.alias("point_id"),
+        label.alias("topic_id"),
+        F.concat(F.lit("label "), label).alias("topic_text"),
         "vector",
     )
+    return settled(points, "label-topics")
 
 
 def flag_correct(matches):

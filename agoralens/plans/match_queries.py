@@ -23,7 +23,7 @@ from agoralens.plans.inputs import (
 )
 from agoralens.plans.profile_queries import histogram_sql
 from agoralens.plans.registry import query
-from agoralens.session import fresh_path
+from agoralens.session import fresh_path, settled
 from agoralens.sources.vector_table import vector_table, write_vectors
 
 ROUND = 6
@@ -53,26 +53,26 @@ def normalise_vectors(spark, sf_dir):
 @query(
     "match_best",
     f"""WITH {MATCHED_SQL}
-SELECT opinion_id, topic_id, matched_topic_id, round(similarity_score, 6) AS similarity_score, confidence, is_correct FROM matched""",
+SELECT opinion_id, topic_id, matched_topic_id, similarity_score, confidence, is_correct FROM matched""",
 )
 def match_best(spark, sf_dir):
-    return rounded(matches(spark, sf_dir).drop("top_k_matches"), "similarity_score")
+    return matches(spark, sf_dir).drop("top_k_matches")
 
 
 @query(
     "match_topk",
     f"""WITH {HITS_SQL}
-SELECT opinion_id::VARCHAR AS opinion_id, rank::INTEGER AS rank, topic_id, round(score, 6) AS score FROM hits WHERE rank <= 5""",
+SELECT opinion_id::VARCHAR AS opinion_id, rank::INTEGER AS rank, topic_id, score FROM hits WHERE rank <= 5""",
 )
 def match_topk(spark, sf_dir):
-    return rounded(match.ranked_hits(matches(spark, sf_dir)), "score")
+    return match.ranked_hits(matches(spark, sf_dir))
 
 
 SELF_SQL = """WITH v AS (SELECT vec_id::VARCHAR AS id, label::VARCHAR AS label, embedding::DOUBLE[] AS e FROM embeddings),
 scored AS (SELECT o.id AS opinion_id, t.id AS point_id, t.label AS topic_id,
   round(list_cosine_similarity(o.e, t.e), 9) AS score FROM v o, v t),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY opinion_id ORDER BY score DESC, topic_id, point_id) AS rank FROM scored)
-SELECT opinion_id, rank::INTEGER AS rank, point_id, topic_id, round(score, 6) AS score FROM ranked WHERE rank <= 5"""
+SELECT opinion_id, rank::INTEGER AS rank, point_id, topic_id, score FROM ranked WHERE rank <= 5"""
 
 
 def _self_match(spark, sf_dir, **options):
@@ -85,7 +85,7 @@ def _self_match(spark, sf_dir, **options):
         (F.col("pos") + 1).alias("rank"),
         "hit.point_id",
         "hit.topic_id",
-        F.round("hit.score", ROUND).alias("score"),
+        "hit.score",
     )
 
 
@@ -108,22 +108,21 @@ def match_cells(spark, sf_dir):
 @query(
     "match_attached",
     f"""WITH {MATCHED_SQL}
-SELECT opinion_id, topic_id, matched_topic_id, round(similarity_score, 6) AS similarity_score, is_correct FROM matched""",
+SELECT opinion_id, topic_id, matched_topic_id, similarity_score, is_correct FROM matched""",
 )
 def match_attached(spark, sf_dir):
     """Matches put back on the opinions by id."""
     found = matches(spark, sf_dir)
-    rows = match.with_matches(vector_opinions(spark, sf_dir).drop("vector"), found)
-    return rounded(rows, "similarity_score")
+    return match.with_matches(vector_opinions(spark, sf_dir).drop("vector"), found)
 
 
 @query(
     "below_threshold",
     f"""WITH {MATCHED_SQL}
-SELECT opinion_id, matched_topic_id AS matched_topic, round(similarity_score, 6) AS score FROM matched WHERE similarity_score < 0.5""",
+SELECT opinion_id, matched_topic_id AS matched_topic, similarity_score AS score FROM matched WHERE similarity_score < 0.5""",
 )
 def below_threshold(spark, sf_dir):
-    return rounded(match_reports.below_threshold(matches(spark, sf_dir)), "score")
+    return match_reports.below_threshold(matches(spark, sf_dir))
 
 
 @query(
@@ -226,7 +225,7 @@ def confidence_report(spark, sf_dir):
 @query(
     "pair_similarity",
     """SELECT a.vec_id AS left_id, b.vec_id AS right_id,
-  round(round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9), 6) AS similarity
+  round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS similarity
 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
 )
 def pair_similarity(spark, sf_dir):
@@ -239,7 +238,7 @@ def pair_similarity(spark, sf_dir):
         F.col("embedding").alias("right_vector"),
     )
     pairs = match.pair_similarity(left.join(right, "left_id"))
-    return rounded(pairs.select("left_id", "right_id", "similarity"), "similarity")
+    return pairs.select("left_id", "right_id", "similarity")
 
 
 @query(
@@ -274,7 +273,7 @@ def text_topics(spark, sf_dir, encoder):
     items = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("id"), F.col("item_id").alias("topic_id"), "text"
     )
-    return vector_table(items, encoder)
+    return settled(vector_table(items, encoder), "text-topics")
 
 
 def _text_matches(spark, sf_dir):
@@ -286,22 +285,22 @@ def _text_matches(spark, sf_dir):
 @query(
     "text_match_topk",
     f"""WITH {TEXT_HITS_SQL}
-SELECT doc_id::VARCHAR AS opinion_id, rank::INTEGER AS rank, topic_id, round(score, 6) AS score FROM hits WHERE rank <= 5""",
+SELECT doc_id::VARCHAR AS opinion_id, rank::INTEGER AS rank, topic_id, score FROM hits WHERE rank <= 5""",
 )
 def text_match_topk(spark, sf_dir):
-    return rounded(match.ranked_hits(_text_matches(spark, sf_dir)), "score")
+    return match.ranked_hits(_text_matches(spark, sf_dir))
 
 
 @query(
     "text_match_best",
     f"""WITH {TEXT_HITS_SQL}
-SELECT d.doc_id::VARCHAR AS opinion_id, h.topic_id AS matched_topic_id, round(score, 6) AS similarity_score,
+SELECT d.doc_id::VARCHAR AS opinion_id, h.topic_id AS matched_topic_id, score AS similarity_score,
   coalesce(score >= 0.5, false) AS confidence
 FROM documents d LEFT JOIN (SELECT * FROM hits WHERE rank = 1) h ON h.doc_id = d.doc_id""",
 )
 def text_match_best(spark, sf_dir):
     """Every document with its best topic; documents without a known word stay, unmatched."""
-    return rounded(_text_matches(spark, sf_dir).drop("top_k_matches"), "similarity_score")
+    return _text_matches(spark, sf_dir).drop("top_k_matches")
 
 
 @query(
@@ -317,7 +316,7 @@ ids AS (SELECT DISTINCT item_id FROM tvec),
 scored AS (SELECT a.item_id::VARCHAR AS query_id, b.item_id::VARCHAR AS topic_id, round(coalesce(dot, 0), 9) AS score
   FROM ids a, ids b LEFT JOIN dots ON q = a.item_id AND t = b.item_id),
 hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, topic_id) AS rank FROM scored)
-SELECT query_id AS opinion_id, rank::INTEGER AS rank, topic_id, b.text AS topic_text, round(score, 6) AS score
+SELECT query_id AS opinion_id, rank::INTEGER AS rank, topic_id, b.text AS topic_text, score
 FROM hits JOIN benchmark b ON b.item_id::VARCHAR = topic_id WHERE rank <= 5""",
 )
 def similar_topics(spark, sf_dir):
@@ -325,7 +324,7 @@ def similar_topics(spark, sf_dir):
     encoder = TfIdfEncoder.fit(documents(spark, sf_dir), dim=DIM)
     stored = text_topics(spark, sf_dir, encoder)
     queries = stored.select(F.col("point_id").alias("opinion_id"), "vector")
-    return rounded(match.similar_topics(queries, stored, dim=DIM), "score")
+    return match.similar_topics(queries, stored, dim=DIM)
 
 
 @query(
@@ -333,7 +332,7 @@ def similar_topics(spark, sf_dir):
     f"""WITH {weights_sql()},
 dots AS (SELECT a.doc_id AS l, sum(a.w * b.w) AS dot FROM vec a JOIN vec b ON b.doc_id = a.doc_id + 1 AND b.bucket = a.bucket GROUP BY 1),
 ids AS (SELECT DISTINCT doc_id FROM vec)
-SELECT a.doc_id AS left_id, round(round(CASE WHEN i.doc_id IS NOT NULL AND j.doc_id IS NOT NULL THEN coalesce(dot, 0) END, 9), 6) AS similarity
+SELECT a.doc_id AS left_id, round(CASE WHEN i.doc_id IS NOT NULL AND j.doc_id IS NOT NULL THEN coalesce(dot, 0) END, 9) AS similarity
 FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 LEFT JOIN dots ON l = a.doc_id
 LEFT JOIN ids i ON i.doc_id = a.doc_id LEFT JOIN ids j ON j.doc_id = b.doc_id""",
 )
@@ -344,7 +343,7 @@ def text_pair_similarity(spark, sf_dir):
     left = coded.select(F.col("doc_id").alias("left_id"), F.col("vector").alias("left_vector"))
     right = coded.select((F.col("doc_id") - 1).alias("left_id"), F.col("vector").alias("right_vector"))
     pairs = match.pair_similarity(left.join(right, "left_id"), dim=DIM)
-    return rounded(pairs.select("left_id", "similarity"), "similarity")
+    return pairs.select("left_id", "similarity")
 
 
 @query(

@@ -12,7 +12,7 @@ from agoralens.streaming import state, submissions
 STREAM_RESULTS_SQL = f"""{CLASSIFIED_SQL}, {TEXT_HITS_SQL.replace('hits AS', 'topic_hits AS')},
 results AS (
   SELECT c.opinion_id::VARCHAR AS opinion_id, h.topic_id AS matched_topic_id, predicted_type AS predicted_position,
-    round(score, 4) AS topic_similarity, round(type_confidence, 4) AS position_confidence,
+    score::FLOAT AS topic_similarity, type_confidence::FLOAT AS position_confidence,
     CASE WHEN h.topic_id IS NULL THEN 'failed' ELSE 'ok' END AS status
   FROM classified c LEFT JOIN (SELECT * FROM topic_hits WHERE rank = 1) h ON h.doc_id = c.opinion_id)"""
 
@@ -42,8 +42,8 @@ def stream_results(spark, sf_dir):
         "opinion_id",
         "matched_topic_id",
         "predicted_position",
-        F.round(F.col("topic_similarity").cast("double"), 4).alias("topic_similarity"),
-        F.round(F.col("position_confidence").cast("double"), 4).alias("position_confidence"),
+        "topic_similarity",
+        "position_confidence",
         "status",
     )
 

@@ -17,19 +17,22 @@ def without_repeats(submissions: DataFrame, delay="1 hour") -> DataFrame:
     return submissions.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["opinion_id"])
 
 
-def score_submissions(submissions: DataFrame, encode, topics: DataFrame, classify, **options) -> DataFrame:
+def score_submissions(
+    submissions: DataFrame, encode, topics: DataFrame, classify, plan="broadcast", **options
+) -> DataFrame:
     """Match and classify each submission; works on bounded and on streaming frames.
 
     ``encode(df, text)`` adds ``vector``. ``classify(df)`` adds ``predicted_type`` and
     ``type_confidence``. Both are narrow, and the topics are broadcast within the size bound
-    of the match, so a stream needs no state and no shuffle.
+    of the match, so a stream needs no state and no shuffle. Topics beyond the bound are an
+    error here: score inside ``foreachBatch`` with ``plan="blocked"`` then.
     """
     classified = classify(encode(submissions, "text"))
     keep = [c for c in ("text", "user_id", "event_time") if c in classified.columns]
     matched = match_topics(
         classified,
         topics,
-        plan="broadcast",
+        plan=plan,
         keep=(*keep, "predicted_type", "type_confidence"),
         **options,
     )
