@@ -3,6 +3,7 @@
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHITE = r"[\x20\x09-\x0D]+"
 LETTER = re.compile(r"[^\W\d_]")
@@ -37,3 +38,9 @@ def slices(sizes, limit):
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def wider(schema, **kinds):
+    """A schema with more columns at its end, by name and type."""
+    more = [T.StructField(name, T.StructType.fromDDL(f"x {kind}").fields[0].dataType) for name, kind in kinds.items()]
+    return T.StructType([*schema.fields, *more])

@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import table
+from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
+from agoralens.llm.langid import language
 from agoralens.llm.sharding import DIGITS, SLOTS, lookup_table, place
+from agoralens.llm.simhash import hex_digits, near_groups
+from agoralens.llm.toxicity import toxicity
 
 QUERIES = {}
 SQL = {}
@@ -50,3 +53,24 @@ FROM norm""",
 def op10_exact_dedup(spark, sf_dir):
     """Every document with the row that stays for its text."""
     return exact_groups(table(spark, sf_dir, "documents")).drop("_row")
+
+
+@query("op4_simhash")
+def op4_simhash(spark, sf_dir):
+    """Every document with its fingerprint and the smallest id of its near-duplicates."""
+    found = near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@query("op6_langid")
+def op6_langid(spark, sf_dir):
+    """Every document with its predicted language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language(docs).select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    """Every document with its toxicity score."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity(docs, labels).select("doc_id", held_out("doc_id", 4).alias("held_out"), "score", "predicted")
