@@ -1,10 +1,13 @@
 """The registered queries of the training-data operators, and their SQL where there is one."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
 from agoralens.llm.langid import language
+from agoralens.llm.packing import pack
+from agoralens.llm.sentencepiece_codec import normalised_text, round_trip
 from agoralens.llm.sharding import DIGITS, SLOTS, lookup_table, place
 from agoralens.llm.simhash import hex_digits, near_groups
 from agoralens.llm.toxicity import toxicity
@@ -74,3 +77,23 @@ def op7_toxicity(spark, sf_dir):
     """Every document with its toxicity score."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     return toxicity(docs, labels).select("doc_id", held_out("doc_id", 4).alias("held_out"), "score", "predicted")
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark, sf_dir):
+    """Every document encoded and decoded, compared with its text and with the other library."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == normalised_text(F.col("text"))).alias("round_trip"),
+        "parity",
+    )
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    """Every piece of every document with its place in a sequence."""
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
