@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
+from agoralens.llm.hmm_lm import language_model_scores
 from agoralens.llm.langid import language
 from agoralens.llm.packing import pack
 from agoralens.llm.sentencepiece_codec import normalised_text, round_trip
@@ -97,3 +98,9 @@ def op3_sentencepiece(spark, sf_dir):
 def op5_packing(spark, sf_dir):
     """Every piece of every document with its place in a sequence."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_hmm_lm")
+def op9_hmm_lm(spark, sf_dir):
+    """Every document with its base score and its score by the hidden Markov model."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
