@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from agoralens.llm.collision_ann import nearest
 from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
 from agoralens.llm.hmm_lm import language_model_scores
@@ -104,3 +105,10 @@ def op5_packing(spark, sf_dir):
 def op9_hmm_lm(spark, sf_dir):
     """Every document with its base score and its score by the hidden Markov model."""
     return language_model_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op2_collision_ann")
+def op2_collision_ann(spark, sf_dir):
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
