@@ -66,6 +66,30 @@ def _prefix(bits):
     return F.shiftrightunsigned(F.col("_h"), 64 - bits) if bits else F.lit(0).cast("bigint")
 
 
+def _hash(text, bits=64):
+    h = F.xxhash64(text)
+    return h if bits == 64 else F.shiftleft(F.shiftrightunsigned(h, 64 - bits), 64 - bits)
+
+
+def _paged(entries, sizes):
+    """``entries`` on their pages, one owner task for each: ``_bucket``, ``_page``, ``_pages``.
+
+    ``sizes`` has ``_h`` and ``_bytes`` of the same entries.
+    """
+    total = sizes.agg(F.sum("_bytes")).first()[0] or 0
+    capacity = min(MOST_BYTES, max(LEAST_BYTES, total // PAGES))
+    bits = min(MOST_BITS, max(1, math.ceil(total / capacity)).bit_length() + 1)
+    prefixes = sizes.groupBy(_prefix(bits).alias("p")).agg(F.sum("_bytes").alias("n"))
+    depth, bucket, pages = double_directory({r["p"]: r["n"] for r in prefixes.collect()}, bits, capacity)
+    slot = _prefix(depth)
+    paged = entries.withColumns({"_bucket": _looked_up(bucket, slot), "_pages": _looked_up(pages, slot)})
+    page = F.when(F.col("_pages") > 1, F.pmod(F.xxhash64("_row"), F.col("_pages"))).otherwise(0)
+    return paged.withColumn("_page", page.cast("int")).repartition("_bucket", "_page")
+
+
+CHAIN = ("_bucket", "_page", "_h", "_norm")
+
+
 def exact_groups(docs, id_col="doc_id", text_col="text", hash_bits=64):
     """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``_row``.
 
@@ -75,35 +99,20 @@ def exact_groups(docs, id_col="doc_id", text_col="text", hash_bits=64):
     hashes collide, for tests. ``_row`` numbers the rows.
     """
     entries = docs.select(F.col(id_col).alias("_id"), normalised(text_col).alias("_norm"))
-    h = F.xxhash64("_norm")
-    if hash_bits < 64:
-        h = F.shiftleft(F.shiftrightunsigned(h, 64 - hash_bits), 64 - hash_bits)
     size = F.octet_length("_norm").cast("bigint") + 64
     entries = settled(
         entries.select(
             "_id",
             F.monotonically_increasing_id().alias("_row"),
-            h.alias("_h"),
+            _hash("_norm", hash_bits).alias("_h"),
             F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"),
             size.alias("_bytes"),
             "_norm",
         ),
         "dedup-index",
     )
-    total = entries.agg(F.sum("_bytes")).first()[0] or 0
-    capacity = min(MOST_BYTES, max(LEAST_BYTES, total // PAGES))
-    bits = min(MOST_BITS, max(1, math.ceil(total / capacity)).bit_length() + 1)
-    sizes = entries.groupBy(_prefix(bits).alias("p")).agg(F.sum("_bytes").alias("n"))
-    depth, bucket, pages = double_directory({r["p"]: r["n"] for r in sizes.collect()}, bits, capacity)
-
-    slot = _prefix(depth)
-    paged = entries.drop("_bytes").withColumns(
-        {"_bucket": _looked_up(bucket, slot), "_pages": _looked_up(pages, slot)}
-    )
-    page = F.when(F.col("_pages") > 1, F.pmod(F.xxhash64("_row"), F.col("_pages"))).otherwise(0)
-    owned = paged.withColumn("_page", page.cast("int")).repartition("_bucket", "_page")
-
-    chain = Window.partitionBy("_bucket", "_page", "_h", "_norm")
+    owned = _paged(entries.drop("_bytes"), entries)
+    chain = Window.partitionBy(*CHAIN)
     first = chain.orderBy(F.col("_id").asc_nulls_last(), "_row")
     found = owned.withColumns(
         {"_rank": F.row_number().over(first), "_lead": F.first("_row").over(first), "_lead_id": F.first("_id").over(first)}
@@ -130,3 +139,22 @@ def exact_groups(docs, id_col="doc_id", text_col="text", hash_bits=64):
         "text_sha256",
         "_row",
     )
+
+
+def exact_kept(docs, id_col="doc_id", text_col="text", hash_bits=64):
+    """The rows of ``docs`` that stay: of equal texts the one with the smallest id, as above.
+
+    Texts move once, to the owner of their page. The rows have all their columns.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    rows = rows.withColumn("_norm", normalised(f"_doc.{text_col}")).withColumn("_h", _hash("_norm", hash_bits))
+    size = F.octet_length("_norm").cast("bigint") + 64
+    sizes = settled(rows.select("_h", size.alias("_bytes")), "dedup-sizes")
+    # Any spread of rows over the pages of a bucket is right, so the number need not be stable.
+    owned = _paged(rows.withColumn("_row", F.monotonically_increasing_id()), sizes)
+    order = F.col(f"_doc.{id_col}").asc_nulls_last()
+    first = owned.withColumn("_rank", F.row_number().over(Window.partitionBy(*CHAIN).orderBy(order))).where("_rank = 1")
+    leads = first.where("_pages > 1").withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_h", "_norm").orderBy(order))
+    )
+    return first.where("_pages = 1").select("_doc.*").union(leads.where("_rank = 1").select("_doc.*"))

@@ -7,6 +7,7 @@ from agoralens.llm.collision_ann import nearest
 from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
 from agoralens.llm.hmm_lm import language_model_scores
+from agoralens.llm.html_text import with_main_text
 from agoralens.llm.langid import language
 from agoralens.llm.packing import pack
 from agoralens.llm.sentencepiece_codec import normalised_text, round_trip
@@ -112,3 +113,10 @@ def op2_collision_ann(spark, sf_dir):
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@query("op1_html_tree")
+def op1_html_tree(spark, sf_dir):
+    """Every page with its main text."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return with_main_text(pages).select("page_id", "url", "text", "n_chars")

@@ -244,3 +244,14 @@ def near_groups(docs, id_col="doc_id", text_col="text", words=3, radius=2, lanes
 
 def hex_digits(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def near_kept(docs, id_col="doc_id", text_col="text", words=3, radius=2):
+    """The rows of ``docs`` that stay: of near-duplicates the one with the smallest id.
+
+    Rows without an id stay, and so do all rows of an id of which one stays.
+    """
+    groups = near_groups(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words, radius)
+    stays = F.max(F.col(id_col) == F.col("component_id"))
+    gone = groups.groupBy(F.col(id_col).alias("_gone")).agg(stays.alias("s")).where("not s")
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
