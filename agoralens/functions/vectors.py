@@ -23,17 +23,22 @@ def norm(v) -> Column:
 
 
 def l2_normalise(v) -> Column:
-    """The unit vector, or null where the norm is zero."""
+    """The unit vector, or null where the norm is zero, infinite or NaN."""
     return let(
         as_doubles(v),
-        lambda a: let(norm(a), lambda n: F.when(n > 0, F.transform(a, lambda x: x / n))),
+        lambda a: let(norm(a), lambda n: F.when(_has_length(n), F.transform(a, lambda x: x / n))),
     )
 
 
+def _has_length(n) -> Column:
+    # NaN is above infinity in Spark's order.
+    return (n > 0) & (n < F.lit(float("inf")))
+
+
 def cosine(a, b) -> Column:
     """Cosine of two vectors, null where one has no length."""
     scale = norm(a) * norm(b)
-    return F.when(scale > 0, dot(a, b) / scale)
+    return F.when(_has_length(scale), dot(a, b) / scale)
 
 
 def stable_score(score) -> Column:

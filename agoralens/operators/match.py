@@ -4,10 +4,16 @@ Opinions have ``opinion_id`` (unique) and ``vector``. Topics have ``point_id`` (
 ``topic_id`` (may repeat) and ``vector``. A vector is dense, ``ARRAY<number>``, or sparse,
 ``STRUCT<indices, values>``. Hits are ordered by score, then topic id, then point id.
 
+Scores are cosines rounded to nine digits, so that equal vectors tie whatever the order of a
+sum; thresholds are compared with the rounded score. Vectors without a finite length meet nothing.
+
+Sparse vectors are never made dense: topics are kept as postings, the (topic, weight) pairs of each
+bucket, and an opinion adds up the postings of its own buckets.
+
 Three plans give the same result:
 
 * broadcast: topic vectors whose measured size is within a bound go to every worker, and
-  opinions stream past them without a shuffle;
+  opinions stream past them without a shuffle; beyond the bound it gives way to blocked;
 * blocked: beyond the bound, topics and opinions are cut into blocks of bounded size, and
   each pair of blocks is one small task that keeps k hits per opinion;
 * cells: topics are clustered first, and an opinion visits only the cells that can still
@@ -47,17 +53,10 @@ def _unit_rows(column, dim):
     rows = len(column)
     valid = np.asarray(column.is_valid())
     out = np.zeros((rows, dim))
-    if pa.types.is_struct(column.type):
-        indices, values = (column.field(i).filter(column.is_valid()) for i in (0, 1))
-        sizes = np.zeros(rows, dtype=np.int64)
-        sizes[valid] = np.diff(indices.offsets.to_numpy())
-        at = np.repeat(np.arange(rows), sizes)
-        out[at, indices.flatten().to_numpy()] = values.flatten().to_numpy()
-    else:
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        if len(flat) != valid.sum() * dim:
-            raise ValueError(f"every vector must have {dim} numbers")
-        out[valid] = flat.reshape(-1, dim)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(flat) != valid.sum() * dim:
+        raise ValueError(f"every vector must have {dim} numbers")
+    out[valid] = flat.reshape(-1, dim)
     length = np.linalg.norm(out, axis=1)
     valid &= np.isfinite(length) & (length > 0)
     out[~valid] = 0
@@ -85,6 +84,66 @@ def _chunks(rows, width):
     return range(0, rows, step), step
 
 
+class DenseTopics:
+    """Unit vectors of topics as the rows of a matrix."""
+
+    def __init__(self, column, dim):
+        matrix, self.valid = _unit_rows(column, dim)
+        self.matrix = matrix[self.valid]
+        self.width = dim + len(self.matrix)
+
+    def __len__(self):
+        return len(self.matrix)
+
+    def scores(self, column):
+        block, valid = _unit_rows(column, self.matrix.shape[1])
+        return block[valid] @ self.matrix.T, valid
+
+
+class Postings:
+    """Unit vectors of topics by bucket: for each bucket its topics and their weights."""
+
+    def __init__(self, column, dim):
+        rows, buckets, values, self.valid = _unit_entries(column)
+        place = np.cumsum(self.valid) - 1
+        order = np.argsort(buckets, kind="stable")
+        self.topic, self.weight = place[rows[order]], values[order]
+        self.start = np.searchsorted(buckets[order], np.arange(dim + 1))
+        self.width = int(self.valid.sum())
+
+    def __len__(self):
+        return self.width
+
+    def scores(self, column):
+        rows, buckets, values, valid = _unit_entries(column)
+        place = np.cumsum(valid) - 1
+        first = self.start[buckets]
+        size = self.start[buckets + 1] - first
+        entry = np.repeat(np.arange(len(rows)), size)
+        at = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size) + first[entry]
+        cell = place[rows[entry]] * len(self) + self.topic[at]
+        count = int(valid.sum())
+        total = np.bincount(cell, weights=values[entry] * self.weight[at], minlength=count * len(self))
+        return total.reshape(count, len(self)), valid
+
+
+def _unit_entries(column):
+    """Row, bucket and weight of each entry of sparse unit vectors, and which rows have a length."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    rows = len(column)
+    valid = np.asarray(column.is_valid())
+    indices, values = (column.field(i).filter(column.is_valid()) for i in (0, 1))
+    sizes = np.zeros(rows, dtype=np.int64)
+    sizes[valid] = np.diff(indices.offsets.to_numpy())
+    at = np.repeat(np.arange(rows), sizes)
+    buckets, weights = indices.flatten().to_numpy(), values.flatten().to_numpy()
+    length = np.sqrt(np.bincount(at, weights=weights * weights, minlength=rows))
+    valid &= np.isfinite(length) & (length > 0)
+    keep = valid[at]
+    return at[keep], buckets[keep].astype(np.int64), weights[keep] / length[at[keep]], valid
+
+
 def _topic_matrix(table, dim):
     """Topic ids, point ids and unit vectors in tie order, topics without a vector left out."""
     order = sorted(
@@ -92,25 +151,26 @@ def _topic_matrix(table, dim):
         key=lambda i, t=table.column("topic_id").to_pylist(), p=table.column("point_id").to_pylist(): (t[i] or "", p[i]),
     )
     table = table.take(pa.array(order, pa.int64()))
-    matrix, valid = _unit_rows(table.column("vector"), dim)
-    keep = np.flatnonzero(valid)
-    ids = [table.column(c).combine_chunks().take(pa.array(keep)) for c in ("point_id", "topic_id")]
-    return ids[0], ids[1], matrix[keep]
+    column = table.column("vector")
+    kind = Postings if pa.types.is_struct(column.type) else DenseTopics
+    matrix = kind(column, dim)
+    keep = pa.array(np.flatnonzero(matrix.valid))
+    ids = [table.column(c).combine_chunks().take(keep) for c in ("point_id", "topic_id")]
+    return ids[0], ids[1], matrix
 
 
 def _hits(vector_column, points, topic_ids, matrix, k):
     """One list of hits per row of a batch; null where the row or every topic lacks a vector."""
     if not len(matrix):
         return pa.nulls(len(vector_column), HIT_TYPE)
-    dim = matrix.shape[1]
     offsets, positions, scores, mask = [0], [], [], []
-    starts, step = _chunks(len(vector_column), dim + len(matrix))
+    starts, step = _chunks(len(vector_column), matrix.width)
     for start in starts:
-        block, valid = _unit_rows(vector_column.slice(start, step), dim)
+        found, valid = matrix.scores(vector_column.slice(start, step))
         mask.append(~valid)
-        size = np.zeros(len(block), dtype=np.int64)
+        size = np.zeros(len(valid), dtype=np.int64)
         if valid.any():
-            where, score = _best(block[valid] @ matrix.T, k)
+            where, score = _best(found, k)
             size[valid] = where.shape[1]
             positions.append(where.ravel())
             scores.append(score.ravel())
@@ -130,10 +190,13 @@ def _hits(vector_column, points, topic_ids, matrix, k):
 
 
 def _measure(topics, dim):
-    """Row count and vector length of the topics."""
+    """Row count, vector length and stored bytes of the topics that have a vector."""
+    sparse = isinstance(topics.schema["vector"].dataType, T.StructType)
+    size = F.size("vector.indices") * 12 if sparse else F.size("vector") * 8
+    ids = F.coalesce(F.length("point_id"), F.lit(0)) + F.coalesce(F.length("topic_id"), F.lit(0))
     length = F.lit(dim) if dim else F.max(F.size("vector"))
-    row = topics.agg(F.count("vector").alias("n"), length.alias("d")).first()
-    return row["n"], max(1, row["d"] or 1)
+    row = topics.agg(F.count("*").alias("n"), length.alias("d"), F.sum((size + ids).cast("long")).alias("b")).first()
+    return row["n"], max(1, row["d"] or 1), row["b"] or 0
 
 
 def _vector_dim(df, dim):
@@ -244,9 +307,8 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
     are cut only changes the number of visits, so a few rounds of clustering are enough.
     """
     spark = topics.sparkSession
-    known = topics.select("point_id", "topic_id", vectors.l2_normalise("vector").alias("vector")).filter(
-        "vector is not null"
-    )
+    unit = topics.select("point_id", "topic_id", vectors.l2_normalise("vector").alias("vector"))
+    known = settled(unit.filter("vector is not null"), "unit-topics")
     points = known.select(array_to_vector("vector").alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=5, initMode="random").fit(points)
     centres = spark.sparkContext.broadcast(np.array(model.clusterCenters()))
@@ -368,23 +430,22 @@ def topic_hits(
 ) -> DataFrame:
     """``opinion_id``, the ``keep`` columns and ``hits``, best first, null without a hit.
 
-    ``plan`` is ``broadcast``, ``blocked``, ``cells`` or ``auto``, which measures the topic
-    vectors and takes the broadcast only within ``broadcast_bytes``, else ``blocked``.
-    Blocks of ``topic_rows`` topics and ``opinion_rows`` opinions hold 128 MiB of vectors
-    unless told otherwise: the larger the blocks, the fewer copies of either side are
-    shuffled. ``dim`` is needed for sparse vectors, which ``cells`` does not take.
+    ``plan`` is ``broadcast``, ``blocked``, ``cells`` or ``auto``. The topic vectors are measured
+    as they are stored; ``auto`` and ``broadcast`` send them to every worker within
+    ``broadcast_bytes`` and else take ``blocked``, with the same rows. Blocks of ``topic_rows``
+    topics and ``opinion_rows`` opinions hold 128 MiB of vectors unless told otherwise: the
+    larger the blocks, the fewer copies of either side are shuffled. ``dim`` is needed for
+    sparse vectors, which ``cells`` does not take.
     """
     opinions = opinions.withColumn("opinion_id", F.col("opinion_id").cast("string"))
     topics = topics.withColumns({c: F.col(c).cast("string") for c in ("point_id", "topic_id")})
-    n, dim = _measure(topics, _vector_dim(topics, dim))
-    fits = n * dim * 8 <= broadcast_bytes
-    block = max(1, BLOCK_BYTES // (8 * dim))
-    topic_rows, opinion_rows = topic_rows or block, opinion_rows or block
-    if plan == "auto":
-        plan = "broadcast" if fits else "blocked"
+    topics = topics.filter("vector is not null")
+    n, dim, stored = _measure(topics, _vector_dim(topics, dim))
+    if plan in ("auto", "broadcast"):
+        plan = "broadcast" if stored <= broadcast_bytes else "blocked"
+    block = max(1, BLOCK_BYTES * max(1, n) // max(1, stored))
+    topic_rows, opinion_rows = topic_rows or block, opinion_rows or max(1, BLOCK_BYTES // (8 * dim))
     if plan == "broadcast":
-        if not fits:
-            raise ValueError(f"{n} topics of {dim} numbers exceed {broadcast_bytes} bytes")
         return _broadcast_hits(opinions, topics, k, keep, dim)
     if plan == "blocked":
         return _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows)
@@ -449,14 +510,12 @@ def pair_similarity(pairs: DataFrame, left="left_vector", right="right_vector",
 
     def score(batches):
         for batch in batches:
-            out, mask = [], []
-            starts, step = _chunks(batch.num_rows, 2 * dim)
-            for start in starts:
-                a, has_a = _unit_rows(batch.column(left).slice(start, step), dim)
-                b, has_b = _unit_rows(batch.column(right).slice(start, step), dim)
-                out.append(np.rint((a * b).sum(1) * SCALE) / SCALE)
-                mask.append(~(has_a & has_b))
-            values = pa.array(np.concatenate(out), mask=np.concatenate(mask)) if out else pa.array([], pa.float64())
+            a, b = _unit_entries(batch.column(left)), _unit_entries(batch.column(right))
+            # Both sides have a key for each row and bucket; equal keys meet.
+            keys = [rows * dim + buckets for rows, buckets, _, _ in (a, b)]
+            _, at_a, at_b = np.intersect1d(*keys, assume_unique=True, return_indices=True)
+            total = np.bincount(a[0][at_a], weights=a[2][at_a] * b[2][at_b], minlength=batch.num_rows)
+            values = pa.array(np.rint(total * SCALE) / SCALE, mask=~(a[3] & b[3]))
             yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, "similarity"])
 
     return pairs.mapInArrow(score, T.StructType(pairs.schema.fields + [_field("similarity", "double")]))

@@ -6,7 +6,7 @@ from agoralens.operators.encode import TfIdfEncoder
 from agoralens.plans.inputs import CLASSIFIED_SQL, DIM, opinions, rule_classify, stream
 from agoralens.plans.match_queries import TEXT_HITS_SQL, text_topics
 from agoralens.plans.registry import query
-from agoralens.session import fresh_path
+from agoralens.session import fresh_path, settled
 from agoralens.streaming import state, submissions
 
 STREAM_RESULTS_SQL = f"""{CLASSIFIED_SQL}, {TEXT_HITS_SQL.replace('hits AS', 'topic_hits AS')},
@@ -21,12 +21,14 @@ def _submit_all(spark, sf_dir):
     """All documents submitted as a stream, scored, and written with totals per batch."""
     encoder = TfIdfEncoder.fit(opinions(spark, sf_dir), dim=DIM)
     arriving = stream(spark, sf_dir, "documents").select(F.col("doc_id").alias("opinion_id"), "text")
-    scored = submissions.score_submissions(
-        arriving, encoder, text_topics(spark, sf_dir, encoder), rule_classify, dim=DIM
-    )
+    known = settled(text_topics(spark, sf_dir, encoder), "stream-topics")
+
+    def score(batch):
+        return submissions.score_submissions(batch, encoder, known, rule_classify, dim=DIM)
+
     folder = fresh_path(spark, "submissions")
     run = submissions.submit(
-        scored, f"{folder}/results", f"{folder}/totals", f"{folder}/checkpoint", available_now=True
+        arriving, score, f"{folder}/results", f"{folder}/totals", f"{folder}/checkpoint", available_now=True
     )
     run.awaitTermination()
     return folder
@@ -37,7 +39,7 @@ def _submit_all(spark, sf_dir):
     f"""WITH {STREAM_RESULTS_SQL} SELECT * FROM results""",
 )
 def stream_results(spark, sf_dir):
-    rows = submissions.read_results(spark, f"{_submit_all(spark, sf_dir)}/results")
+    rows = spark.read.parquet(f"{_submit_all(spark, sf_dir)}/results")
     return rows.select(
         "opinion_id",
         "matched_topic_id",

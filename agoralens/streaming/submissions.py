@@ -1,6 +1,6 @@
 """Submitted opinions: scored row by row as they arrive, with totals per batch."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agoralens.functions.text import is_blank
@@ -18,21 +18,18 @@ def without_repeats(submissions: DataFrame, delay="1 hour") -> DataFrame:
 
 
 def score_submissions(
-    submissions: DataFrame, encode, topics: DataFrame, classify, plan="broadcast", **options
+    submissions: DataFrame, encode, topics: DataFrame, classify, **options
 ) -> DataFrame:
-    """Match and classify each submission; works on bounded and on streaming frames.
+    """Match and classify each submission of a bounded frame, such as one batch of a stream.
 
     ``encode(df, text)`` adds ``vector``. ``classify(df)`` adds ``predicted_type`` and
-    ``type_confidence``. Both are narrow, and the topics are broadcast within the size bound
-    of the match, so a stream needs no state and no shuffle. Topics beyond the bound are an
-    error here: score inside ``foreachBatch`` with ``plan="blocked"`` then.
+    ``type_confidence``. The match takes the plan that fits the size of the topics.
     """
     classified = classify(encode(submissions, "text"))
     keep = [c for c in ("text", "user_id", "event_time") if c in classified.columns]
     matched = match_topics(
         classified,
         topics,
-        plan=plan,
         keep=(*keep, "predicted_type", "type_confidence"),
         **options,
     )
@@ -61,16 +58,17 @@ def batch_totals(results: DataFrame) -> DataFrame:
     )
 
 
-def write_batches(results_path: str, totals_path: str):
+def write_batches(score, results_path: str, totals_path: str):
     """A ``foreachBatch`` sink: results and totals of a batch in folders of their own.
 
-    A batch that runs again overwrites its own folders, so nothing is counted twice. The
-    totals are read back from the written results, so a batch is scored once.
+    ``score`` makes the results of a batch. It gets a bounded frame, so topics of any size can
+    be matched. A batch that runs again overwrites its own folders, so nothing is counted
+    twice. The totals are read back from the written results, so a batch is scored once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{results_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
+        score(batch).write.mode("overwrite").parquet(folder)
         written = batch.sparkSession.read.parquet(folder)
         batch_totals(written).coalesce(1).write.mode("overwrite").parquet(
             f"{totals_path}/batch_id={batch_id}"
@@ -79,13 +77,9 @@ def write_batches(results_path: str, totals_path: str):
     return write
 
 
-def submit(stream: DataFrame, results_path, totals_path, checkpoint, available_now=False):
-    """Start the query that writes scored submissions and their batch totals."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        write_batches(results_path, totals_path)
+def submit(arriving: DataFrame, score, results_path, totals_path, checkpoint, available_now=False):
+    """Start the query that scores submissions and writes them with their batch totals."""
+    writer = arriving.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        write_batches(score, results_path, totals_path)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

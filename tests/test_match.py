@@ -96,15 +96,42 @@ def test_threshold_is_inclusive_and_unmatched_rows_stay(spark):
     assert [r["opinion_id"] for r in match_reports.below_threshold(rows).collect()] == ["o002"]
 
 
-def test_auto_leaves_the_broadcast_beyond_its_bound(spark):
-    topics, opinions = topics_of(spark, np.eye(4)), opinions_of(spark, np.eye(4))
-    with pytest.raises(ValueError):
-        match.topic_hits(opinions, topics, plan="broadcast", broadcast_bytes=64)
-    small = match.topic_hits(opinions, topics, broadcast_bytes=64)
+@pytest.mark.parametrize("plan", ["auto", "broadcast"])
+def test_topics_beyond_the_broadcast_bound_take_blocks(spark, plan):
+    topics, opinions = topics_of(spark, [*np.eye(4), None]), opinions_of(spark, np.eye(4))
+    small = match.topic_hits(opinions, topics, plan=plan, broadcast_bytes=64)
     assert "FlatMapCoGroups" in small._jdf.queryExecution().toString()
     same_hits(hits_of(small), hits_of(match.topic_hits(opinions, topics)))
 
 
+@pytest.mark.parametrize("plan", PLANS)
+def test_vectors_without_a_finite_length_meet_nothing(spark, plan):
+    odd = [[float("nan"), 1], [float("inf"), 1], [0, 0], None]
+    topics, opinions = topics_of(spark, [[1, 0], *odd, [0, 1]]), opinions_of(spark, [[1, 1], *odd])
+    options = PLANS[plan] | ({"n_cells": 2} if plan == "cells" else {})
+    got = hits_of(match.topic_hits(opinions, topics, plan=plan, **options))
+    assert [h[0] for h in got.pop("o000")] == ["p000", "p005"]
+    assert all(not hits for hits in got.values()) and len(got) == 4
+
+
+def test_sparse_vectors_give_the_hits_of_dense_ones(spark):
+    rng = np.random.default_rng(5)
+    dense = np.where(rng.random((60, 24)) < 0.2, rng.normal(size=(60, 24)), 0.0)
+    dense[7] = dense[3] * 2
+    dense[8] = 0
+
+    def sparse(df):
+        at = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda i: F.get("vector", i) != 0)
+        values = F.transform(at, lambda i: F.get("vector", i))
+        return df.withColumn("vector", F.struct(at.alias("indices"), values.alias("values")))
+
+    opinions, topics = opinions_of(spark, dense[:30]), topics_of(spark, dense[:40], [f"t{i % 7}" for i in range(40)])
+    expected = hits_of(match.topic_hits(opinions, topics))
+    # Among topics of cosine zero the order is that of the ids in either form.
+    for options in ({}, {"broadcast_bytes": 8}, {"plan": "blocked", "topic_rows": 6, "opinion_rows": 5}):
+        same_hits(hits_of(match.topic_hits(sparse(opinions), sparse(topics), dim=24, **options)), expected)
+
+
 def test_kept_columns_pass_through(spark):
     o = opinions_of(spark, [[1, 0]]).withColumn("topic_id", F.lit("t000"))
     row = match.match_topics(o, topics_of(spark, [[1, 0]]), keep=("topic_id",)).first()
