@@ -12,18 +12,15 @@ from agoralens.functions.text import bullet_list, normal_label, percent_text
 def first_texts(df: DataFrame, keys, n, id_col="opinion_id", text="text", where=None) -> DataFrame:
     """The first n texts per key in id order, with their ``rank``.
 
-    Each task keeps at most n rows per key before the shuffle, so a hot topic sends no more
-    than n rows per task.
+    Only keys and ids are ranked, and each task keeps at most n of them per key before the
+    shuffle. The texts of the few ids that are left are fetched by a join on the unique id.
     """
     rows = df.filter(F.col(text).isNotNull())
     if where is not None:
         rows = rows.filter(where)
     w = Window.partitionBy(*keys).orderBy(id_col)
-    return (
-        rows.select(*keys, id_col, text)
-        .withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= n)
-    )
+    ranked = rows.select(*keys, id_col).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return df.select(id_col, text).join(ranked, id_col).select(*keys, id_col, text, "rank")
 
 
 def position_counts(df: DataFrame, topic="matched_topic_id", label="predicted_type") -> DataFrame:

@@ -1,7 +1,8 @@
 """Evaluation tables from true and predicted labels.
 
 Everything is derived from the confusion counts, whose size is the square of the number of
-classes. Labels are the union of the true and the predicted ones.
+classes. Labels are the union of the true and the predicted ones. A missing prediction is a miss
+for its true label and no class of its own; a missing true label counts against the prediction.
 """
 
 from pyspark.sql import DataFrame
@@ -52,7 +53,7 @@ def _per_class(df, true, predicted):
             )
         )
     )
-    sums = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
+    sums = sides.filter("label is not null").groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     precision = _ratio(F.col("hits"), F.col("predicted"))
     recall = _ratio(F.col("hits"), F.col("support"))
     return sums.select(

@@ -86,6 +86,16 @@ per_class AS (
     coalesce(hits::DOUBLE / nullif(support, 0), 0) AS recall,
     coalesce(2.0::DOUBLE * hits / nullif(predicted + support, 0), 0) AS f1 FROM sums)"""
 NAMES = ("precision", "recall", "f1")
+# The same over the rows that the split holds out.
+VALIDATION_SQL = PER_CLASS_SQL.replace("classified AS (", "whole AS (").replace(
+    "\nnames AS (",
+    """
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY type ORDER BY md5('42:' || opinion_id))
+    <= round(count(*) OVER (PARTITION BY type) * 0.2::DOUBLE) AS is_validation FROM whole),
+classified AS (SELECT * FROM marked WHERE is_validation),
+names AS (""",
+)
 
 
 def _avg_sql(c):
@@ -145,15 +155,18 @@ def distribution_compare(spark, sf_dir):
 
 @query(
     "run_summary",
-    f"""WITH {PER_CLASS_SQL}
-SELECT (SELECT count(*) FROM classified) AS total, (SELECT count(DISTINCT type) FROM classified) AS classes,
+    f"""WITH {VALIDATION_SQL}
+SELECT (SELECT count(*) FROM whole) AS total, (SELECT count(DISTINCT type) FROM whole) AS classes,
   round(sum(hits)::DOUBLE / sum(support), 6) AS accuracy, round({_weighted_sql('f1')}, 6) AS f1_weighted,
   round(avg(f1), 6) AS f1_macro FROM per_class""",
 )
 def run_summary(spark, sf_dir):
+    """Metrics on the fifth of each class that the split holds out."""
     df = classified(spark, sf_dir)
+    split = stratified_split(df.select("opinion_id", "type"), "type", "opinion_id")
+    held = df.join(split.filter("is_validation").select("opinion_id"), "opinion_id")
     return rounded(
-        metrics.run_summary(df, df, "type", "predicted_type"), "accuracy", "f1_weighted", "f1_macro"
+        metrics.run_summary(df, held, "type", "predicted_type"), "accuracy", "f1_weighted", "f1_macro"
     )
 
 

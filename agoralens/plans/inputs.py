@@ -63,11 +63,10 @@ def opinions(spark, sf_dir):
 
 def topics(spark, sf_dir):
     """One row per source: its shortest text, the lowest id among equals."""
-    shortest = F.min_by(F.struct("text", "lang"), F.struct("n_chars", "doc_id"))
-    rows = table(spark, sf_dir, "documents").groupBy("source").agg(shortest.alias("s"))
-    return rows.select(
-        F.col("source").alias("id"), F.col("source").alias("topic_id"), "s.text", F.col("s.lang").alias("type")
-    )
+    docs = table(spark, sf_dir, "documents")
+    shortest = docs.groupBy("source").agg(F.min(F.struct("n_chars", "doc_id")).alias("s"))
+    rows = docs.join(shortest.select("s.doc_id"), "doc_id")
+    return rows.select(F.col("source").alias("id"), F.col("source").alias("topic_id"), "text", F.col("lang").alias("type"))
 
 
 def rule_classify(df):
@@ -90,8 +89,8 @@ def rule_classify(df):
 
 
 def classified(spark, sf_dir):
-    """The classified opinions as a stored table, as the steps after the classifier find them."""
-    return settled(rule_classify(opinions(spark, sf_dir)), "classified")
+    """The classified opinions. They are not stored: a query reads the columns that it needs."""
+    return rule_classify(opinions(spark, sf_dir))
 
 
 def vector_opinions(spark, sf_dir):

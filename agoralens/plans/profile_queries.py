@@ -170,6 +170,18 @@ def dup_counts(spark, sf_dir):
     return both.withColumn("text_duplicates", texts)
 
 
+@query(
+    "dup_times",
+    """SELECT (count(*) - (SELECT count(*) FROM (SELECT DISTINCT event_type, epoch_us(ts) % 5000 FROM events)))::BIGINT
+  AS duplicates FROM events""",
+)
+def dup_times(spark, sf_dir):
+    """Repeated times that differ in microseconds only: the last five milliseconds of each event."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) % 5000
+    events = table(spark, sf_dir, "events")
+    return profile.duplicate_rows(events.select("event_type", F.timestamp_micros(micros).alias("at")))
+
+
 @query(
     "dup_keys",
     "SELECT (count(*) - count(DISTINCT source))::BIGINT AS duplicates FROM documents",
@@ -312,6 +324,13 @@ def describe_topic_counts(spark, sf_dir):
     return df.withColumns({c: F.round(c, 6) for c in ROUNDED})
 
 
+@query("describe_ids", f"{_describe_sql('doc_id', 'doc_id')} FROM documents")
+def describe_ids(spark, sf_dir):
+    """A key of 64 bits, all of whose values differ."""
+    df = profile.describe(table(spark, sf_dir, "documents"), "doc_id")
+    return df.withColumns({c: F.round(c, 6) for c in ROUNDED})
+
+
 def histogram_sql(source, value, bins, extra=""):
     """Bins with exact edges: a value lies in the bin whose edges hold it, the last is closed."""
     return f"""span AS (SELECT min({value})::DOUBLE AS a, max({value})::DOUBLE AS b FROM {source}),

@@ -72,9 +72,10 @@ def _event_stream(spark, sf_dir):
     )
 
 
-def _updates(spark, df):
+def _updates(spark, df, keys):
     folder = fresh_path(spark, "updates")
-    state.keep_updates(df, f"{folder}/rows", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    run = state.keep_updates(df, f"{folder}/rows", f"{folder}/checkpoint", keys, available_now=True)
+    run.awaitTermination()
     return f"{folder}/rows"
 
 
@@ -85,9 +86,10 @@ SELECT user_id::VARCHAR AS topic_id, event_type AS "position", count(*) AS count
   round(conf, 9) AS avg_confidence FROM events JOIN t USING (user_id) GROUP BY user_id, event_type, total, conf""",
 )
 def stream_topic_state(spark, sf_dir):
-    """The running position map of each topic after all events, as rows."""
-    unique = submissions.without_repeats(_event_stream(spark, sf_dir), "40 days")
-    rows = state.topic_state(spark, _updates(spark, state.running_counts(unique)))
+    """The running position map of each topic after all events, as rows. Every event arrives twice."""
+    twice = _event_stream(spark, sf_dir).union(_event_stream(spark, sf_dir))
+    unique = submissions.without_repeats(twice, "40 days")
+    rows = state.topic_state(spark, _updates(spark, state.running_counts(unique), ("topic_id", "position")))
     return rows.select(
         "topic_id",
         F.explode("position_distribution").alias("position", "count"),
@@ -101,6 +103,6 @@ def stream_topic_state(spark, sf_dir):
     """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS "position", count(*) AS count FROM events GROUP BY ALL""",
 )
 def stream_daily(spark, sf_dir):
-    path = _updates(spark, state.daily_counts(_event_stream(spark, sf_dir), "40 days"))
-    rows = state.latest(spark, path, ("day", "position"))
+    daily = state.daily_counts(_event_stream(spark, sf_dir), "40 days")
+    rows = state.latest(spark, _updates(spark, daily, ("day", "position")))
     return rows.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "position", "count")

@@ -1,5 +1,6 @@
 """Running position counts per topic and per day."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,32 +28,56 @@ def daily_counts(scored: DataFrame, delay="1 day") -> DataFrame:
     )
 
 
-def write_updates(path: str):
-    """A ``foreachBatch`` sink for update mode: the changed rows of each batch."""
+def _version(path: str, batch_id: int) -> str:
+    return f"{path}/version={batch_id % 2}"
+
+
+def _read_version(spark: SparkSession, path: str):
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_updates(path: str, keys):
+    """A ``foreachBatch`` sink for update mode: the current row of every key.
+
+    A batch lays its rows over the table that the batch before it left, and writes the result to
+    the other of two folders. A batch that runs again does the same again. The cost of a batch
+    is that of the state, however many batches came before.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        fresh = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        before = _read_version(batch.sparkSession, _version(path, batch_id - 1))
+        if before is not None:
+            changed = fresh.select(*keys).distinct()
+            same = [before[k].eqNullSafe(changed[k]) for k in keys]
+            stays = before.join(changed, same, "left_anti")
+            fresh = fresh.unionByName(stays.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        fresh.write.mode("overwrite").parquet(_version(path, batch_id))
 
     return write
 
 
-def keep_updates(stream: DataFrame, path, checkpoint, available_now=False):
+def keep_updates(stream: DataFrame, path, checkpoint, keys, available_now=False):
     writer = (
         stream.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_updates(path))
+        .foreachBatch(write_updates(path, keys))
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def latest(spark: SparkSession, path: str, keys) -> DataFrame:
-    """The newest row of every key among the written updates."""
-    updates = spark.read.parquet(path)
-    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
-    return updates.groupBy(*keys).agg(newest).select(*keys, "v.*")
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The current row of every key: the newer of the two versions."""
+    versions = [df for df in (_read_version(spark, _version(path, b)) for b in (0, 1)) if df is not None]
+    newest = max(versions, key=lambda df: df.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0])
+    return newest.drop("batch_id")
 
 
 def topic_state(spark: SparkSession, path: str) -> DataFrame:
     """The running position map, total and mean confidence of each topic."""
-    return fold_counts(latest(spark, path, ("topic_id", "position")))
+    return fold_counts(latest(spark, path))

@@ -128,3 +128,18 @@ def test_pivot_keeps_the_order_of_the_largest_topics(spark):
     df = frame(spark, rows, "topic_id string, type string")
     got = [tuple(r) for r in profile.top_type_by_topic(df, ("x", "y"), 2).collect()]
     assert got == [("b", 1, 2, 3), ("a", 2, 0, 2)]
+
+
+def test_duplicates_keep_microseconds_and_fold_zeros_and_nan(spark):
+    sql = """SELECT * FROM VALUES
+      (timestamp'2024-01-01 00:00:00.000001', 0.0D, array(0.0D), x'00'),
+      (timestamp'2024-01-01 00:00:00.000002', 0.0D, array(0.0D), x'00'),
+      (timestamp'2024-01-01 00:00:00.000001', -0.0D, array(-0.0D), x'00'),
+      (timestamp'2024-01-01 00:00:00.000001', double('nan'), array(double('nan')), x'00'),
+      (timestamp'2024-01-01 00:00:00.000001', double('nan'), array(double('nan')), x'00'),
+      (timestamp'2024-01-01 00:00:00.000001', double('nan'), array(double('nan')), x'01'),
+      (null, null, null, null), (null, null, null, null) AS t(at, x, xs, b)"""
+    df = spark.sql(sql)
+    assert profile.duplicate_rows(df).first()[0] == df.count() - df.distinct().count() == 3
+    ntz = df.selectExpr("cast(at AS timestamp_ntz) AS at", "struct(x, at) AS s")
+    assert profile.duplicate_rows(ntz).first()[0] == ntz.count() - ntz.distinct().count()
