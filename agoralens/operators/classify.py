@@ -3,9 +3,10 @@
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import (
     IDF,
+    CountVectorizerModel,
     HashingTF,
     IndexToString,
     RegexTokenizer,
@@ -102,6 +103,42 @@ def train_classifier(
     return Trained(PipelineModel(stages=stages + last), history, split)
 
 
+def train_bayes(
+    opinions: DataFrame,
+    vocabulary,
+    label="type",
+    id_col="opinion_id",
+    share=fv.SPLIT_SHARE,
+    seed=fv.SPLIT_SEED,
+    smoothing=1.0,
+    balanced=True,
+) -> Trained:
+    """Multinomial naive Bayes on the counts of the words of ``vocabulary``.
+
+    A sum for each class and word is all that it learns, in one pass over the stored counts.
+    ``balanced`` weights give all classes the same share, so a text without a listed word then
+    ties between them.
+    """
+    usable = opinions.filter(F.col("text").isNotNull() & F.col(label).isNotNull())
+    tokens = RegexTokenizer(inputCol="text", outputCol="_tokens", pattern=fv.TOKEN_PATTERN, gaps=False)
+    words = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="_tokens", outputCol="_features")
+    counted = PipelineModel(stages=[tokens, words]).transform(usable)
+    stored = settled(counted.select(id_col, F.col(label).alias("_label"), "_features"), "word-counts")
+    rows = stratified_split(stored, "_label", id_col, share, seed)
+    train = rows.filter(~F.col("is_validation"))
+    encoder = label_encoder(train, "_label")
+    weights = class_weights(train, "_label").select("_label", "weight")
+    weighted = train.withColumn("_weight", one_row_map(weights, "_label", "weight")[F.col("_label")])
+    bayes = NaiveBayes(featuresCol="_features", labelCol="label_id", smoothing=smoothing)
+    bayes = bayes.setWeightCol("_weight") if balanced else bayes
+    fitted = bayes.fit(encoder.setOutputCol("label_id").transform(weighted))
+    decoder = label_decoder(encoder, "prediction", "predicted_type")
+    scored = PipelineModel(stages=[fitted, decoder]).transform(rows)
+    history = training_history(scored, encoder.labels, weights, 1)
+    split = rows.select(id_col, F.col("_label").alias(label), "is_validation")
+    return Trained(PipelineModel(stages=[tokens, words, fitted, decoder]), history, split)
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The rows with ``predicted_type``, ``type_confidence`` and class ``probabilities``.
 

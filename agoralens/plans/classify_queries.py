@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from agoralens.operators import classify as clf
 from agoralens.operators import metrics
 from agoralens.operators.split import stratified_split
-from agoralens.plans.inputs import CLASSIFIED_SQL, POSITION_OF, classified, opinions, table
+from agoralens.plans.inputs import CLASSIFIED_SQL, POSITION_OF, WORDS, classified, opinions, table
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path
 from agoralens.sources.model_store import load_model, save_model, write_history
@@ -170,6 +170,89 @@ def run_summary(spark, sf_dir):
     )
 
 
+VOCABULARY = sorted({w for words in WORDS.values() for w in words})
+# Naive Bayes in closed form: class sums with one added, and the posterior of every opinion.
+def _bayes_sql(weight):
+    """``bayes``: the posterior of every opinion, with the weight of a training row of each class."""
+    return f"""{CLASSIFIED_SQL},
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY type ORDER BY md5('42:' || opinion_id))
+    <= round(count(*) OVER (PARTITION BY type) * 0.2::DOUBLE) AS is_validation FROM classified),
+vocabulary AS (SELECT unnest([{', '.join(f"'{w}'" for w in VOCABULARY)}]) AS word),
+words AS (
+  SELECT opinion_id, word, count(*) AS n FROM (
+    SELECT opinion_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM opinions)
+  SEMI JOIN vocabulary USING (word) GROUP BY ALL),
+train AS (SELECT * FROM marked WHERE NOT is_validation),
+weights AS (
+  SELECT type, (SELECT count(*) FROM train)::DOUBLE / ((SELECT count(DISTINCT type) FROM train) * count(*)) AS w
+  FROM train GROUP BY type),
+prior AS (
+  SELECT type, ln((sum({weight}) + 1) / (sum(sum({weight})) OVER () + count(*) OVER ())) AS pi
+  FROM train JOIN weights USING (type) GROUP BY type),
+sums AS (
+  SELECT p.type, v.word, coalesce(sum(n * {weight}), 0) AS s FROM prior p CROSS JOIN vocabulary v
+  LEFT JOIN (SELECT * FROM train JOIN weights USING (type) JOIN words USING (opinion_id)) t
+    ON t.type = p.type AND t.word = v.word GROUP BY ALL),
+theta AS (
+  SELECT type, word, ln((s + 1) / (sum(s) OVER (PARTITION BY type) + {len(VOCABULARY)})) AS theta FROM sums),
+logs AS (
+  SELECT m.opinion_id, p.type AS class, any_value(pi) + coalesce(sum(n * theta), 0) AS l
+  FROM marked m CROSS JOIN prior p LEFT JOIN words w ON w.opinion_id = m.opinion_id
+  LEFT JOIN theta t ON t.type = p.type AND t.word = w.word GROUP BY ALL),
+shares AS (
+  SELECT opinion_id, class, exp(l - max(l) OVER o) / sum(exp(l - m)) OVER o AS p
+  FROM (SELECT *, max(l) OVER (PARTITION BY opinion_id) AS m FROM logs) WINDOW o AS (PARTITION BY opinion_id)),
+bayes AS (
+  SELECT opinion_id, m.type, is_validation, arg_max(class, p) AS predicted, max(p) AS confidence,
+    -ln(greatest(max(p) FILTER (class = m.type), 1e-15)) AS loss
+  FROM marked m JOIN shares USING (opinion_id) GROUP BY ALL)"""
+
+
+def _bayes(spark, sf_dir, **options):
+    return clf.train_bayes(opinions(spark, sf_dir), VOCABULARY, **options)
+
+
+@query(
+    "bayes_predict",
+    f"""WITH {_bayes_sql('1')}
+SELECT opinion_id, type, predicted AS predicted_type, round(confidence, 6) AS type_confidence FROM bayes""",
+)
+def bayes_predict(spark, sf_dir):
+    """Predictions of a saved and restored naive Bayes model for all documents."""
+    path = fresh_path(spark, "bayes")
+    save_model(_bayes(spark, sf_dir, balanced=False).model, path)
+    rows = clf.predict(load_model(path), opinions(spark, sf_dir))
+    return rounded(rows.select("opinion_id", "type", "predicted_type", "type_confidence"), "type_confidence")
+
+
+@query(
+    "bayes_balanced",
+    f"WITH {_bayes_sql('w')} SELECT opinion_id, is_validation, round(confidence, 6) AS type_confidence FROM bayes",
+)
+def bayes_balanced(spark, sf_dir):
+    """The part of each document in the split, and its confidence by a model with class weights."""
+    trained = _bayes(spark, sf_dir)
+    rows = clf.predict(trained.model, opinions(spark, sf_dir)).join(trained.split.drop("type"), "opinion_id")
+    return rounded(rows.select("opinion_id", "is_validation", "type_confidence"), "type_confidence")
+
+
+@query(
+    "bayes_history",
+    f"""WITH {_bayes_sql('1')}
+SELECT 1 AS epoch, round(sum(loss * w) FILTER (NOT is_validation) / sum(w) FILTER (NOT is_validation), 6) AS train_loss,
+  round(avg((type = predicted)::INTEGER) FILTER (NOT is_validation), 6) AS train_accuracy,
+  round(avg(loss) FILTER (is_validation), 6) AS val_loss,
+  round(avg((type = predicted)::INTEGER) FILTER (is_validation), 6) AS val_accuracy
+FROM bayes JOIN weights USING (type)""",
+)
+def bayes_history(spark, sf_dir):
+    """Loss and accuracy of both parts, written and read back."""
+    path = fresh_path(spark, "history")
+    write_history(_bayes(spark, sf_dir, balanced=False).history, path)
+    return rounded(spark.read.parquet(path), "train_loss", "train_accuracy", "val_loss", "val_accuracy")
+
+
 def _train(spark, sf_dir):
     return clf.train_classifier(opinions(spark, sf_dir), max_iter=10)
 
