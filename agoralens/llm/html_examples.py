@@ -59,9 +59,9 @@ FILL = {"{L}": LONG, "{M}": MIDDLE, "{S}": SHORT, "{N}": LINKS}
 
 # The same page with a box of each name inside and beside the main text.
 _BOX = (
-    '<body><nav><ul>{N}</ul></nav><div class="%s"><p>{L}</p><p>{M}</p></div><article data-y="1"><h1>{S}</h1><p>{L}</p>'
-    '<div><p>{M}</p></div><div data-y="0" class="%s"><p>{M}</p></div><p>{L}</p></article><div class="%s">{L}</div>'
-    "<footer><p>{L}</p></footer></body>"
+    '<body><nav><div><ul>{N}</ul></div></nav><div class="%s"><div><p>{L}</p><div>{M}</div></div></div><article data-y="1">'
+    '<h1>{S}</h1><p>{L}</p><div><p>{M}</p></div><div data-y="0" class="%s"><div><h3>{S}</h3><p>{M}</p></div></div><p>{L}</p>'
+    '</article><div class="%s">{L}</div><footer><div><p>{L}</p><div>{S}</div></div></footer></body>'
 )
 _NAMED = '<body><ul>{N}</ul><div data-y="1" class="%s"><h1>{S}</h1><p>{L}</p><p>{M}</p><p>{L}</p></div><footer>{M}</footer></body>'
 

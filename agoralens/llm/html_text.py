@@ -48,7 +48,9 @@ NAMES = {
     "form": "form login signup signin subscribe subscription newsletter search register input",
     "share": "share sharing social tags tag meta byline toolbar buttons actions",
 }
-TOLD = {word: kind for kind, words in NAMES.items() for word in words.split()}
+#: Boxes of the layout say nothing, whatever else their names hold.
+LAYOUT = "wrap wrapper container layout page site row col column grid"
+TOLD = {word: "layout" for word in LAYOUT.split()} | {word: kind for kind, words in NAMES.items() for word in words.split()}
 ORDER = ["comment", "advert", "notice", "side", "form", "share", "menu", "edge", "content"]
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 LENGTHS = (0, 25, 80, 200)
@@ -64,7 +66,7 @@ def named(attributes):
     for name, value in attributes:
         if name in ("class", "id", "role") and value:
             found.update(TOLD.get(w.lower()) for w in WORD.findall(value))
-    return next((kind for kind in ORDER if kind in found), None)
+    return None if "layout" in found else next((kind for kind in ORDER if kind in found), None)
 
 
 class Page(HTMLParser):
@@ -73,7 +75,7 @@ class Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parent, self.group, self.kind = [-1], ["root"], [None]
-        self.length, self.linked, self.stops, self.label = [0], [0], [0], [None]
+        self.length, self.linked, self.stops, self.label, self.inside = [0], [0], [0], [None], [False]
         self.open = [("#root", 0)]  # element and its node
         self.silent, self.links, self.block = 0, 0, 0
         self.segments = []  # node, block, text
@@ -93,7 +95,7 @@ class Page(HTMLParser):
             self._close_above("p", SCOPES)
         for other in ITEMS.get(tag, ()):
             self._close_above(other, SCOPES)
-        block, kind = tag in BLOCKS, named(attrs)
+        block, kind = tag in BLOCKS, None if tag in ("html", "body", "main") else named(attrs)
         self.block += block
         if tag in VOID:
             return
@@ -104,6 +106,7 @@ class Page(HTMLParser):
             self.group.append(GROUPS.get(tag, "other" if block else "inline"))
             self.kind.append(kind)
             self.label.append(int(marks[0]) if marks else self.label[node])
+            self.inside.append(self.inside[node] or self.group[-1] in FRAMES or kind not in (None, "content"))
             for counts in (self.length, self.linked, self.stops):
                 counts.append(0)
             node = len(self.parent) - 1
@@ -182,9 +185,10 @@ class Page(HTMLParser):
         )
 
     def place(self, node):
-        """The kind of element that decides how a node follows its parent."""
+        """What decides how a node follows its parent: the kind of element, and whether it stands
+        inside of one that says it is not main text."""
         plain = self.group[node] in FRAMES or self.kind[node] in (None, "content")
-        return self.group[node] if plain else "named"
+        return (self.group[node] if plain else "named") + (" inside" if self.inside[self.parent[node]] else "")
 
 
 def read_page(html):
@@ -204,6 +208,15 @@ def _events(page):
             yield fact, y
 
 
+def _chance(odds):
+    return 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
+
+
+def _log_mix(chance, odds):
+    """The log of ``1 - chance + chance * exp(odds)``."""
+    return math.log(1 - chance + chance * math.exp(odds)) if odds < 0 else odds + math.log((1 - chance) * math.exp(-odds) + chance)
+
+
 @dataclass
 class TreeModel:
     """For each element and parent label the chance of main text; for each fact its log ratio."""
@@ -212,35 +225,28 @@ class TreeModel:
     facts: dict
 
     def marginals(self, page):
-        """The chance of main text of each node, by messages up and down the tree."""
+        """The chance of main text of each node, by messages up and down the tree.
+
+        All messages are log odds of main text, so they do not vanish on wide or deep pages.
+        """
         n = len(page.parent)
-        up = [[1.0, 1.0] for _ in range(n)]
-        sent = [None] * n
+        up, sent, down, out = [0.0] * n, [0.0] * n, [-math.inf] * n, [0.0] * n
         for i in range(n - 1, 0, -1):
-            ratio = sum(self.facts.get(fact, 0.0) for fact in page.evidence(i))
-            no, yes = up[i]
-            yes *= math.exp(max(-30.0, min(30.0, ratio)))
-            up[i] = no, yes = no / (no + yes), yes / (no + yes)
-            a, b = self.step(page.place(i))
-            sent[i] = m0, m1 = (1 - a) * no + a * yes, (1 - b) * no + b * yes
-            p = up[page.parent[i]]
-            p[0], p[1] = p[0] * m0, p[1] * m1
-            total = p[0] + p[1]
-            if total < 1e-100:
-                p[0], p[1] = p[0] / total, p[1] / total
-        down, out = [(1.0, 0.0)] * n, [0.0] * n
+            up[i] += sum(self.facts.get(fact, 0.0) for fact in page.evidence(i))
+            apart, within = self.step(page.place(i))
+            sent[i] = _log_mix(within, up[i]) - _log_mix(apart, up[i])
+            up[page.parent[i]] += sent[i]
         for i in range(1, n):
-            p, (m0, m1) = page.parent[i], sent[i]
-            no, yes = down[p][0] * up[p][0] / m0, down[p][1] * up[p][1] / m1
-            no, yes = no / (no + yes), yes / (no + yes)
-            a, b = self.step(page.place(i))
-            down[i] = no * (1 - a) + yes * (1 - b), no * a + yes * b
-            no, yes = down[i][0] * up[i][0], down[i][1] * up[i][1]
-            out[i] = yes / (no + yes)
+            p = page.parent[i]
+            above = _chance(down[p] + up[p] - sent[i])
+            apart, within = self.step(page.place(i))
+            prior = (1 - above) * apart + above * within
+            down[i] = math.log(prior) - math.log1p(-prior)
+            out[i] = _chance(down[i] + up[i])
         return out
 
     def step(self, group):
-        return self.steps.get(group) or self.steps["other"]
+        return self.steps.get(group) or self.steps["other inside" if group.endswith(" inside") else "other"]
 
     def text(self, html):
         """The main text of a page: its blocks in page order, one line each."""
@@ -278,12 +284,13 @@ def train(labelled) -> TreeModel:
     yes = sum(r["yes"] for r in rows if r["what"].startswith("step"))
     for row in rows:
         if row["what"].startswith("step"):
-            _, group, above = row["what"].split(" ")
+            group, above = row["what"].removeprefix("step ").rsplit(" ", 1)
             chance = (row["yes"] + SMOOTH) / (row["no"] + row["yes"] + 2 * SMOOTH)
             steps.setdefault(group, [0.1, 0.9])[int(above)] = chance
         else:
             facts[row["what"]] = math.log((row["yes"] + SMOOTH) / (yes + 1)) - math.log((row["no"] + SMOOTH) / (no + 1))
     steps.setdefault("other", [0.1, 0.9])
+    steps.setdefault("other inside", [0.01, 0.9])
     return TreeModel(steps, facts)
 
 

@@ -148,7 +148,7 @@ class Codec:
         if self.charsmap is not None:
             text = self.charsmap.normalize_str(text)
         if self.model.remove_extra:
-            text = re.sub(" +", " ", text.replace(MARK, " ")).strip(" ")
+            text = re.sub(" +", " ", text).strip(" ")
         if not text:
             return ""
         return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
