@@ -24,7 +24,7 @@ from agoralens.plans.inputs import (
 from agoralens.plans.profile_queries import histogram_sql
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path, settled
-from agoralens.sources.vector_table import vector_table, write_vectors
+from agoralens.sources.vector_table import merge_vectors, vector_table, write_vectors
 
 ROUND = 6
 
@@ -375,8 +375,7 @@ def vector_upsert(spark, sf_dir):
     arriving = point(first, F.col("vec_id").cast("string"), "replaced").unionByName(
         point(first, F.concat(F.lit("new "), F.col("label").cast("string")), "added")
     )
-    write_vectors(arriving, path, recreate=False)
-    return spark.read.parquet(path).select("point_id", "topic_text")
+    return spark.read.parquet(merge_vectors(arriving, path)).select("point_id", "topic_text")
 
 
 @query(

@@ -4,11 +4,11 @@ Columns: ``point_id`` (unique), ``topic_id`` (may repeat), ``topic_text``, ``vec
 ``payload`` (a map of texts).
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agoralens.session import fresh_path
-
 COLUMNS = ("point_id", "topic_id", "topic_text", "vector", "payload")
 
 
@@ -44,21 +44,28 @@ def vector_table(
 
 
 def upsert(stored: DataFrame, arriving: DataFrame) -> DataFrame:
-    """The stored points with the arriving ones put in or replaced, by ``point_id``."""
-    kept = stored.join(arriving.select("point_id"), "point_id", "left_anti")
-    return kept.select(arriving.columns).unionByName(arriving)
+    """The stored points with the arriving ones put in or replaced, by ``point_id``.
+
+    Of arriving rows with one id, the one with the last text in order is taken.
+    """
+    columns = arriving.columns
+    last = F.max_by(F.struct(*columns), F.col("topic_text")).alias("p")
+    fresh = arriving.groupBy("point_id").agg(last).select("p.*")
+    kept = stored.join(fresh.select("point_id"), "point_id", "left_anti")
+    return kept.select(columns).unionByName(fresh)
+
+
+def write_vectors(df: DataFrame, path: str) -> None:
+    """Write the vector table."""
+    df.write.mode("overwrite").parquet(path)
 
 
-def write_vectors(df: DataFrame, path: str, recreate=True) -> None:
-    """Write the vector table. Without ``recreate`` the points are merged into it.
+def merge_vectors(df: DataFrame, path: str) -> str:
+    """Merge points into the table at ``path``: the path of a new version beside it.
 
-    A merge is written beside the old table before the old one is overwritten from it, so
-    the job never reads the files it replaces.
+    The old version stays as it is, so a merge that breaks off harms nothing. The table is
+    written once.
     """
-    spark = df.sparkSession
-    if recreate:
-        df.write.mode("overwrite").parquet(path)
-        return
-    merged = fresh_path(spark, "vectors")
-    upsert(spark.read.parquet(path), df).write.parquet(merged)
-    spark.read.parquet(merged).write.mode("overwrite").parquet(path)
+    version = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    upsert(df.sparkSession.read.parquet(path), df).write.parquet(version)
+    return version

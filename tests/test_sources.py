@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from agoralens import schemas
 from agoralens.operators.encode import TfIdfEncoder
 from agoralens.sources import tables
-from agoralens.sources.vector_table import vector_table, write_vectors
+from agoralens.sources.vector_table import merge_vectors, vector_table, write_vectors
 
 ROWS = [
     ("1", "007ACE74B050", 'It says, "not easy",\nto tell', "Position"),
@@ -65,8 +65,10 @@ def test_vectors_with_payload_and_merge(spark, tmp_path):
     assert got["1"]["payload"] == {"topic_id": "a", "topic_text": "cats"}
     assert got["2"]["payload"] == {"topic_id": "a", "topic_text": "changed", "lang": "en"}
     new = spark.createDataFrame([("2", "b", "birds"), ("3", "c", "cows")], "id string, topic_id string, text string")
-    write_vectors(vector_table(new, encoder), path, recreate=False)
-    got = {r["point_id"]: r["topic_text"] for r in spark.read.parquet(path).collect()}
-    assert got == {"1": "cats", "2": "birds", "3": "cows"}
+    twice = vector_table(new.union(new.filter("id = '3'").selectExpr("id", "topic_id", "'bees'")), encoder)
+    merged = merge_vectors(twice, path)
+    got = {r["point_id"]: r["topic_text"] for r in spark.read.parquet(merged).collect()}
+    assert got == {"1": "cats", "2": "birds", "3": "cows"} and spark.read.parquet(merged).count() == 3
+    assert spark.read.parquet(path).count() == 2
     write_vectors(vector_table(new, encoder), path)
     assert spark.read.parquet(path).count() == 2
