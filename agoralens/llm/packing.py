@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
 from agoralens.llm.common import slices, wider
@@ -26,36 +27,68 @@ ROUNDS = 8
 BATCH_CHARS = 4_000_000
 CACHED_WORDS = 400_000
 
-#: White space in UTF-8 other than space and newline, and runs with a space in them.
+#: White space in UTF-8 other than space and newline; with it, runs with a space in them.
 _OTHER_SPACE = [c.encode() for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-_RUNS = [b"  ", b" \n", b"\n "]
+_UNSAFE = [b"  ", b" \n", b"\n ", *_OTHER_SPACE]
+#: How byte-level BPE cuts a text (fixed value).
+PARTS = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+STOPS = ".,;:!?"
+
+
+def _byte_names():
+    """The character by which a vocabulary names each byte: itself if it can be seen, else the next
+    one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTES = _byte_names()
 
 
 class WordTokenizer:
     """Ids of whole texts through a byte-level BPE tokenizer, each word encoded once.
 
     Byte-level BPE cuts a text before every single space between two words, so the ids of a text
-    are those of its words, each with the space before it. Texts with other white space next to a
-    space are encoded as a whole.
+    are those of its words, each with the space before it. A new word is cut into letters, digits
+    and signs, and the model of the tokenizer merges the bytes of each part. Texts with other
+    white space next to a space, or with a special token, are encoded as a whole.
     """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if self.tokenizer.normalizer is not None:
+            raise ValueError("a byte-level tokenizer without a normaliser is needed")
+        self.merge = self.tokenizer.model.tokenize
+        self.stops = {s: self._part(s) for s in STOPS}
         self.cache = {}
 
     def _encode(self, texts):
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
+    def _part(self, part):
+        tokens = self.merge(part.encode().decode("latin-1").translate(BYTES))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _word(self, word):
+        bare = word[:-1]
+        if word.isalpha():
+            return self._part(f" {word}")
+        if bare.isalpha() and word[-1] in self.stops:
+            return (self.cache.get(bare) or self._part(f" {bare}")) + self.stops[word[-1]]
+        return b"".join(map(self._part, PARTS.findall(f" {word}")))
+
     def encode(self, texts):
         """The ids of each text as little-endian numbers of 32 bits."""
         words, whole = [], []
         for i, text in enumerate(texts):
             octets = text.encode("utf-8", "replace")
             edge = octets[:1].isspace() or octets[-1:].isspace()
-            if edge or any(s in octets for s in _RUNS) or any(s in octets for s in _OTHER_SPACE):
+            if edge or any(s in octets for s in _UNSAFE) or any(t in text for t in self.special):
                 whole.append(i)
                 words.append(None)
             else:
@@ -65,12 +98,13 @@ class WordTokenizer:
             out[i] = ids
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-        first = [w[0] if w else "" for w in words]
-        new = list(set().union(*(w[1:] for w in words if w)) - self.cache.keys())
-        self.cache.update(zip(new, self._encode([f" {w}" for w in new])))
+        first = [w.pop(0) if w else "" for w in words]
+        new = list(set().union(*(w for w in words if w)).difference(self.cache))
+        self.cache.update(zip(new, map(self._word, new)))
+        find = self.cache.__getitem__
         for i, start in enumerate(self._encode(first)):
             if words[i] is not None:
-                out[i] = start + b"".join(map(self.cache.__getitem__, words[i][1:]))
+                out[i] = start + b"".join(map(find, words[i]))
         return out
 
 
@@ -222,7 +256,9 @@ def assign(rows, capacity=CAPACITY, part_rows=PART_ROWS, rounds=ROUNDS):
             break
         again = _dealt(given, number, part_rows, capacity, n)
         if _sequences(again) >= before:
-            break
+            if n <= part_rows:
+                break
+            continue  # another deal may do better
         done = done.union(packed.where("not given").select(columns))
         packed = again
     return done.union(packed.select(columns))
