@@ -75,15 +75,17 @@ def train_classifier(
 ) -> Trained:
     """Split, fit on ``text`` with balanced class weights, and evaluate both parts.
 
-    Texts are cut and hashed once. The token counts are stored, and all passes of the fit
-    read them. Executors compute the gradients, and the driver adds one array of classes x
-    features per iteration.
+    Texts are read, cut and hashed once. The token counts are stored with id and label; the
+    split and all passes of the fit read them. Executors compute the gradients, and the driver
+    adds one array of classes x features per iteration. The ``split`` of the result has id,
+    label and part, without the texts.
     """
     usable = opinions.filter(F.col("text").isNotNull() & F.col(label).isNotNull())
-    split = stratified_split(usable, label, id_col, share, seed)
     stages = text_stages("text", max_tokens, features)
-    counted = PipelineModel(stages=stages).transform(split)
-    rows = settled(counted.select(F.col(label).alias("_label"), "is_validation", "_tf"), "token-counts")
+    counted = PipelineModel(stages=stages).transform(usable)
+    stored = settled(counted.select(id_col, F.col(label).alias("_label"), "_tf"), "token-counts")
+    rows = stratified_split(stored, "_label", id_col, share, seed)
+    split = rows.select(id_col, F.col("_label").alias(label), "is_validation")
     train = rows.filter(~F.col("is_validation"))
     encoder = label_encoder(train, "_label")
     weights = class_weights(train, "_label").select("_label", "weight")
@@ -200,5 +202,7 @@ def training_history(scored: DataFrame, labels, weights: DataFrame, epochs: int)
 def objective_history(model: PipelineModel) -> DataFrame:
     """The training objective per iteration."""
     regression = model.stages[-2]
+    if not regression.hasSummary:
+        raise ValueError("a restored model has no training history; read the one written with it")
     rows = [(i, float(x)) for i, x in enumerate(regression.summary.objectiveHistory)]
     return SparkSession.getActiveSession().createDataFrame(rows, "epoch int, objective double")

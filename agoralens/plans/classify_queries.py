@@ -261,9 +261,9 @@ def _train(spark, sf_dir):
 def train_predict(spark, sf_dir):
     """Every document with the position and confidence of a classifier trained on four fifths."""
     trained = _train(spark, sf_dir)
-    return clf.predict(trained.model, trained.split).select(
-        "opinion_id", "type", "is_validation", "predicted_type", F.round("type_confidence", 4).alias("type_confidence")
-    )
+    rows = clf.predict(trained.model, opinions(spark, sf_dir))
+    narrow = rows.select("opinion_id", "predicted_type", F.round("type_confidence", 4).alias("type_confidence"))
+    return trained.split.join(narrow, "opinion_id")
 
 
 @query("training_history")
@@ -294,8 +294,9 @@ def quality_classifier(spark, sf_dir):
         F.col("doc_id").alias("opinion_id"), "text", F.col("quality").cast("string").alias("type")
     )
     trained = clf.train_classifier(labelled, max_iter=10)
-    scored = clf.predict(trained.model, trained.split.filter("is_validation"))
-    return metrics.classification_report(scored, "type", "predicted_type")
+    scored = clf.predict(trained.model, labelled).select("opinion_id", "predicted_type")
+    held = trained.split.filter("is_validation").join(scored, "opinion_id")
+    return metrics.classification_report(held, "type", "predicted_type")
 
 
 @query(

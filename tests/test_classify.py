@@ -116,7 +116,7 @@ def test_training_learns_and_reports(spark, trained, tmp_path):
 
 def test_history_agrees_with_predictions(spark, trained):
     df, t = trained
-    scored = clf.predict(t.model, t.split)
+    scored = clf.predict(t.model, df).join(t.split.drop("type"), "opinion_id")
     labels = sorted({"claim", "evidence", "rebuttal"})
     val = clf.evaluate(scored.filter("is_validation"), labels).first()
     row = t.history.first()
