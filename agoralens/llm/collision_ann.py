@@ -24,8 +24,8 @@ from agoralens.session import settled
 DIRECTIONS = 48
 SHARE = 0.75  # of the directions in which a vector must collide
 SURE = 1.3  # standard deviations by which the k-th best must be beyond the threshold
-FIRST, GROWTH = 0.3, 1.3  # half a window, in units of the largest norm, and its growth
-BLOCK = 4096
+FIRST, GROWTH = 0.8, 1.25  # half a window, in units of the largest norm, and its growth
+BLOCK = 8192
 QUERY_BLOCK = 4096
 
 
@@ -158,7 +158,7 @@ def _search(largest, size, k):
         out = []
         for row in table.to_pylist():
             ids = np.frombuffer(row["ids"], np.int64)
-            order = np.frombuffer(row["order"], np.int32).reshape(-1, len(ids))
+            order = np.frombuffer(row["order"], np.int32).reshape(-1, len(ids)).astype(np.int64)
             placed = np.frombuffer(row["sorted"], np.float64).reshape(order.shape)
             vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), size)
             query_ids = np.frombuffer(row["query_ids"], np.int64)
