@@ -256,7 +256,7 @@ def _expected_counts(model):
 def first_model(counts: Counts, states=STATES) -> Model:
     """Sticky states whose emissions are the corpus shares, each a little disturbed."""
     shares = counts.shares()
-    noise = np.exp(0.5 * np.random.default_rng(3).standard_normal((len(shares), states)))
+    noise = np.exp(0.5 * (states > 1) * np.random.default_rng(3).standard_normal((len(shares), states)))
     emit = shares[:, None] * noise
     steps = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(steps, 0.9)
@@ -277,8 +277,10 @@ def train(coded, counts: Counts, states=STATES, rounds=ROUNDS):
         rows = summed.toPandas()  # one row for each symbol and state
         sent.destroy()
         at, values = rows["s"].to_numpy(), rows[columns].to_numpy()
-        emit = PRIOR * shares[:, None] * np.ones(states)
-        emit[at[at >= 0]] += values[at >= 0]
+        emit = np.zeros((len(shares), states))
+        emit[at[at >= 0]] = values[at >= 0]
+        # A state shares with the corpus the more, the more of its symbols it met only once.
+        emit += (PRIOR + np.minimum(emit, 1).sum(axis=0)) * shares[:, None]
         steps = np.eye(states) + 0.1
         for k in range(states):
             steps[k] += values[at == STEPS - k][0]
