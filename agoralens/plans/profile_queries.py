@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from agoralens.functions.text import is_blank, preview, with_text_counts
 from agoralens.operators import profile
-from agoralens.operators.clean import long_enough, with_known_topic
+from agoralens.operators.clean import clean_tables, long_enough, with_known_topic
 from agoralens.plans.inputs import OPINIONS_SQL, SPACE, TOPICS_SQL, documents, opinions, table, topics
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path
-from agoralens.sources.tables import read_table, write_table
+from agoralens.sources.tables import load_all, read_table, write_clean_tables, write_table
 
 WORD_COUNT_SQL = f"len(regexp_extract_all(text, '[^{SPACE}]+'))::INTEGER"
 
@@ -352,6 +352,36 @@ def histogram_lengths(spark, sf_dir):
     return df.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
+def _cleaned_sql(name, source, where="true", long="length(text) >= 10"):
+    return f"""SELECT '{name}' AS "table", topic_id, type, length(text)::INTEGER AS text_length, {WORD_COUNT_SQL} AS word_count
+FROM {source} WHERE {long} AND {where}"""
+
+
+@query(
+    "chained_tables",
+    f"""WITH {OPINIONS_SQL}, {TOPICS_SQL},
+items AS (SELECT 'item ' || item_id AS topic_id, text, 'item' AS type FROM benchmark)
+{_cleaned_sql('topics', 'topics')} UNION ALL
+{_cleaned_sql('opinions', 'opinions', 'topic_id IN (SELECT topic_id FROM topics WHERE length(text) >= 10)')} UNION ALL
+{_cleaned_sql('conclusions', 'items', long='true')}""",
+)
+def chained_tables(spark, sf_dir):
+    """The three tables written, loaded, cleaned, written again and read back."""
+    folder = fresh_path(spark, "tables")
+    items = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("topic_id"), "text", F.lit("item").alias("type")
+    )
+    given = opinions(spark, sf_dir).withColumn("effectiveness", F.lit(None).cast("string"))
+    for name, df in (("topics", topics(spark, sf_dir)), ("opinions", given), ("conclusions", items)):
+        write_table(df, f"{folder}/{name}.parquet")
+    write_clean_tables(clean_tables(*load_all(spark, folder)), folder)
+    parts = [
+        df.select(F.lit(name).alias("table"), "topic_id", "type", "text_length", "word_count")
+        for name, df in load_all(spark, folder, clean=True)._asdict().items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("csv_roundtrip", "SELECT doc_id::VARCHAR AS opinion_id, source AS topic_id, text, lang AS type FROM documents")
 def csv_roundtrip(spark, sf_dir):
     """Opinions written as CSV and read back with the explicit schema."""
