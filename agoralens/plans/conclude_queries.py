@@ -8,11 +8,11 @@ from agoralens import fixed_values as fv
 from agoralens.operators import analysis
 from agoralens.operators.conclude import NO_SENTENCE, generate_conclusions, opinion_results, topic_result
 from agoralens.operators.encode import TfIdfEncoder
+from agoralens.operators.match import pair_similarity
 from agoralens.operators.summarise import summarise_topics
 from agoralens.plans.inputs import (
     CLASSIFIED_SQL,
     DIM,
-    MATCHED_SQL,
     SPACE,
     TOPICS_SQL,
     bucket_sql,
@@ -22,9 +22,8 @@ from agoralens.plans.inputs import (
     topics,
     weights_sql,
 )
-from agoralens.plans.match_queries import matches
 from agoralens.plans.registry import query
-from agoralens.session import fresh_path
+from agoralens.session import fresh_path, settled
 
 
 def rounded(df, *columns):
@@ -196,36 +195,42 @@ def result_of_topic(spark, sf_dir):
 
 @query(
     "opinion_lookup",
-    f"""WITH {MATCHED_SQL},
-asked AS (SELECT DISTINCT user_id::VARCHAR AS opinion_id FROM events UNION SELECT vec_id::VARCHAR FROM embeddings
-  UNION SELECT 'unknown ' || label FROM embeddings)
-SELECT a.opinion_id, m.matched_topic_id, 'label ' || m.matched_topic_id AS topic_text,
-  m.similarity_score::FLOAT AS topic_similarity,
-  CASE WHEN m.opinion_id IS NOT NULL THEN 'claim' END AS predicted_position,
-  CASE WHEN m.opinion_id IS NOT NULL THEN 0.5 END::FLOAT AS position_confidence,
-  'conclusion of ' || m.matched_topic_id AS conclusion, m.opinion_id IS NOT NULL AS is_processed
-FROM asked a LEFT JOIN matched m USING (opinion_id)""",
+    f"""WITH {CONCLUSIONS_SQL},
+tops AS (SELECT source, doc_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars, doc_id) AS rn FROM documents) WHERE rn = 1),
+dots AS (
+  SELECT a.doc_id, sum(a.w * b.w) AS dot FROM documents d JOIN tops t USING (source)
+  JOIN vec a ON a.doc_id = d.doc_id JOIN vec b ON b.doc_id = t.doc_id AND b.bucket = a.bucket GROUP BY 1),
+ids AS (SELECT DISTINCT doc_id FROM vec),
+sims AS (
+  SELECT d.doc_id, round(coalesce(dot, 0), 9) AS s FROM documents d JOIN tops t USING (source)
+  JOIN ids i ON i.doc_id = d.doc_id JOIN ids j ON j.doc_id = t.doc_id LEFT JOIN dots ON dots.doc_id = d.doc_id),
+asked AS (SELECT opinion_id::VARCHAR AS opinion_id FROM opinions UNION SELECT 'unknown ' || lang FROM documents)
+SELECT a.opinion_id, c.topic_id AS matched_topic_id, t.text AS topic_text, s::FLOAT AS topic_similarity,
+  c.predicted_type AS predicted_position, c.type_confidence::FLOAT AS position_confidence,
+  n.generated_conclusion AS conclusion, c.opinion_id IS NOT NULL AS is_processed
+FROM asked a LEFT JOIN classified c ON c.opinion_id::VARCHAR = a.opinion_id LEFT JOIN sims ON sims.doc_id = c.opinion_id
+LEFT JOIN topics t ON t.topic_id = c.topic_id LEFT JOIN conclusions n ON n.topic_id = c.topic_id""",
 )
 def opinion_lookup(spark, sf_dir):
-    """Results for all vector ids, the event users and ids that were never scored."""
-    vectors = table(spark, sf_dir, "embeddings")
-    asked = (
-        table(spark, sf_dir, "events")
-        .select(F.col("user_id").cast("string").alias("opinion_id"))
-        .union(vectors.select(F.col("vec_id").cast("string")))
-        .union(vectors.select(F.concat(F.lit("unknown "), F.col("label").cast("string"))))
-        .distinct()
+    """The results of all documents by id, and of ids that were never scored.
+
+    The similarity is that of a text and the text of its topic; position, confidence and
+    conclusion are those of the classifier and of the conclusions.
+    """
+    docs = classified(spark, sf_dir)
+    encoder = TfIdfEncoder.fit(docs, dim=DIM)
+    coded = settled(encoder(docs).drop("text", "type"), "scored-opinions")
+    known = topics(spark, sf_dir)
+    told = encoder(known).select("topic_id", F.col("vector").alias("right_vector"))
+    pairs = coded.withColumnRenamed("vector", "left_vector").join(told, "topic_id", "left")
+    scored = pair_similarity(pairs, dim=DIM).select(
+        F.col("opinion_id").cast("string").alias("opinion_id"),
+        F.col("topic_id").alias("matched_topic_id"),
+        F.col("similarity").cast("float").alias("topic_similarity"),
+        F.col("predicted_type").alias("predicted_position"),
+        F.col("type_confidence").cast("float").alias("position_confidence"),
     )
-    scored = matches(spark, sf_dir).select(
-        "opinion_id",
-        "matched_topic_id",
-        F.col("similarity_score").cast("float").alias("topic_similarity"),
-        F.lit("claim").alias("predicted_position"),
-        F.lit(0.5).cast("float").alias("position_confidence"),
-    )
-    labels = vectors.select(F.col("label").cast("string").alias("topic_id")).distinct()
-    texts = labels.select("topic_id", F.concat(F.lit("label "), "topic_id").alias("text"))
-    ends = texts.select(
-        "topic_id", F.col("text").alias("topic_text"), F.concat(F.lit("conclusion of "), "topic_id").alias("generated_conclusion")
-    )
-    return opinion_results(asked, scored, texts, ends)
+    others = table(spark, sf_dir, "documents").select(F.concat(F.lit("unknown "), "lang")).distinct()
+    asked = scored.select("opinion_id").union(others)
+    return opinion_results(asked, scored, known, _conclusions(spark, sf_dir))

@@ -340,6 +340,7 @@ def text_pair_similarity(spark, sf_dir):
     """Each document with the document of the next id."""
     docs = documents(spark, sf_dir)
     coded = TfIdfEncoder.fit(docs, dim=DIM)(docs.select("doc_id", "text")).select("doc_id", "vector")
+    coded = settled(coded, "text-vectors")
     left = coded.select(F.col("doc_id").alias("left_id"), F.col("vector").alias("left_vector"))
     right = coded.select((F.col("doc_id") - 1).alias("left_id"), F.col("vector").alias("right_vector"))
     pairs = match.pair_similarity(left.join(right, "left_id"), dim=DIM)
