@@ -25,6 +25,7 @@ UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 BATCH_CHARS = 4_000_000
 CACHED_WORDS = 400_000
+WORDS = 1000
 FAR_BELOW = -1e6
 
 
@@ -141,6 +142,8 @@ class Codec:
         normal = [p for p, k in zip(model.pieces, model.kinds) if k == NORMAL]
         self.by_words = not any(MARK in p.lstrip(MARK) for p in normal)
         self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        # Normalised texts hold no space, so its byte can stand between the words of a batch.
+        self.between = self.tokenizer.token_to_id("<0x20>") if model.byte_fallback else None
         self.cache = {}
 
     def normalise(self, text):
@@ -153,18 +156,44 @@ class Codec:
             return ""
         return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
 
+    def _encode_words(self, words):
+        """The ids of each word, in batches of many words that the library deals over its threads."""
+        if self.between is None:
+            coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in coded]
+        runs = []
+        for i in range(0, len(words), WORDS):
+            run = [" "] * (2 * len(words[i : i + WORDS]) - 1)
+            run[::2] = words[i : i + WORDS]
+            runs.append(run)
+        out = []
+        for e in self.tokenizer.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False):
+            ids = np.array(e.ids, np.uint32)
+            ends = 4 * np.flatnonzero(ids == self.between)
+            octets = ids.tobytes()
+            out += [octets[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(octets)])]
+        return out
+
+    def _words(self, text):
+        """The words of a text without the mark before them, or None if it has other spaces."""
+        plain = self.by_words and self.charsmap is None and self.model.dummy_prefix
+        if not plain or not text or "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+            return None
+        return text.split(" ")
+
     def encode(self, texts):
         """The ids of each text as little-endian numbers of 32 bits."""
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-        words = [self.cut.findall(t) if self.by_words else [t] * bool(t) for t in map(self.normalise, texts)]
-        new = list(set().union(*words) - self.cache.keys()) if words else []
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {w: array("I", e.ids).tobytes() for w, e in zip(new, coded)}
-        if self.by_words:
-            self.cache.update(found)
-            found = self.cache
-        return [b"".join(map(found.__getitem__, w)) for w in words]
+        words = [self._words(t) for t in texts]
+        new = list(set().union(*(w for w in words if w)).difference(self.cache))
+        self.cache.update(zip(new, self._encode_words([MARK + w for w in new])))
+        odd = [self.normalise(t) for t, w in zip(texts, words) if w is None]
+        odd = [self.cut.findall(t) if self.by_words else [t] * bool(t) for t in odd]
+        parts = list(set().union(*odd))
+        found, rest = dict(zip(parts, self._encode_words(parts))), iter(odd)
+        known = self.cache.__getitem__
+        return [b"".join(map(known, w) if w else map(found.__getitem__, next(rest))) for w in words]
 
     def decode(self, coded):
         """The texts of ids as ``encode`` gives them."""
