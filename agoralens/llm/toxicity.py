@@ -2,8 +2,9 @@
 
 A feature says whether an n-gram is in the text, scaled by the log ratio of its document
 frequencies among toxic and clean training texts. A logistic regression learns one weight for each
-scaled feature. N-grams that are rare or say little are left out, so the score of a text looks only
-at the few n-grams that the model kept, and texts of any length are read whole.
+scaled feature. N-grams that are rare or say little, by a likelihood-ratio test, are left out, so
+the score of a text looks only at the few n-grams that the model kept, and texts of any length are
+read whole.
 
 Fitted on a bounded sample: the ``sample`` labelled rows with the smallest hash of their id. The
 sample's counts come from the executors; the driver gets the kept n-grams and, for the sample's
@@ -20,11 +21,12 @@ from agoralens.llm.common import held_out, wider
 from agoralens.llm.ngrams import all_grams
 from agoralens.session import settled
 
-ORDERS = (4, 5)
+ORDERS = (4, 5, 6)
 BUCKET_BITS = 20
 SAMPLE = 12000
 LEAST_DOCS = 3
-LEAST_RATIO = 2.0
+LEAST_RATIO = 1.0
+LEAST_GAIN = 14.0
 EPOCHS = 5
 
 
@@ -98,7 +100,13 @@ def train(docs, labels, threshold=0.3, **options) -> ToxicityModel:
     ratio = F.log((F.col("toxic") + 1) / (toxic + 2)) - F.log((F.col("clean") + 1) / (clean + 2))
     counted = rows.mapInArrow(_document_counts, "g int, toxic int, clean int").groupBy("g")
     counted = counted.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    telling = counted.where(F.col("toxic") + F.col("clean") >= LEAST_DOCS).select("g", ratio.alias("r"))
+    n, share = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
+
+    def gain(count, expected):
+        return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
+
+    tested = 2 * (gain(F.col("toxic"), n * share) + gain(F.col("clean"), n * (1 - share)))
+    telling = counted.where((n >= LEAST_DOCS) & (tested >= LEAST_GAIN)).select("g", ratio.alias("r"))
     telling = telling.where(F.abs("r") >= LEAST_RATIO).toPandas()
     ratios = nothing.copy()
     ratios[telling["g"]] = telling["r"]
