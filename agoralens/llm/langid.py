@@ -102,23 +102,22 @@ def _sparse(languages):
     return run
 
 
-def _read(batch):
-    for y, f, n in zip(batch.column("y").to_pylist(), batch.column("f"), batch.column("n")):
+def _read(rows):
+    """Label, buckets and counts of the rows of an Arrow batch or table."""
+    for y, f, n in zip(rows.column("y").to_pylist(), rows.column("f"), rows.column("n")):
         yield y, f.values.to_numpy(), n.values.to_numpy()
 
 
 def _train_shard(idf, classes):
-    def run(batches):
-        rows = [(y, f, tf_idf(f, n, idf)) for batch in batches for y, f, n in _read(batch)]
-        if rows:
-            leader, order = Leader(len(idf), classes), np.random.default_rng(11)
-            rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
-            for _ in range(EPOCHS):
-                for i in order.permutation(len(rows)):
-                    y, f, x = rows[i]
-                    leader.learn(f, x, y)
-            weights = leader.weights().astype(np.float32).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([len(rows)]), pa.array([weights])], names=["n", "w"])
+    def run(shard):
+        rows = [(y, f, tf_idf(f, n, idf)) for y, f, n in _read(shard)]
+        rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+        leader, order = Leader(len(idf), classes), np.random.default_rng(11)
+        for _ in range(EPOCHS):
+            for i in order.permutation(len(rows)):
+                y, f, x = rows[i]
+                leader.learn(f, x, y)
+        return pa.table({"n": [len(rows)], "w": [leader.weights().astype(np.float32).tobytes()]})
 
     return run
 
@@ -162,8 +161,9 @@ def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang
     idf = np.log((1 + sparse.count()) / (1 + frequency)) + 1
 
     learn = sparse.where(F.col("part") >= SHARDS) if len(languages) > 1 else sparse
-    shards = learn.repartition(SHARDS, F.pmod("part", F.lit(SHARDS)))
-    trained = shards.mapInArrow(_train_shard(idf, len(languages)), "n long, w binary").collect()
+    shards = learn.groupBy(F.pmod("part", F.lit(SHARDS)))  # a bounded number of rows in each
+    trained = shards.applyInArrow(_train_shard(idf, len(languages)), "n long, w binary").collect()
+    trained.sort(key=lambda r: (r["n"], r["w"]))
     weights = np.zeros((size, len(languages)))
     for row in trained:
         share = row["n"] / sum(r["n"] for r in trained)
