@@ -43,3 +43,10 @@ def components(edges):
             break
         mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def smallest_kept(docs, groups, id_col):
+    """``docs`` without the ids of ``groups`` that are not the ``component_id`` of any of their rows."""
+    stays = F.max(F.col(id_col) == F.col("component_id"))
+    gone = groups.groupBy(F.col(id_col).alias("_gone")).agg(stays.alias("s")).where("not s")
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from agoralens.llm.common import ascii_words
-from agoralens.llm.components import components
+from agoralens.llm.components import components, smallest_kept
 from agoralens.session import settled
 
 SEED = 42
@@ -252,6 +252,4 @@ def near_kept(docs, id_col="doc_id", text_col="text", words=3, radius=2):
     Rows without an id stay, and so do all rows of an id of which one stays.
     """
     groups = near_groups(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words, radius)
-    stays = F.max(F.col(id_col) == F.col("component_id"))
-    gone = groups.groupBy(F.col(id_col).alias("_gone")).agg(stays.alias("s")).where("not s")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return smallest_kept(docs, groups, id_col)
