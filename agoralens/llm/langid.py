@@ -1,15 +1,17 @@
 """Language identification by sparse multinomial regression on TF-IDF character n-grams.
 
 Trained with follow-the-regularised-leader and elastic-net penalties: the L1 part keeps weights of
-n-grams that say nothing at exactly zero. A bounded sample of labelled rows is dealt over a fixed
-number of shards; each trains on its rows, and the weights are averaged. A part of the sample is
-kept from training and sets the temperature that turns logits into honest probabilities.
+n-grams that say nothing at exactly zero. Document frequencies are counted on all training texts. A
+sample of labelled rows, bounded for each language, is dealt over a fixed number of shards; each
+trains on its rows, and the weights are averaged. A part of the sample is kept from training and sets
+the temperature that turns logits into honest probabilities.
 """
 
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from agoralens.llm.common import LETTER, held_out, wider
@@ -18,7 +20,8 @@ from agoralens.session import settled
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
-SAMPLE = 6000
+SAMPLE = 6000  # rows of each language
+SALTS = 64
 SHARDS = 4
 EPOCHS = 4
 CALIBRATE = 6  # one row in so many sets the temperature
@@ -134,18 +137,41 @@ def _logits(model):
     return run
 
 
+def _frequencies(batches):
+    seen = np.zeros((1 << BUCKET_BITS) + 1, np.int64)
+    for batch in batches:
+        for text in batch.column("text"):
+            seen[counts_of(text.as_py())[0]] += 1
+            seen[-1] += 1
+    found = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(seen[found], pa.int64())], names=["f", "n"])
+
+
+def inverse_frequencies(texts):
+    """The inverse document frequency of each bucket over all ``texts`` with a letter."""
+    parts = texts.where(F.col("text").rlike(r"\p{L}")).mapInArrow(_frequencies, "f bigint, n bigint")
+    seen = parts.groupBy("f").agg(F.sum("n").alias("n")).toPandas()  # a row for each bucket at most
+    frequency = np.zeros((1 << BUCKET_BITS) + 1)
+    frequency[seen["f"]] = seen["n"]
+    return np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
+
+
 def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang_col="lang") -> LanguageModel:
-    """Fit on the ``sample`` rows with the smallest hash of their id that have a text and a language.
+    """Fit on the ``sample`` rows of each language with the smallest hash of their id.
 
     Rows whose id has remainder 2 modulo ``divisor`` are not learned from. Without a row to learn
     from, every text is ``und``.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, divisor))
     ids = usable.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang")).distinct()
-    ids = ids.orderBy(F.xxhash64("_id"), "_id", "lang").limit(sample)
+    # Cut in parts of a language first, so no task sorts all rows of a frequent one.
+    salt = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SALTS))
+    for part in (["lang", salt], ["lang"]):
+        order = Window.partitionBy(*part).orderBy(F.xxhash64("_id"), "_id")
+        ids = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     part = F.pmod(F.shiftright(F.xxhash64("_id"), 7), F.lit(SHARDS * CALIBRATE))
-    # At most `sample` ids: the broadcast has a fixed bound.
+    # At most `sample` ids of each language: the broadcast is bounded.
     rows = texts.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), ["_id", "lang"])
     rows = settled(rows.select("lang", "text", part.cast("int").alias("part")), "langid-sample")
     languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
@@ -155,10 +181,7 @@ def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang
 
     sparse = rows.mapInArrow(_sparse(languages), "part int, y int, f array<int>, n array<int>")
     sparse = settled(sparse, "langid-features")
-    seen = sparse.select(F.explode("f").alias("f")).groupBy("f").count().toPandas()
-    frequency = np.zeros(size)
-    frequency[seen["f"]] = seen["count"]
-    idf = np.log((1 + sparse.count()) / (1 + frequency)) + 1
+    idf = inverse_frequencies(usable.select(F.col(text_col).alias("text")))
 
     learn = sparse.where(F.col("part") >= SHARDS) if len(languages) > 1 else sparse
     shards = learn.groupBy(F.pmod("part", F.lit(SHARDS)))  # a bounded number of rows in each
