@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from agoralens.llm.collision_ann import nearest
 from agoralens.llm.common import held_out, table
 from agoralens.llm.exact_dedup import exact_groups
+from agoralens.llm.hard_negatives import hard_negatives
 from agoralens.llm.hmm_lm import language_model_scores
 from agoralens.llm.html_text import with_main_text
 from agoralens.llm.langid import language
@@ -120,3 +121,31 @@ def op1_html_tree(spark, sf_dir):
     """Every page with its main text."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5""",
+)
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every vector whose id is divisible by 100, labels of every seventh id moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
