@@ -14,6 +14,7 @@ from agoralens.llm.packing import pack
 from agoralens.llm.sentencepiece_codec import normalised_text, round_trip
 from agoralens.llm.sharding import DIGITS, SLOTS, lookup_table, place
 from agoralens.llm.simhash import hex_digits, near_groups
+from agoralens.llm.target_resampling import resample
 from agoralens.llm.toxicity import toxicity
 
 QUERIES = {}
@@ -149,3 +150,10 @@ def op13_hard_negatives(spark, sf_dir):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
     return hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op11_target_resampling")
+def op11_target_resampling(spark, sf_dir):
+    """Every document with its weight towards the benchmark texts, and its place in the draw."""
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
