@@ -4,13 +4,14 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from agoralens.llm.collision_ann import nearest
-from agoralens.llm.common import held_out, table
+from agoralens.llm.common import held_out, remainder, table
 from agoralens.llm.exact_dedup import exact_groups
 from agoralens.llm.hard_negatives import hard_negatives
 from agoralens.llm.hmm_lm import language_model_scores
 from agoralens.llm.html_text import with_main_text
 from agoralens.llm.langid import language
 from agoralens.llm.packing import pack
+from agoralens.llm.quality_trees import quality
 from agoralens.llm.sentencepiece_codec import normalised_text, round_trip
 from agoralens.llm.sharding import DIGITS, SLOTS, lookup_table, place
 from agoralens.llm.simhash import hex_digits, near_groups
@@ -157,3 +158,11 @@ def op11_target_resampling(spark, sf_dir):
     """Every document with its weight towards the benchmark texts, and its place in the draw."""
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_quality_trees")
+def op12_quality_trees(spark, sf_dir):
+    """Every document with its quality score."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held = (remainder("doc_id", 5) == 0).alias("held_out")
+    return quality(docs, labels).select("doc_id", held, "score", "predicted")
