@@ -3,6 +3,7 @@
 from agoralens.plans import (  # noqa: F401
     classify_queries,
     conclude_queries,
+    epoch_queries,
     match_queries,
     profile_queries,
     stream_queries,
