@@ -10,10 +10,12 @@ sum; thresholds are compared with the rounded score. Vectors without a finite le
 Sparse vectors are never made dense: topics are kept as postings, the (topic, weight) pairs of each
 bucket, and an opinion adds up the postings of its own buckets.
 
-Three plans give the same result:
+Four plans give the same result:
 
 * broadcast: topic vectors whose measured size is within a bound go to every worker, and
-  opinions stream past them without a shuffle; beyond the bound it gives way to blocked;
+  opinions stream past them without a shuffle; beyond the bound it gives way to the others;
+* lists: sparse vectors meet through the inverted lists of ``match_sparse``, which score only
+  the pairs that can be among the k best;
 * blocked: beyond the bound, topics and opinions are cut into blocks of bounded size, and
   each pair of blocks is one small task that keeps k hits per opinion;
 * cells: topics are clustered first, and an opinion visits only the cells that can still
@@ -250,7 +252,7 @@ def _block_hits(left, right, k, dim):
     return lists.select("opinion_id", F.inline("hits"))
 
 
-def _merge(hits, k):
+def merged_hits(hits, k):
     """The k best of the few hits that the blocks kept for each opinion."""
     order = F.struct((-F.col("score")).alias("s"), "topic_id", "point_id")
     best = F.slice(F.array_sort(F.collect_list(order)), 1, k)
@@ -293,7 +295,7 @@ def _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows):
         _hash("point_id", n_blocks).alias("block"),
         _each(F.lit(n_chunks)).alias("chunk"),
     )
-    best = _merge(_block_hits(left, right, k, dim), k)
+    best = merged_hits(_block_hits(left, right, k, dim), k)
     return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
 
 
@@ -411,7 +413,7 @@ def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells
         .select("opinion_id", "vector", "cell")
     )
     others = settled(others, "visits")
-    best = _merge(first.unionByName(visit(others)), k)
+    best = merged_hits(first.unionByName(visit(others)), k)
     return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
 
 
@@ -430,9 +432,10 @@ def topic_hits(
 ) -> DataFrame:
     """``opinion_id``, the ``keep`` columns and ``hits``, best first, null without a hit.
 
-    ``plan`` is ``broadcast``, ``blocked``, ``cells`` or ``auto``. The topic vectors are measured
-    as they are stored; ``auto`` and ``broadcast`` send them to every worker within
-    ``broadcast_bytes`` and else take ``blocked``, with the same rows. Blocks of ``topic_rows``
+    ``plan`` is ``broadcast``, ``lists``, ``blocked``, ``cells`` or ``auto``. The topic vectors are
+    measured as they are stored; ``auto`` and ``broadcast`` send them to every worker within
+    ``broadcast_bytes`` and else take ``lists`` for sparse and ``blocked`` for dense vectors, with
+    the same rows. Weights below zero take ``blocked`` in place of ``lists``. Blocks of ``topic_rows``
     topics and ``opinion_rows`` opinions hold 128 MiB of vectors unless told otherwise: the
     larger the blocks, the fewer copies of either side are shuffled. ``dim`` is needed for
     sparse vectors, which ``cells`` does not take.
@@ -442,11 +445,19 @@ def topic_hits(
     topics = topics.filter("vector is not null")
     n, dim, stored = _measure(topics, _vector_dim(topics, dim))
     if plan in ("auto", "broadcast"):
-        plan = "broadcast" if stored <= broadcast_bytes else "blocked"
+        sparse = isinstance(topics.schema["vector"].dataType, T.StructType)
+        plan = "broadcast" if stored <= broadcast_bytes else "lists" if sparse else "blocked"
     block = max(1, BLOCK_BYTES * max(1, n) // max(1, stored))
     topic_rows, opinion_rows = topic_rows or block, opinion_rows or max(1, BLOCK_BYTES // (8 * dim))
     if plan == "broadcast":
         return _broadcast_hits(opinions, topics, k, keep, dim)
+    if plan == "lists":
+        from agoralens.operators.match_sparse import listed_hits  # built on this module
+
+        found = listed_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows)
+        if found is not None:
+            return found
+        plan = "blocked"
     if plan == "blocked":
         return _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows)
     if plan == "cells":

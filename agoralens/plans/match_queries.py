@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from agoralens.functions import vectors
-from agoralens.operators import match, match_reports
+from agoralens.operators import match, match_reports, match_sparse
 from agoralens.operators.encode import TfIdfEncoder
 from agoralens.plans.inputs import (
     DIM,
@@ -276,10 +276,10 @@ def text_topics(spark, sf_dir, encoder):
     return settled(vector_table(items, encoder), "text-topics")
 
 
-def _text_matches(spark, sf_dir):
+def _text_matches(spark, sf_dir, **options):
     docs = opinions(spark, sf_dir)
     encoder = TfIdfEncoder.fit(docs, dim=DIM)
-    return match.match_topics(encoder(docs), text_topics(spark, sf_dir, encoder), dim=DIM)
+    return match.match_topics(encoder(docs), text_topics(spark, sf_dir, encoder), dim=DIM, **options)
 
 
 @query(
@@ -303,6 +303,24 @@ def text_match_best(spark, sf_dir):
     return _text_matches(spark, sf_dir).drop("top_k_matches")
 
 
+@query(
+    "text_match_lists",
+    f"""WITH {TEXT_HITS_SQL}
+SELECT doc_id::VARCHAR AS opinion_id, rank::INTEGER AS rank, topic_id, score FROM hits WHERE rank <= 5""",
+)
+def text_match_lists(spark, sf_dir):
+    """The same through inverted lists: the topics are beyond a broadcast bound of 64 bytes."""
+    return match.ranked_hits(_text_matches(spark, sf_dir, broadcast_bytes=64))
+
+
+@query("text_match_pairs")
+def text_match_pairs(spark, sf_dir):
+    """How many pairs and list entries there are, and how many of them the inverted lists need."""
+    docs = opinions(spark, sf_dir)
+    encoder = TfIdfEncoder.fit(docs, dim=DIM)
+    return match_sparse.pair_report(encoder(docs), text_topics(spark, sf_dir, encoder), 5, DIM)
+
+
 @query(
     "similar_topics",
     f"""WITH {weights_sql()},
