@@ -15,8 +15,9 @@ texts are read whole, and what a task holds is bounded.
 import heapq
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -189,14 +190,40 @@ class _Frequent:
         return heapq.nlargest(n, self.counts.items(), key=lambda x: x[1])
 
 
+def _repeated(keys):
+    """The keys that occur more than once, at most ``SENT`` of the most frequent, and how often."""
+    found, counts = np.unique(keys, return_counts=True)
+    often = np.flatnonzero(counts > 1)
+    if len(often) > SENT:
+        often = often[np.argpartition(counts[often], len(often) - SENT)[-SENT:]]
+    return found[often].tolist(), counts[often].tolist()
+
+
+def count_frequent(texts, words, pairs):
+    """Add the words and the pairs of words that some texts repeat to both counts."""
+    number = defaultdict(count().__next__)  # a word met for the first time gets the next number
+    parts = [np.array([-1])]
+    for text in texts:
+        found = words_of(text)
+        parts.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+        parts.append(np.array([-1]))  # no pair reaches over the end of a text
+    ids, names = np.concatenate(parts), list(number)
+    short = np.append([len(w) <= LONGEST for w in names], False).astype(bool)
+    some, times = _repeated(ids[short[ids]])
+    words.add({names[i]: n for i, n in zip(some, times)})
+    often = np.zeros(len(names) + 1, bool)
+    often[some] = True
+    first, second = ids[:-1], ids[1:]
+    both = often[first] & often[second]
+    some, times = _repeated(first[both] * len(names) + second[both])
+    pairs.add({b"%b %b" % (names[k // len(names)], names[k % len(names)]): n for k, n in zip(some, times)})
+
+
 def _frequent(batches):
     words, pairs = _Frequent(), _Frequent()
     for batch in batches:
         for _, _, texts in _texts(batch):
-            for text in texts:
-                found = [w for w in words_of(text) if len(w) <= LONGEST]
-                words.add(found)
-                pairs.add(map(b"%b %b".__mod__, zip(found, found[1:])))
+            count_frequent(texts, words, pairs)
     for order, counted in ((1, words), (2, pairs)):
         most = counted.most(SENT)
         yield pa.RecordBatch.from_arrays(

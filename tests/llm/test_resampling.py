@@ -94,6 +94,15 @@ def test_head_keeps_the_frequent_ones_in_bounded_memory(monkeypatch):
     assert len(kept.counts) <= 53 and {w for w, _ in kept.most(2)} == {b"often", b"again"}
 
 
+def test_repeated_words_and_pairs_are_counted_within_texts():
+    words, pairs = R._Frequent(), R._Frequent()
+    R.count_frequent([b"The cat the CAT", b"the cat sat", b"", b"sat once " + b"x" * 99], words, pairs)
+    assert dict(words.counts) == {b"the": 3, b"cat": 3, b"sat": 2} and dict(pairs.counts) == {b"the cat": 3}
+    R.count_frequent([], words, pairs)
+    R.count_frequent([b"the cat the cat"], words, pairs)
+    assert words.counts[b"the"] == 5 and pairs.counts == {b"the cat": 5}
+
+
 def test_empty_tables(docs_of):
     assert R.resample(docs_of([]), docs_of([(1, "a b")])).count() == 0
     rows = [(i, "some words here " * 10) for i in range(40)]
