@@ -12,7 +12,7 @@ from agoralens.llm import langid, toxicity
 from agoralens.llm.common import table
 from agoralens.llm.exact_dedup import exact_kept
 from agoralens.llm.packing import pack
-from agoralens.llm.shingle_join import similar_kept
+from agoralens.llm.simhash import near_kept
 from agoralens.session import settled
 
 #: A language below this probability counts as unknown; chance is 0.25 for four languages.
@@ -41,9 +41,10 @@ def drop_exact_copies(spark, docs, sf_dir):
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each near-duplicate group, the one with the smallest id.
 
-    Near is a Jaccard similarity of 0.8 or more of five-word shingles, not the contract of op4.
+    Near is what the SimHash operator links: fingerprints of three-word shingles that differ in two
+    bits or fewer.
     """
-    return similar_kept(docs)
+    return near_kept(docs, words=3, radius=2)
 
 
 def pack_sequences(spark, docs, sf_dir):
