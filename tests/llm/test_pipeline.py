@@ -74,10 +74,10 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_entry_registers_every_operator():
     names = [re.match(r"op(\d+)_", n) for n in __spark_entry__.queries()]
-    assert sorted(int(m[1]) for m in names if m) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(int(m[1]) for m in names if m) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
-@pytest.mark.parametrize("name", ["op8_sharding", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op8_sharding", "op10_exact_dedup", "op13_hard_negatives"])
 def test_queries_against_their_sql(spark, name):
     import oracle
 
