@@ -16,16 +16,14 @@ Four plans give the same result:
   opinions stream past them without a shuffle; beyond the bound it gives way to the others;
 * lists: sparse vectors meet through the inverted lists of ``match_sparse``, which score only
   the pairs that can be among the k best;
-* blocked: beyond the bound, topics and opinions are cut into blocks of bounded size, and
-  each pair of blocks is one small task that keeps k hits per opinion;
-* cells: topics are clustered first, and an opinion visits only the cells that can still
-  hold one of its k best topics, by the triangle inequality. No candidate is dropped.
+* cells: dense vectors are clustered first, and an opinion visits only the cells that can still
+  hold one of its k best topics, by the triangle inequality (``match_dense``);
+* blocked: topics and opinions are cut into blocks of bounded size, and each pair of blocks is
+  one small task that keeps k hits per opinion.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +31,6 @@ from pyspark.sql import types as T
 from agoralens import fixed_values as fv
 from agoralens.functions import vectors
 from agoralens.functions.vectors import SCORE_DIGITS
-from agoralens.session import settled
 
 SCALE = 10**SCORE_DIGITS
 CHUNK_BYTES = 32 << 20
@@ -299,124 +296,6 @@ def _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows):
     return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
 
 
-def _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells, seed):
-    """Hits through topic cells.
-
-    For unit vectors at distance ``d`` the cosine is ``1 - d * d / 2``. A topic of a cell
-    with centre ``c`` and radius ``r`` is at least ``|o - c| - r`` away from opinion ``o``,
-    which bounds its score from above. Each opinion first visits the cell nearest to it.
-    It then visits every cell whose bound reaches its k-th score so far. How well the cells
-    are cut only changes the number of visits, so a few rounds of clustering are enough.
-    """
-    spark = topics.sparkSession
-    unit = topics.select("point_id", "topic_id", vectors.l2_normalise("vector").alias("vector"))
-    known = settled(unit.filter("vector is not null"), "unit-topics")
-    points = known.select(array_to_vector("vector").alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=5, initMode="random").fit(points)
-    centres = spark.sparkContext.broadcast(np.array(model.clusterCenters()))
-
-    def distances(block):
-        c = centres.value
-        square = (block**2).sum(1)[:, None] - 2 * block @ c.T + (c**2).sum(1)[None, :]
-        return np.sqrt(np.maximum(square, 0))
-
-    def place_topics(batches):
-        for batch in batches:
-            block, _ = _unit_rows(batch.column("vector"), dim)
-            d = distances(block)
-            cell = d.argmin(1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
-                names=[*batch.schema.names, "cell", "far"],
-            )
-
-    placed = known.mapInArrow(
-        place_topics,
-        T.StructType(known.schema.fields + [_field("cell", "int"), _field("far", "double")]),
-    )
-    placed = settled(placed, "topic-cells")
-    # One row per cell, at most n_cells of them.
-    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r")).collect()
-    radius = np.full(len(centres.value), -np.inf)
-    blocks = np.zeros(len(centres.value), dtype=np.int64)
-    for s in stats:
-        radius[s["cell"]], blocks[s["cell"]] = s["r"], _blocks(s["n"], topic_rows)
-    radii = spark.sparkContext.broadcast(radius)
-
-    def bound_cells(batches):
-        for batch in batches:
-            block, valid = _unit_rows(batch.column("vector"), dim)
-            gap = np.maximum(distances(block) - radii.value[None, :], 0)
-            bound = np.where(np.isfinite(gap), 1 - gap * gap / 2, -2.0)
-            # Ties between bounds of 1 go to the nearest centre.
-            home = np.where(radii.value >= 0, distances(block), np.inf).argmin(1)
-            offsets = pa.array(np.arange(len(bound) + 1) * bound.shape[1], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("opinion_id"),
-                    batch.column("vector"),
-                    pa.array(home.astype(np.int32), mask=~valid),
-                    pa.ListArray.from_arrays(offsets, pa.array(bound.ravel())),
-                ],
-                names=["opinion_id", "vector", "home", "bounds"],
-            )
-
-    rows = opinions.select("opinion_id", "vector")
-    bounded = rows.mapInArrow(
-        bound_cells,
-        T.StructType(rows.schema.fields + [_field("home", "int"), _field("bounds", "array<double>")]),
-    )
-    bounded = settled(bounded, "opinion-bounds")
-
-    def visit(probes):
-        """Score (opinion, cell) visits, each cell cut into blocks and its visitors into chunks."""
-        per_cell = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-        sizes = spark.createDataFrame(
-            [
-                (c, _blocks(per_cell.get(c, 0), opinion_rows), int(blocks[c]))
-                for c in range(len(blocks))
-                if blocks[c] > 0 and c in per_cell
-            ],
-            "cell int, chunks int, blocks int",
-        )
-        # At most n_cells rows.
-        sizes = F.broadcast(sizes)
-        left = probes.join(sizes, "cell").select(
-            "opinion_id",
-            "vector",
-            "cell",
-            F.pmod(F.xxhash64("opinion_id"), F.col("chunks")).cast("int").alias("chunk"),
-            _each(F.col("blocks")).alias("block"),
-        )
-        right = placed.join(sizes, "cell").select(
-            "point_id",
-            "topic_id",
-            "vector",
-            "cell",
-            F.pmod(F.xxhash64("point_id"), F.col("blocks")).cast("int").alias("block"),
-            _each(F.col("chunks")).alias("chunk"),
-        )
-        return _block_hits(left, right, k, dim)
-
-    at_home = bounded.filter("home is not null").select("opinion_id", "vector", F.col("home").alias("cell"))
-    first = settled(visit(at_home), "first-hits")
-    reached = first.groupBy("opinion_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(-2.0)).alias("kth")
-    )
-    # min(score) is the k-th best only if a home block kept exactly k; more can only lower it.
-    margin = 2.0 / SCALE
-    others = (
-        bounded.filter("home is not null")
-        .join(reached, "opinion_id")
-        .select("opinion_id", "vector", "home", "kth", F.posexplode("bounds").alias("cell", "bound"))
-        .filter((F.col("cell") != F.col("home")) & (F.col("bound") > -2) & (F.col("bound") >= F.col("kth") - margin))
-        .select("opinion_id", "vector", "cell")
-    )
-    others = settled(others, "visits")
-    best = merged_hits(first.unionByName(visit(others)), k)
-    return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
-
-
 def topic_hits(
     opinions: DataFrame,
     topics: DataFrame,
@@ -427,15 +306,18 @@ def topic_hits(
     broadcast_bytes=BROADCAST_BYTES,
     topic_rows: int | None = None,
     opinion_rows: int | None = None,
-    n_cells=64,
+    n_cells: int | None = None,
+    nprobe: int | None = None,
     seed=fv.SPLIT_SEED,
 ) -> DataFrame:
     """``opinion_id``, the ``keep`` columns and ``hits``, best first, null without a hit.
 
     ``plan`` is ``broadcast``, ``lists``, ``blocked``, ``cells`` or ``auto``. The topic vectors are
     measured as they are stored; ``auto`` and ``broadcast`` send them to every worker within
-    ``broadcast_bytes`` and else take ``lists`` for sparse and ``blocked`` for dense vectors, with
-    the same rows. Weights below zero take ``blocked`` in place of ``lists``. Blocks of ``topic_rows``
+    ``broadcast_bytes`` and else take ``lists`` for sparse and ``cells`` for dense vectors, with
+    the same rows. Weights below zero take ``blocked`` in place of ``lists``. ``cells`` makes
+    ``n_cells`` cells, the square root of the topics unless told otherwise; with ``nprobe`` an
+    opinion visits only so many of them and may miss hits. Blocks of ``topic_rows``
     topics and ``opinion_rows`` opinions hold 128 MiB of vectors unless told otherwise: the
     larger the blocks, the fewer copies of either side are shuffled. ``dim`` is needed for
     sparse vectors, which ``cells`` does not take.
@@ -446,7 +328,7 @@ def topic_hits(
     n, dim, stored = _measure(topics, _vector_dim(topics, dim))
     if plan in ("auto", "broadcast"):
         sparse = isinstance(topics.schema["vector"].dataType, T.StructType)
-        plan = "broadcast" if stored <= broadcast_bytes else "lists" if sparse else "blocked"
+        plan = "broadcast" if stored <= broadcast_bytes else "lists" if sparse else "cells"
     block = max(1, BLOCK_BYTES * max(1, n) // max(1, stored))
     topic_rows, opinion_rows = topic_rows or block, opinion_rows or max(1, BLOCK_BYTES // (8 * dim))
     if plan == "broadcast":
@@ -461,7 +343,9 @@ def topic_hits(
     if plan == "blocked":
         return _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows)
     if plan == "cells":
-        return _cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells, seed)
+        from agoralens.operators.match_dense import cell_hits  # built on this module
+
+        return cell_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows, n_cells, seed, nprobe)
     raise ValueError(f"unknown plan {plan}")
 
 

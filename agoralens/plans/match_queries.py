@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from agoralens.functions import vectors
-from agoralens.operators import match, match_reports, match_sparse
+from agoralens.operators import match, match_dense, match_reports, match_sparse
 from agoralens.operators.encode import TfIdfEncoder
 from agoralens.plans.inputs import (
     DIM,
@@ -102,7 +102,18 @@ def match_blocked(spark, sf_dir):
 
 @query("match_cells", SELF_SQL)
 def match_cells(spark, sf_dir):
-    return _self_match(spark, sf_dir, plan="cells", topic_rows=256, opinion_rows=256, n_cells=8)
+    """The plan that ``auto`` takes beyond the bound, with blocks small enough to cut."""
+    return _self_match(spark, sf_dir, broadcast_bytes=64, topic_rows=256, opinion_rows=256)
+
+
+@query("match_probes")
+def match_probes(spark, sf_dir):
+    """Pairs scored and recall at five, exact (0) and with a quarter, half and most of the cells probed."""
+    points = vector_opinions(spark, sf_dir)
+    cells = max(4, round(points.count() ** 0.5))
+    dim = points.agg(F.max(F.size("vector"))).first()[0]
+    topics = points.withColumn("point_id", F.col("opinion_id").cast("string"))
+    return match_dense.probe_report(points, topics, 5, dim, (cells // 4, cells // 2, cells * 7 // 8), n_cells=cells)
 
 
 @query(
