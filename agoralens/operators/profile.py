@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agoralens import fixed_values as fv
-from agoralens.functions.lookup import one_row, one_row_map
+from agoralens.functions.lookup import one_row
 from agoralens.functions.text import is_blank
-from agoralens.operators.quantiles import exact_quantiles
+from agoralens.operators.quantiles import selected_quantiles
+from agoralens.session import settled
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -252,35 +253,29 @@ def quality_report(topics, opinions, conclusions, key="topic_id", text="text") -
     return _union(parts)
 
 
+DESCRIPTION = "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+
+
 def describe(df: DataFrame, *columns: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of number columns.
 
-    Quartiles are exact and take bracketed quantiles, whose tasks stay small whatever the values.
+    The columns are stored once. One pass gives the statistics and the first brackets of all
+    quartiles, a few more the exact quartiles of all columns at once.
     """
-    parts = []
-    for c in columns:
-        v = F.col(c)
-        stats = [
-            F.count(v).alias("count"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            F.min(v).cast("double").alias("min"),
-        ]
-        q = one_row_map(exact_quantiles(df, c, (0.25, 0.5, 0.75)), "share", "quantile")
-        row = df.agg(*stats, F.max(v).cast("double").alias("max")).withColumn("q", q)
-        quarter = [F.col("q")[F.lit(s)] for s in (0.25, 0.5, 0.75)]
-        parts.append(
-            row.select(
-                F.lit(c).alias("column"),
-                "count",
-                "mean",
-                "std",
-                "min",
-                *[x.alias(n) for x, n in zip(quarter, ("q25", "q50", "q75"))],
-                "max",
-            )
-        )
-    return _union(parts)
+    numbers = settled(df.select(*columns), "numbers")
+    stats = [
+        f(c).cast("double").alias(f"{name}_{i}")
+        for i, c in enumerate(columns)
+        for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    ]
+    quartiles, rows = selected_quantiles(numbers, columns, (0.25, 0.5, 0.75), also=stats)
+    out = []
+    for i, c in enumerate(columns):
+        row = rows[0].asDict() if rows else {}
+        ends = [row.get(f"{name}_{i}") for name in ("mean", "std", "min")]
+        quarter = [quartiles.get((0, c, s)) for s in (0.25, 0.5, 0.75)]
+        out.append((c, row.get(f"n_v{i}", 0), *ends, *quarter, row.get(f"max_{i}")))
+    return df.sparkSession.createDataFrame(out, DESCRIPTION)
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -1,72 +1,177 @@
-"""Exact quantiles of large tables with bounded memory per task."""
+"""Exact quantiles of large tables by selection: no sort, no window, one scan for each pass.
 
-from pyspark.sql import DataFrame, Window
+The first pass counts the values and sketches them. A pass then takes two edges around each wanted
+rank from the sketch, counts the values below, at and between the edges exactly, and sketches what
+lies between. That narrows the bracket of every quantile of every column and group at once, by a
+factor of about a hundred; a bracket of a few thousand values is listed. Edges are values of the
+column, so a value that fills half of it is found by its counts and never listed.
+"""
+
+import math
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACCURACY = 10_000
+POINTS = 256  # places at which a sketch is read
+LISTED = 4_000  # values of a bracket that are listed
+FRACTIONS = [i / POINTS for i in range(POINTS + 1)]
 
 
-def exact_quantiles(df: DataFrame, value: str, shares, group: str | None = None) -> DataFrame:
-    """Linearly interpolated quantiles of ``value`` per group: columns group, share, quantile.
+@dataclass
+class Target:
+    """One quantile of one column and group, and the open bracket that still holds its ranks."""
 
-    The built-in exact percentile keeps every distinct value of a group in one task. Here an
-    approximate percentile, whose rank error is known, first brackets each quantile. Values
-    below a bracket are only counted. Values inside it, about 8 in ``ACCURACY`` of the
-    group, are ranked, equal values folded into one row. A group of up to ``ACCURACY`` rows
-    is ranked whole. ``group`` is for a flag or a small set of classes. Null values and null
-    groups are left out.
-    """
-    g = F.col(group) if group else F.lit(0)
-    rows = df.select(g.alias("_g"), F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & F.col("_g").isNotNull()
+    group: object
+    column: str
+    share: float
+    count: int
+    points: list  # of the sketch of the bracket
+    ranks: dict = field(default_factory=dict)  # rank to value, None until it is known
+    before: int = 0  # values up to the bracket
+    inside: int = 0  # values in the bracket
+    low: float | None = None
+    high: float | None = None
+    final: bool = False  # the next pass lists the bracket
+
+    def __post_init__(self):
+        at = self.share * (self.count - 1)
+        self.ranks = {math.floor(at): None, math.ceil(at): None}
+        self.inside = self.count
+
+    @property
+    def open(self):
+        return [r for r, v in self.ranks.items() if v is None]
+
+    def value(self):
+        at = self.share * (self.count - 1)
+        a, b = self.ranks[math.floor(at)], self.ranks[math.ceil(at)]
+        return a if a == b else a + (b - a) * (at - math.floor(at))
+
+    def edges(self):
+        """Edges on both sides of the open ranks by the sketch; None where the bracket's end serves."""
+        if self.inside <= LISTED:
+            self.final = True
+            return None, None
+        slack = 2 + math.ceil(2 * POINTS / ACCURACY)
+        first, last = min(self.open) - self.before, max(self.open) - self.before
+        low = math.floor(first * POINTS / self.inside) - slack
+        high = math.ceil((last + 1) * POINTS / self.inside) + slack
+        self.final = self.inside * (high - low + 2) / POINTS <= LISTED
+        return (self.points[low] if low > 0 else None), (self.points[high] if high < POINTS else None)
+
+    def narrow(self, low, high, found):
+        """Take the exact counts around the edges, and the list or the sketch between them."""
+        before, upto = (found["below_low"], found["upto_low"]) if low is not None else (self.before, self.before)
+        under, through = (found["below_high"], found["upto_high"]) if high is not None else (math.inf, math.inf)
+        values = sorted(found["between"] or []) if self.final else None
+        for r in self.open:
+            if low is not None and before <= r < upto:
+                self.ranks[r] = low
+            elif high is not None and under <= r < through:
+                self.ranks[r] = high
+            elif values is not None:
+                self.ranks[r] = values[r - upto]
+        self.low = self.low if low is None else low
+        self.high = self.high if high is None else high
+        self.inside = (self.before + self.inside if high is None else under) - upto
+        self.before = upto
+        self.points = [] if self.final else found["between"]
+
+
+def _between(v, low, high):
+    out = v.isNotNull()
+    if low is not None:
+        out = out & (low.isNull() | (v > low))
+    return out & (high.isNull() | (v < high)) if high is not None else out
+
+
+def _pass(rows, targets, group_type):
+    """One scan that narrows all targets, each by its own edges within its own bracket."""
+    edges = [t.edges() for t in targets]
+    groups = list(dict.fromkeys(t.group for t in targets))
+    kinds = [(c, s) for c, s in dict.fromkeys((t.column, t.share) for t in targets)]
+    by_key = {(t.group, t.column, t.share): (t, e) for t, e in zip(targets, edges)}
+
+    def limits(g, kind):
+        t, e = by_key.get((g, *kind), (None, (None, None)))
+        if t is None:
+            return None
+        # Where an edge is missing, the bracket's own end limits what is listed or sketched.
+        return (*e, t.low if e[0] is None else e[0], t.high if e[1] is None else e[1], t.final)
+
+    fields = "low double, high double, from double, to double, final boolean"
+    schema = T.StructType(
+        [
+            T.StructField("_g", group_type),
+            *[T.StructField(f"_e{i}", T.StructType.fromDDL(fields)) for i in range(len(kinds))],
+        ]
     )
-    slack = 4.0 / ACCURACY
-    edges = [x for q in shares for x in (max(0.0, q - slack), min(1.0, q + slack))]
-    small = F.col("n") <= ACCURACY
-    parts = F.array(
-        *[
+    table = rows.sparkSession.createDataFrame([(g, *[limits(g, k) for k in kinds]) for g in groups], schema)
+    aggregates = []
+    for i, (column, _) in enumerate(kinds):
+        v, e = F.col(column), F.col(f"_e{i}")
+        inside = F.when(e.isNotNull() & _between(v, e["from"], e["to"]), v)
+        aggregates += [
             F.struct(
-                F.lit(float(q)).alias("share"),
-                F.when(small | F.lit(q <= slack), F.lit(float("-inf")))
-                .otherwise(F.col("_p")[2 * i])
-                .alias("lo"),
-                F.when(small | F.lit(q >= 1 - slack), F.lit(float("inf")))
-                .otherwise(F.col("_p")[2 * i + 1])
-                .alias("hi"),
-            )
-            for i, q in enumerate(shares)
+                F.count_if(v < e["low"]).alias("below_low"),
+                F.count_if(v <= e["low"]).alias("upto_low"),
+                F.count_if(v < e["high"]).alias("below_high"),
+                F.count_if(v <= e["high"]).alias("upto_high"),
+            ).alias(f"c{i}"),
+            F.collect_list(F.when(e["final"], inside)).alias(f"l{i}"),
+            F.percentile_approx(F.when(~e["final"], inside), FRACTIONS, ACCURACY).alias(f"s{i}"),
         ]
+    joined = rows.join(F.broadcast(table), "_g")  # one row for each group
+    for row in joined.groupBy("_g").agg(*aggregates).collect():
+        for i, kind in enumerate(kinds):
+            if (row["_g"], *kind) in by_key:
+                target, (low, high) = by_key[(row["_g"], *kind)]
+                between = row[f"l{i}"] if target.final else row[f"s{i}"]
+                target.narrow(low, high, {**row[f"c{i}"].asDict(), "between": between})
+
+
+def selected_quantiles(df: DataFrame, columns, shares, group: str | None = None, also=()):
+    """The quantiles by (group, column, share), and a row of the aggregates ``also`` for each group.
+
+    Linearly interpolated. ``group`` is for a flag or a small set of classes; without it the group
+    is 0. Null values and null groups are left out, and so are columns without a value. ``df`` is
+    scanned twice or, beyond some hundred thousand rows, once more for each factor of a hundred:
+    give it stored.
+    """
+    g = F.col(group) if group else F.lit(0)
+    names = {c: f"_v{i}" for i, c in enumerate(columns)}
+    rows = df.select(g.alias("_g"), *[F.col(c).cast("double").alias(n) for c, n in names.items()], *[c for c in columns])
+    rows = rows.filter("_g is not null")
+    first = rows.groupBy("_g").agg(
+        *[F.count(n).alias(f"n{n}") for n in names.values()],
+        *[F.percentile_approx(n, FRACTIONS, ACCURACY).alias(f"s{n}") for n in names.values()],
+        *also,
     )
-    brackets = (
-        rows.groupBy("_g")
-        .agg(F.percentile_approx("_v", edges, ACCURACY).alias("_p"), F.count("*").alias("n"))
-        .select("_g", F.struct("n", parts.alias("b")).alias("_b"))
-    )
-    by_group = brackets.agg(
-        F.map_from_entries(F.collect_list(F.struct("_g", "_b"))).alias("m")
-    ).scalar()
-    # Fold equal values, then say for each distinct value which brackets hold it.
-    folded = rows.groupBy("_g", "_v").agg(F.count("*").alias("c")).withColumn("_b", by_group[F.col("_g")])
-    placed = folded.select(
-        "_g", "_v", "c", F.col("_b.n").alias("n"), F.explode(F.col("_b.b")).alias("b")
-    ).filter(F.col("_v") <= F.col("b.hi"))
-    inside = F.col("_v") >= F.col("b.lo")
-    kept = placed.groupBy(
-        "_g", F.col("b.share").alias("share"), F.when(inside, F.col("_v")).alias("v")
-    ).agg(F.sum("c").alias("c"), F.max("n").alias("n"))
-    # The row with a null value carries the count of everything below the bracket.
-    w = Window.partitionBy("_g", "share").orderBy(F.col("v").asc_nulls_first())
-    upto = kept.withColumn("last", F.sum("c").over(w) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
-    at = F.col("share") * (F.col("n") - 1)
-
-    def value_at(rank):
-        hit = F.col("v").isNotNull() & (F.col("first") <= rank) & (F.col("last") >= rank)
-        return F.max(F.when(hit, F.col("v")))
-
-    low, high = F.floor(at), F.ceil(at)
-    out = (
-        upto.groupBy("_g", "share")
-        .agg(value_at(low).alias("a"), value_at(high).alias("b"), F.max(at - low).alias("f"))
-        .select("_g", "share", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("quantile"))
-    )
-    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
+    first = first.collect()
+    rows = rows.select("_g", *names.values())
+    targets = [
+        Target(r["_g"], n, float(s), r[f"n{n}"], r[f"s{n}"])
+        for r in first
+        for n in names.values()
+        if r[f"n{n}"]
+        for s in shares
+    ]
+    while left := [t for t in targets if t.open]:
+        _pass(rows, left, rows.schema["_g"].dataType)
+    back = {n: c for c, n in names.items()}
+    return {(t.group, back[t.column], t.share): t.value() for t in targets}, first
+
+
+def exact_quantiles(df: DataFrame, value: str, shares, group: str | None = None) -> DataFrame:
+    """Linearly interpolated quantiles of ``value`` per group: columns group, share, quantile.
+
+    See ``selected_quantiles``; the result has one row for each share and group.
+    """
+    found, _ = selected_quantiles(df, (value,), shares, group)
+    kind = [T.StructField(group, df.schema[group].dataType)] if group else []
+    schema = T.StructType([*kind, T.StructField("share", T.DoubleType()), T.StructField("quantile", T.DoubleType())])
+    rows = [((g,) if group else ()) + (share, q) for (g, _, share), q in found.items()]
+    return df.sparkSession.createDataFrame(rows, schema)

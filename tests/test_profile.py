@@ -1,8 +1,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from agoralens.operators import profile
+from agoralens.operators import profile, quantiles
 from agoralens.operators.clean import clean_tables
 from agoralens.operators.quantiles import ACCURACY, exact_quantiles
 
@@ -143,3 +144,38 @@ def test_duplicates_keep_microseconds_and_fold_zeros_and_nan(spark):
     assert profile.duplicate_rows(df).first()[0] == df.count() - df.distinct().count() == 3
     ntz = df.selectExpr("cast(at AS timestamp_ntz) AS at", "struct(x, at) AS s")
     assert profile.duplicate_rows(ntz).first()[0] == ntz.count() - ntz.distinct().count()
+
+
+@pytest.mark.parametrize("listed", [3, 50])
+def test_quantiles_of_several_columns_take_many_passes(spark, monkeypatch, listed):
+    """Brackets that must be narrowed again and again, with ties, infinities and nulls."""
+    monkeypatch.setattr(quantiles, "LISTED", listed)
+    rng = np.random.default_rng(3)
+    n = 30_000
+    x = rng.normal(size=n) ** 3
+    y = np.where(rng.random(n) < 0.5, 7.0, rng.integers(0, 1000, n).astype(float))
+    z = np.where(rng.random(n) < 0.001, np.inf, rng.random(n))
+    flag = rng.integers(0, 3, n)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y, "z": z, "flag": flag}))
+    df = df.withColumns({"y": F.when(F.col("x") > -1, F.col("y")), "nothing": F.lit(None).cast("int")})
+    passes = []
+    scan = quantiles._pass
+    monkeypatch.setattr(quantiles, "_pass", lambda *a: passes.append(1) or scan(*a))
+    shares = (0.0, 0.001, 0.25, 0.5, 0.77, 1.0)
+    found, _ = quantiles.selected_quantiles(df, ("x", "y", "z", "nothing"), shares, "flag")
+    assert len(found) == 3 * 3 * 6 and 2 <= len(passes) <= 8
+    for (g, c, s), q in found.items():
+        v = {"x": x, "y": y, "z": z}[c][(flag == g) & ((x > -1) | (c != "y"))]
+        v = np.sort(v)
+        at = s * (len(v) - 1)
+        a, b = v[int(np.floor(at))], v[int(np.ceil(at))]
+        assert q == pytest.approx(a if a == b else a + (b - a) * (at - np.floor(at)), abs=1e-12), (g, c, s)
+
+
+def test_quantiles_without_a_window(spark, monkeypatch):
+    df = spark.range(40_000).selectExpr("id * 7 % 1000 AS v", "id % 2 = 0 AS flag")
+    plans = []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda d: plans.append(d._jdf.queryExecution().toString()) or collect(d))
+    assert len(exact_quantiles(df, "v", (0.5,), "flag").collect()) == 2
+    assert len(plans) >= 3 and not any("Window" in p or "Sort " in p.split("Physical Plan")[-1] for p in plans)
