@@ -7,22 +7,45 @@ from pyspark.sql import functions as F
 
 from agoralens import fixed_values as fv
 from agoralens.functions.text import bullet_list, normal_label, percent_text
+from agoralens.session import settled
+
+
+def first_ids(rows: DataFrame, keys, n, id_col="opinion_id") -> DataFrame:
+    """The first n ids per key with their ``rank``; each task keeps at most n per key before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(id_col)
+    return rows.select(*keys, id_col).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
 def first_texts(df: DataFrame, keys, n, id_col="opinion_id", text="text", where=None) -> DataFrame:
     """The first n texts per key in id order, with their ``rank``.
 
-    Only keys and ids are ranked, and each task keeps at most n of them per key before the
-    shuffle. The texts of the few ids that are left are fetched by a join on the unique id.
+    Only keys and ids are ranked. The texts of the few ids that are left are fetched by a join on
+    the unique id.
     """
     rows = df.filter(F.col(text).isNotNull())
     if where is not None:
         rows = rows.filter(where)
-    w = Window.partitionBy(*keys).orderBy(id_col)
-    ranked = rows.select(*keys, id_col).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    ranked = first_ids(rows, keys, n, id_col)
     return df.select(id_col, text).join(ranked, id_col).select(*keys, id_col, text, "rank")
 
 
+def stored_positions(df, topic="matched_topic_id", label="predicted_type", id_col="opinion_id") -> DataFrame:
+    """Topic, position, id and confidence of each opinion, and whether it has a text, stored.
+
+    Counts and samples both read them. Stored once, a classifier behind them runs once; a filter
+    on the position would else be pushed below it with a copy of its whole expression.
+    """
+    confidence = F.col("type_confidence") if "type_confidence" in df.columns else F.lit(None).cast("double")
+    rows = df.select(
+        F.col(topic).alias("topic_id"),
+        normal_label(F.col(label)).alias("position"),
+        F.col(id_col).alias("id"),
+        confidence.alias("type_confidence"),
+        F.col("text").isNotNull().alias("has_text"),
+    )
+    return settled(rows, "positions")
+
+
 def position_counts(df: DataFrame, topic="matched_topic_id", label="predicted_type") -> DataFrame:
     """Rows, confidence sum and confidence count per topic and position."""
     return (
@@ -61,26 +84,30 @@ def fold_counts(counts: DataFrame) -> DataFrame:
 
 def topic_samples(df, topic="matched_topic_id", label="predicted_type", id_col="opinion_id") -> DataFrame:
     """The sample texts of each topic: one array per position."""
-    rows = df.select(
-        F.col(topic).alias("topic_id"), normal_label(F.col(label)).alias("position"), id_col, "text"
-    )
+    return _samples(stored_positions(df, topic, label, id_col), df.select(F.col(id_col).alias("id"), "text"))
+
+
+def _samples(positions, texts):
     most = max(fv.SAMPLE_LIMITS.values())
-    wanted = F.col("position").isin(*fv.POSITIONS) & F.col("topic_id").isNotNull()
-    first = first_texts(rows, ("topic_id", "position"), most, id_col, where=wanted)
+    wanted = F.col("position").isin(*fv.POSITIONS) & F.col("topic_id").isNotNull() & F.col("has_text")
+    first = first_ids(positions.filter(wanted), ("topic_id", "position"), most, "id")
+    first = texts.join(first, "id")
 
-    def texts(position):
+    def sample(position):
         hit = (F.col("position") == position) & (F.col("rank") <= fv.SAMPLE_LIMITS[position])
         ranked = F.array_sort(F.collect_list(F.when(hit, F.struct("rank", "text"))))
         return F.transform(ranked, lambda s: s["text"]).alias(fv.SAMPLE_FIELDS[position])
 
-    arrays = first.groupBy("topic_id").agg(*[texts(p) for p in fv.POSITIONS])
+    arrays = first.groupBy("topic_id").agg(*[sample(p) for p in fv.POSITIONS])
     return arrays.select("topic_id", F.struct(*[fv.SAMPLE_FIELDS[p] for p in fv.POSITIONS]).alias("samples"))
 
 
 def topic_analysis(df, topic="matched_topic_id", label="predicted_type", id_col="opinion_id") -> DataFrame:
     """One row per topic: total, position maps, sample texts, mean confidence."""
-    folded = fold_counts(position_counts(df, topic, label))
-    joined = folded.join(topic_samples(df, topic, label, id_col), "topic_id", "left")
+    positions = stored_positions(df, topic, label, id_col)
+    folded = fold_counts(position_counts(positions, "topic_id", "position"))
+    samples = _samples(positions, df.select(F.col(id_col).alias("id"), "text"))
+    joined = folded.join(samples, "topic_id", "left")
     none = F.struct(
         *[F.array().cast("array<string>").alias(fv.SAMPLE_FIELDS[p]) for p in fv.POSITIONS]
     )

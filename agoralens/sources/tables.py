@@ -45,18 +45,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """A table smaller than one input split, dealt out to all cores.
+    """A table of fewer splits than cores, such as one file of one row group, dealt out to all cores.
 
-    Such a table often is one file of one row group, hence one task. A table of many splits
-    is returned as it is, so nothing is shuffled at scale.
+    Rows do not change. A table with as many splits as cores is returned as it is.
     """
-    spark = df.sparkSession
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
-    limit = int(split.rstrip("bkmgt")) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(split.rstrip("b")[-1], 0)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= limit:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -61,6 +61,11 @@ def test_summary_joins_on_keys(spark):
     assert "WindowGroupLimit" in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize("name", ["topic_prompt", "topic_samples", "topic_analysis", "run_summary"])
+def test_a_classifier_is_not_copied(spark, name):
+    assert plan(queries()[name](spark, SF_DIR)).count("regexp_extract_all") <= 2
+
+
 NO_PLAN = ("stream_", "train", "model_", "quality_classifier", "csv_", "parquet_", "vector_upsert")
 
 

@@ -47,12 +47,14 @@ def test_spread_leaves_large_tables_alone(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(path)
     df = spark.read.parquet(path)
     assert tables.spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{path}s")
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+        df = spark.read.parquet(f"{path}s")
         assert tables.spread_small(df) is df
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
 
 
 def test_vectors_with_payload_and_merge(spark, tmp_path):
