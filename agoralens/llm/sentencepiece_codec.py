@@ -24,7 +24,7 @@ MARK = "▁"
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 BATCH_CHARS = 4_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 WORDS = 1000
 FAR_BELOW = -1e6
 
@@ -145,6 +145,13 @@ class Codec:
         # Normalised texts hold no space, so its byte can stand between the words of a batch.
         self.between = self.tokenizer.token_to_id("<0x20>") if model.byte_fallback else None
         self.cache = {}
+        octets = [
+            bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode("utf-8")
+            for p, k in zip(model.pieces, model.kinds)
+        ]
+        self.piece_sizes = np.array([len(o) for o in octets], np.int64)
+        self.piece_at = np.append(0, np.cumsum(self.piece_sizes)[:-1])
+        self.piece_octets = np.frombuffer(b"".join(octets), np.uint8)
 
     def normalise(self, text):
         """The text as the pieces see it: spaces are marks."""
@@ -186,17 +193,42 @@ class Codec:
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
         words = [self._words(t) for t in texts]
-        new = list(set().union(*(w for w in words if w)).difference(self.cache))
+        coded = [list(map(self.cache.get, w or ())) for w in words]
+        gaps = [[j for j, c in enumerate(found) if c is None] for found in coded]
+        new = list({w[j] for w, at in zip(words, gaps) for j in at})
         self.cache.update(zip(new, self._encode_words([MARK + w for w in new])))
+        for w, found, at in zip(words, coded, gaps):
+            for j in at:
+                found[j] = self.cache[w[j]]
         odd = [self.normalise(t) for t, w in zip(texts, words) if w is None]
         odd = [self.cut.findall(t) if self.by_words else [t] * bool(t) for t in odd]
         parts = list(set().union(*odd))
-        found, rest = dict(zip(parts, self._encode_words(parts))), iter(odd)
-        known = self.cache.__getitem__
-        return [b"".join(map(known, w) if w else map(found.__getitem__, next(rest))) for w in words]
+        of_part, rest = dict(zip(parts, self._encode_words(parts))), iter(odd)
+        return [b"".join(found if w else map(of_part.__getitem__, next(rest))) for w, found in zip(words, coded)]
 
     def decode(self, coded):
-        """The texts of ids as ``encode`` gives them."""
+        """The texts of ids as ``encode`` gives them.
+
+        The bytes of all pieces of a batch are gathered at once. Ids whose bytes are no valid text
+        are decoded by the library, which says what stands for the bytes that are wrong.
+        """
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        sizes = self.piece_sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        octets = self.piece_octets[np.arange(ends[-1]) + np.repeat(self.piece_at[ids] - ends[:-1], sizes)].tobytes()
+        cuts = ends[np.append(0, np.cumsum([len(c) // 4 for c in coded], dtype=np.int64))].tolist()
+        out = []
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            try:
+                text = octets[a:b].decode("utf-8")
+            except UnicodeDecodeError:
+                text = self.decode_by_library(coded[i : i + 1])[0]
+            else:
+                text = text[1:] if self.model.dummy_prefix and text[:1] == " " else text
+            out.append(text)
+        return out
+
+    def decode_by_library(self, coded):
         ids = [np.frombuffer(c, "<u4").tolist() for c in coded]
         return self.tokenizer.decode_batch(ids, skip_special_tokens=True)
 

@@ -285,3 +285,26 @@ def test_place_and_write(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 101
     plan = placed._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_gathered_bytes_decode_as_the_library_does():
+    codec = Codec(PIECES)
+    rng = np.random.default_rng(4)
+    size = len(codec.model.pieces)
+    byte_ids = [i for i, k in enumerate(codec.model.kinds) if k == 6]
+    lists = [rng.integers(0, size, rng.integers(0, 60)) for _ in range(200)]
+    lists += [rng.choice(byte_ids, rng.integers(1, 9)) for _ in range(100)]  # mostly no valid text
+    lists += [np.append(rng.integers(0, size, 3), rng.choice(byte_ids, 2)) for _ in range(50)] + [np.arange(size)]
+    coded = [ids.astype("<u4").tobytes() for ids in lists]
+    assert codec.decode(coded) == codec.decode_by_library(coded)
+    assert codec.decode([]) == [] and codec.decode([b"", b""]) == ["", ""]
+
+
+def test_a_full_cache_starts_anew(monkeypatch):
+    from agoralens.llm import sentencepiece_codec
+
+    monkeypatch.setattr(sentencepiece_codec, "CACHED_WORDS", 3)
+    codec = Codec(PIECES)
+    texts = ["some words of a text", "some other words", "", "words words  words"]
+    first = codec.encode(texts)
+    assert len(codec.cache) > 3 and codec.encode(texts) == first and codec.decode(first) == texts
