@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from agoralens.operators.encode import TfIdfEncoder
-from agoralens.plans.inputs import CLASSIFIED_SQL, DIM, opinions, rule_classify, stream
+from agoralens.plans.inputs import CLASSIFIED_SQL, DIM, opinions, rule_classify, stream, table
 from agoralens.plans.match_queries import TEXT_HITS_SQL, text_topics
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path, settled
@@ -72,11 +72,19 @@ def _event_stream(spark, sf_dir):
     )
 
 
-def _updates(spark, df, keys):
-    folder = fresh_path(spark, "updates")
-    run = state.keep_updates(df, f"{folder}/rows", f"{folder}/checkpoint", keys, available_now=True)
-    run.awaitTermination()
-    return f"{folder}/rows"
+def _kept(spark, rows, keys):
+    """The checkpoint of a stream whose totals by key are kept, after all its rows."""
+    folder = fresh_path(spark, "totals")
+    totals = state.running_totals(rows, keys)
+    state.keep_totals(totals, f"{folder}/changes", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return f"{folder}/checkpoint"
+
+
+def _topic_checkpoint(spark, sf_dir):
+    """Every event arrives twice and counts once."""
+    twice = _event_stream(spark, sf_dir).union(_event_stream(spark, sf_dir))
+    unique = submissions.without_repeats(twice, "40 days")
+    return _kept(spark, state.by_topic(unique), ("topic_id", "position"))
 
 
 @query(
@@ -86,10 +94,8 @@ SELECT user_id::VARCHAR AS topic_id, event_type AS "position", count(*) AS count
   round(conf, 9) AS avg_confidence FROM events JOIN t USING (user_id) GROUP BY user_id, event_type, total, conf""",
 )
 def stream_topic_state(spark, sf_dir):
-    """The running position map of each topic after all events, as rows. Every event arrives twice."""
-    twice = _event_stream(spark, sf_dir).union(_event_stream(spark, sf_dir))
-    unique = submissions.without_repeats(twice, "40 days")
-    rows = state.topic_state(spark, _updates(spark, state.running_counts(unique), ("topic_id", "position")))
+    """The running position map of each topic after all events, as rows."""
+    rows = state.topic_state(spark, _topic_checkpoint(spark, sf_dir))
     return rows.select(
         "topic_id",
         F.explode("position_distribution").alias("position", "count"),
@@ -98,11 +104,61 @@ def stream_topic_state(spark, sf_dir):
     )
 
 
+@query(
+    "stream_topic_lookup",
+    """WITH t AS (SELECT user_id, count(*) AS total, avg(value) AS conf, count(DISTINCT event_type) AS n,
+  sum((event_type = 'click')::INTEGER)::BIGINT AS clicks FROM events GROUP BY user_id)
+SELECT c_custkey::VARCHAR AS topic_id, coalesce(total, 0) AS total_opinions, coalesce(n, 0)::INTEGER AS positions,
+  coalesce(clicks, 0) AS clicks, round(conf, 9) AS avg_confidence
+FROM (SELECT DISTINCT c_custkey FROM customer) LEFT JOIN t ON user_id = c_custkey""",
+)
+def stream_topic_lookup(spark, sf_dir):
+    """Every customer key as an asked topic, known or not, answered from the state store."""
+    asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("topic_id"))
+    found = state.asked_topics(spark, _topic_checkpoint(spark, sf_dir), asked)
+    counts = F.col("position_distribution")
+    return found.select(
+        "topic_id",
+        "total_opinions",
+        F.coalesce(F.cardinality(counts), F.lit(0)).alias("positions"),
+        F.coalesce(F.try_element_at(counts, F.lit("click")), F.lit(0)).alias("clicks"),
+        F.round("avg_confidence", 9).alias("avg_confidence"),
+    )
+
+
 @query(
     "stream_daily",
     """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS "position", count(*) AS count FROM events GROUP BY ALL""",
 )
 def stream_daily(spark, sf_dir):
-    daily = state.daily_counts(_event_stream(spark, sf_dir), "40 days")
-    rows = state.latest(spark, _updates(spark, daily, ("day", "position")))
+    checkpoint = _kept(spark, state.by_day(_event_stream(spark, sf_dir)), ("day", "position"))
+    rows = state.current_totals(spark, checkpoint)
     return rows.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "position", "count")
+
+
+@query(
+    "stream_submitted_totals",
+    """WITH timed AS (
+  SELECT *, ts <= min(ts) OVER (PARTITION BY user_id) + INTERVAL 20 DAY AS in_time FROM events),
+sums AS (
+  SELECT user_id, count(*) + (user_id % 3 = 0)::INTEGER AS size, count(*) FILTER (in_time) AS seen,
+    count(*) FILTER (in_time AND event_type <> 'error') AS successful FROM timed GROUP BY user_id)
+SELECT user_id::VARCHAR AS submitted_batch, size::BIGINT AS total_processed, successful,
+  size::BIGINT - successful AS failed, seen >= size AS complete FROM sums""",
+)
+def stream_submitted_totals(spark, sf_dir):
+    """Users as submitted batches of 20 days whose errors failed; of every third one a result never comes."""
+    late = (F.col("matched_topic_id").cast("long") % 3 == 0).cast("long")
+    events = _event_stream(spark, sf_dir)
+    counts = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("submitted_batch")).count()
+    results = events.select(
+        F.col("matched_topic_id").alias("submitted_batch"),
+        F.when(F.col("predicted_position") == "error", "failed").otherwise("ok").alias("status"),
+        "event_time",
+        late.alias("late"),
+    )
+    results = results.join(counts, "submitted_batch").withColumn("batch_size", F.col("count") + F.col("late"))
+    folder = fresh_path(spark, "submitted")
+    totals = submissions.submitted_totals(results, limit="20 days", delay="1 minute")
+    submissions.keep_submitted(totals, f"{folder}/totals", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(submissions.SUBMITTED).parquet(f"{folder}/totals")

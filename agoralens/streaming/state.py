@@ -1,14 +1,31 @@
-"""Running position counts per topic and per day."""
+"""Running totals by key, kept in the state store and read from there.
 
-from pyspark.errors import AnalysisException
+A stream of scored opinions is summed by key in the tasks first, so a hot topic sends a few rows for
+each batch. A keyed processor adds them to one value for each key and gives the new totals of the
+keys that a batch touched; the sink writes these rows and no others. The totals of all keys, or of
+asked ones, are read from the checkpoint's state store, so no table of the whole state is written.
+"""
+
+import contextlib
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
+from agoralens.functions.text import normal_label
 from agoralens.operators.analysis import fold_counts, position_counts
 
+TOTALS = "count long, confidence_sum double, confidence_count long"
+SUMS = ("count", "confidence_sum", "confidence_count")
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def running_counts(scored: DataFrame) -> DataFrame:
-    """Counts per topic and position; the state is one small row for each pair."""
+    """Counts per topic and position of a bounded frame of scored opinions."""
     return position_counts(
         scored.select(
             F.col("matched_topic_id"),
@@ -18,66 +35,153 @@ def running_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def daily_counts(scored: DataFrame, delay="1 day") -> DataFrame:
-    """Counts per day and position from the event time."""
-    return (
-        scored.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 day").alias("w"), F.col("predicted_position").alias("position"))
-        .agg(F.count("*").alias("count"))
-        .select(F.col("w.start").alias("day"), "position", "count")
+def by_topic(scored: DataFrame) -> DataFrame:
+    """The keys and the confidence of each scored opinion with a topic."""
+    rows = scored.filter(F.col("matched_topic_id").isNotNull())
+    return rows.select(
+        F.col("matched_topic_id").alias("topic_id"),
+        normal_label(F.col("predicted_position")).alias("position"),
+        F.col("position_confidence").cast("double").alias("confidence"),
     )
 
 
-def _version(path: str, batch_id: int) -> str:
-    return f"{path}/version={batch_id % 2}"
+def by_day(scored: DataFrame) -> DataFrame:
+    """The day of the event time and the position of each scored opinion."""
+    return scored.filter(F.col("event_time").isNotNull()).select(
+        F.date_trunc("day", "event_time").alias("day"),
+        F.col("predicted_position").alias("position"),
+        F.col("position_confidence").cast("double").alias("confidence"),
+    )
+
+
+def summed_by_task(rows: DataFrame, keys) -> DataFrame:
+    """Keys with the sums of each Arrow batch of a task: what a batch of a stream sends to its state."""
+
+    def run(batches):
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by(list(keys)).aggregate(
+                [([], "count_all"), ("confidence", "sum"), ("confidence", "count")]
+            )
+            sums = sums.select([*keys, "count_all", "confidence_sum", "confidence_count"]).combine_chunks()
+            yield from sums.rename_columns([*keys, *SUMS]).to_batches()
+
+    kinds = [rows.schema[k] for k in keys]
+    return rows.select(*keys, "confidence").mapInArrow(run, T.StructType([*kinds, *T.StructType.fromDDL(TOTALS)]))
+
+
+class RunningTotals(StatefulProcessor):
+    """One value for each key: rows, confidence sum and confidence count."""
+
+    def __init__(self, keys, ttl_ms=None):
+        self.keys, self.ttl_ms = keys, ttl_ms
+
+    def init(self, handle):
+        self.totals = handle.getValueState("totals", TOTALS, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        count, total, known = self.totals.get() if self.totals.exists() else (0, 0.0, 0)
+        for part in rows:
+            count += int(part["count"].sum())
+            total += float(part["confidence_sum"].sum())
+            known += int(part["confidence_count"].sum())
+        self.totals.update((count, total, known))
+        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, **dict(zip(SUMS, ([count], [total], [known])))})
+
 
+def running_totals(rows: DataFrame, keys, ttl_ms: int | None = None) -> DataFrame:
+    """The current totals of every key that a batch of the stream touches.
 
-def _read_version(spark: SparkSession, path: str):
+    ``rows`` holds the keys and ``confidence``. With ``ttl_ms`` a key that has not been touched for
+    that long is forgotten; its next row starts anew.
+    """
+    sums = summed_by_task(rows, keys)
+    return sums.groupBy(*keys).transformWithStateInPandas(
+        RunningTotals(tuple(keys), ttl_ms), sums.schema, "Update", "ProcessingTime" if ttl_ms else "None"
+    )
+
+
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession):
+    """The session with the state store that keyed processors need, for starting a query."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
 
 
-def write_updates(path: str, keys):
-    """A ``foreachBatch`` sink for update mode: the current row of every key.
+def write_changes(path: str):
+    """A ``foreachBatch`` sink: the changed rows of a batch in a folder of its own.
 
-    A batch lays its rows over the table that the batch before it left, and writes the result to
-    the other of two folders. A batch that runs again does the same again. The cost of a batch
-    is that of the state, however many batches came before.
+    A batch that runs again overwrites its folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        before = _read_version(batch.sparkSession, _version(path, batch_id - 1))
-        if before is not None:
-            changed = fresh.select(*keys).distinct()
-            same = [before[k].eqNullSafe(changed[k]) for k in keys]
-            stays = before.join(changed, same, "left_anti")
-            fresh = fresh.unionByName(stays.withColumn("batch_id", F.lit(batch_id).cast("long")))
-        fresh.write.mode("overwrite").parquet(_version(path, batch_id))
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def keep_updates(stream: DataFrame, path, checkpoint, keys, available_now=False):
+def keep_totals(stream: DataFrame, path: str, checkpoint: str, available_now=False, ttl_ms: int | None = None):
+    """Start the query that keeps the totals and writes what each batch changes.
+
+    Totals with a ``ttl_ms`` (tell it here too) look at the clock for ever, so they need a query that
+    stays on.
+    """
+    if available_now and ttl_ms:
+        raise ValueError("a query whose keys are forgotten by the clock never ends by itself")
     writer = (
         stream.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_updates(path, keys))
+        .foreachBatch(write_changes(path))
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    with keyed_state(stream.sparkSession):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
 
+def stored_state(spark: SparkSession, checkpoint: str, variable: str, batch_id: int | None = None) -> DataFrame:
+    """The keys and values of a state variable after the last finished batch, or after ``batch_id``."""
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    # One row for each stateful operator of the query.
+    found = [
+        r["operatorId"]
+        for r in operators.collect()
+        if r["operatorName"].startswith("transformWithState") and f'"{variable}"' in (r["operatorProperties"] or "")
+    ]
+    if not found:
+        raise ValueError(f"the checkpoint has no state {variable}")
+    reader = spark.read.format("statestore").option("operatorId", found[0]).option("stateVarName", variable)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    return reader.load(checkpoint).select("key.*", "value.*")
 
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The current row of every key: the newer of the two versions."""
-    versions = [df for df in (_read_version(spark, _version(path, b)) for b in (0, 1)) if df is not None]
-    newest = max(versions, key=lambda df: df.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0])
-    return newest.drop("batch_id")
 
+def current_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The totals of every key."""
+    return stored_state(spark, checkpoint, "totals", batch_id)
 
-def topic_state(spark: SparkSession, path: str) -> DataFrame:
+
+def topic_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The running position map, total and mean confidence of each topic."""
-    return fold_counts(latest(spark, path))
+    return fold_counts(current_totals(spark, checkpoint))
+
+
+def asked_topics(spark: SparkSession, checkpoint: str, asked: DataFrame, topics=None, conclusions=None) -> DataFrame:
+    """The state of each asked ``topic_id``, with text and conclusion where these tables are given.
+
+    An id that no opinion has reached yet has total 0 and null maps. Asked ids are joined before
+    the counts are folded, so only their rows are.
+    """
+    ids = asked.select("topic_id").filter("topic_id is not null").distinct()
+    folded = fold_counts(current_totals(spark, checkpoint).join(ids, "topic_id", "left_semi"))
+    out = ids.join(folded, "topic_id", "left").withColumn("total_opinions", F.coalesce("total_opinions", F.lit(0)))
+    if topics is not None:
+        text = topics.groupBy("topic_id").agg(F.min("text").alias("topic_text"))
+        out = out.join(text, "topic_id", "left")
+    if conclusions is not None:
+        said = conclusions.groupBy("topic_id").agg(
+            F.min_by("generated_conclusion", F.struct("topic_text", "generated_conclusion")).alias("conclusion")
+        )
+        out = out.join(said, "topic_id", "left")
+    return out

@@ -87,24 +87,23 @@ FILES = [
 ]
 
 
-def run_state(spark, tmp_path, make, keys):
+def run_state(spark, tmp_path, rows_of, keys):
+    """The folders of the changes and of the checkpoint after all files."""
     source = str(tmp_path / "in")
     for rows in FILES:
         write_file(spark, source, rows, SCORED)
     paths = str(tmp_path / "rows"), str(tmp_path / "checkpoint")
-    stream = make(read_files(spark, source, SCORED))
-    state.keep_updates(stream, *paths, keys, available_now=True).awaitTermination()
-    return paths[0]
+    totals = state.running_totals(rows_of(read_files(spark, source, SCORED)), keys)
+    state.keep_totals(totals, *paths, available_now=True).awaitTermination()
+    return paths
 
 
 def test_running_state_drops_repeats_and_equals_the_batch_fold(spark, tmp_path):
-    def counts(stream):
-        return state.running_counts(submissions.without_repeats(stream, "10 days"))
+    def rows_of(stream):
+        return state.by_topic(submissions.without_repeats(stream, "10 days"))
 
-    path = run_state(spark, tmp_path, counts, ("topic_id", "position"))
-    # However many batches came, two versions of the state are kept.
-    assert spark.read.parquet(path).select("batch_id").distinct().count() == 2
-    got = {r["topic_id"]: r for r in state.topic_state(spark, path).collect()}
+    changes, checkpoint = run_state(spark, tmp_path, rows_of, ("topic_id", "position"))
+    got = {r["topic_id"]: r for r in state.topic_state(spark, checkpoint).collect()}
     batch = spark.createDataFrame([r for f in FILES for r in f], SCORED)
     first = batch.groupBy("opinion_id").agg(F.min_by(F.struct(*batch.columns[1:]), "event_time").alias("s"))
     once = first.select("opinion_id", "s.*")
@@ -112,10 +111,87 @@ def test_running_state_drops_repeats_and_equals_the_batch_fold(spark, tmp_path):
     assert got == expected
     assert got["u"]["position_distribution"] == {"rebuttal": 1}
     assert got["t"]["total_opinions"] == 7
+    # A batch writes the keys it touches: the last row of each key is its state.
+    written = [(r["batch_id"], r["topic_id"], r["position"], r["count"]) for r in spark.read.parquet(changes).collect()]
+    assert sorted(written) == [(0, "t", "claim", 3), (0, "u", "rebuttal", 1), (1, "t", "evidence", 2), (2, "t", "claim", 5)]
+
+
+def test_a_batch_writes_what_it_touches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_file(spark, source, [r for k in range(200) for r in scored_rows(0, [f"o{k}"], f"t{k}")], SCORED)
+    write_file(spark, source, scored_rows(1, ["x", "y"], "t7") + scored_rows(1, ["z"], "t8", None), SCORED)
+    totals = state.running_totals(state.by_topic(read_files(spark, source, SCORED)), ("topic_id", "position"))
+    paths = str(tmp_path / "rows"), str(tmp_path / "checkpoint")
+    state.keep_totals(totals, *paths, available_now=True).awaitTermination()
+    sizes = {r["batch_id"]: r["count"] for r in spark.read.parquet(paths[0]).groupBy("batch_id").count().collect()}
+    assert sizes == {0: 200, 1: 2}
+    now = {(r["topic_id"], r["position"]): r["count"] for r in state.current_totals(spark, paths[1]).collect()}
+    assert len(now) == 201 and now[("t7", "claim")] == 3 and now[("t8", None)] == 1
+    before = state.current_totals(spark, paths[1], batch_id=0).filter("topic_id = 't7'").first()
+    assert before["count"] == 1
+
+
+def test_asked_topics_are_read_from_the_state(spark, tmp_path):
+    _, checkpoint = run_state(spark, tmp_path, state.by_topic, ("topic_id", "position"))
+    asked = spark.createDataFrame([("u",), ("t",), ("t",), ("nobody",), (None,)], "topic_id string")
+    topics = spark.createDataFrame([("t", "the text"), ("t", "a text"), ("u", None)], "topic_id string, text string")
+    said = spark.createDataFrame([("t", "x", "so it is")], "topic_id string, topic_text string, generated_conclusion string")
+    got = {r["topic_id"]: r for r in state.asked_topics(spark, checkpoint, asked, topics, said).collect()}
+    assert sorted(got) == ["nobody", "t", "u"]
+    assert (got["t"]["total_opinions"], got["t"]["topic_text"], got["t"]["conclusion"]) == (8, "a text", "so it is")
+    assert got["u"]["position_distribution"] == {"rebuttal": 1, "claim": 1}
+    assert (got["nobody"]["total_opinions"], got["nobody"]["position_distribution"]) == (0, None)
+    with pytest.raises(ValueError, match="no state"):
+        state.stored_state(spark, checkpoint, "other")
 
 
 def test_daily_counts(spark, tmp_path):
-    path = run_state(spark, tmp_path, lambda s: state.daily_counts(s, "10 days"), ("day", "position"))
-    rows = state.latest(spark, path).collect()
-    got = {(r["day"].day, r["position"]): r["count"] for r in rows}
+    _, checkpoint = run_state(spark, tmp_path, state.by_day, ("day", "position"))
+    got = {(r["day"].day, r["position"]): r["count"] for r in state.current_totals(spark, checkpoint).collect()}
     assert got == {(1, "claim"): 3, (1, "Rebuttal "): 1, (2, "evidence"): 3, (3, "claim"): 3}
+
+
+def test_forgotten_keys_need_a_query_that_stays_on(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_file(spark, source, FILES[0], SCORED)
+    totals = state.running_totals(state.by_topic(read_files(spark, source, SCORED)), ("topic_id", "position"), ttl_ms=DAY)
+    paths = str(tmp_path / "rows"), str(tmp_path / "checkpoint")
+    with pytest.raises(ValueError, match="never ends"):
+        state.keep_totals(totals, *paths, available_now=True, ttl_ms=DAY)
+    run = state.keep_totals(totals, *paths, ttl_ms=DAY)
+    try:
+        for _ in range(60):
+            run.awaitTermination(1)
+            if (tmp_path / "rows" / "batch_id=0" / "_SUCCESS").exists():
+                break
+    finally:
+        run.stop()
+    got = {tuple(r)[:3] for r in spark.read.parquet(f"{paths[0]}/batch_id=0").collect()}
+    assert got == {("t", "claim", 3), ("u", "rebuttal", 1)}
+
+
+RESULT = "submitted_batch string, batch_size int, status string, event_time timestamp"
+
+
+def results(minute, batch, size, *statuses):
+    at = dt.datetime(2024, 1, 1, 12) + dt.timedelta(minutes=minute)
+    return [(batch, size, status, at) for status in statuses]
+
+
+def test_totals_of_submitted_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    files = [
+        results(0, "split", 4, "ok", "ok") + results(0, "late", 3, "ok", "ok") + results(1, "once", 2, "ok", "failed"),
+        results(5, "split", 4, "failed") + results(5, "open", None, "ok") + results(5, None, 1, "ok"),
+        results(8, "split", 4, "ok") + results(300, "far", 9, "ok"),
+        results(301, "late", 3, "ok") + results(301, "far", 9, "failed"),
+        results(302, "late", 3, "ok"),
+    ]
+    for rows in files:
+        write_file(spark, source, rows, RESULT)
+    totals = submissions.submitted_totals(read_files(spark, source, RESULT), limit="30 minutes", delay="1 minute")
+    path = str(tmp_path / "totals")
+    submissions.keep_submitted(totals, path, str(tmp_path / "c"), available_now=True).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    # One row each; the one that is late has failed, and "far" is still open.
+    assert got == [("late", 3, 2, 1, False), ("once", 2, 1, 1, True), ("open", 1, 1, 0, False), ("split", 4, 3, 1, True)]
