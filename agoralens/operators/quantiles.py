@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 ACCURACY = 10_000
 POINTS = 256  # places at which a sketch is read
-LISTED = 4_000  # values of a bracket that are listed
+LISTED = 1 << 14  # values of a bracket that are listed
 FRACTIONS = [i / POINTS for i in range(POINTS + 1)]
 
 
@@ -81,55 +81,62 @@ class Target:
         self.points = [] if self.final else found["between"]
 
 
-def _between(v, low, high):
-    out = v.isNotNull()
-    if low is not None:
-        out = out & (low.isNull() | (v > low))
-    return out & (high.isNull() | (v < high)) if high is not None else out
+def _limits(target, edges):
+    """Both edges, the ends of what is listed or sketched, and which of the two it is."""
+    low, high = edges
+    # Where an edge is missing, the bracket's own end limits what is listed or sketched.
+    return low, high, target.low if low is None else low, target.high if high is None else high, target.final
 
 
-def _pass(rows, targets, group_type):
+LIMITS = "low double, high double, from double, to double, final boolean"
+
+
+def _summary(v, limits, some):
+    """Counts around the edges, and the list or the sketch between; ``some`` says what targets need."""
+    low, high, start, end, final = limits
+    inside = v.isNotNull()
+    if "from" in some:
+        inside = inside & (start.isNull() | (v > start))
+    if "to" in some:
+        inside = inside & (end.isNull() | (v < end))
+    none = F.lit(None)
+    counts = F.struct(
+        *[x.alias(f"{n}_low") for n, x in (("below", F.count_if(v < low)), ("upto", F.count_if(v <= low))) if "low" in some],
+        *[x.alias(f"{n}_high") for n, x in (("below", F.count_if(v < high)), ("upto", F.count_if(v <= high))) if "high" in some],
+        F.count(v).alias("count"),
+    )
+    listed = F.collect_list(F.when(final & inside, v)) if "final" in some else F.max(none)
+    sketch = F.percentile_approx(F.when(~final & inside, v), FRACTIONS, ACCURACY) if "sketch" in some else F.max(none)
+    return counts, listed, sketch
+
+
+def _pass(rows, targets, grouped):
     """One scan that narrows all targets, each by its own edges within its own bracket."""
-    edges = [t.edges() for t in targets]
+    limits = {(t.group, t.column, t.share): _limits(t, t.edges()) for t in targets}
+    by_key = {(t.group, t.column, t.share): t for t in targets}
     groups = list(dict.fromkeys(t.group for t in targets))
-    kinds = [(c, s) for c, s in dict.fromkeys((t.column, t.share) for t in targets)]
-    by_key = {(t.group, t.column, t.share): (t, e) for t, e in zip(targets, edges)}
-
-    def limits(g, kind):
-        t, e = by_key.get((g, *kind), (None, (None, None)))
-        if t is None:
-            return None
-        # Where an edge is missing, the bracket's own end limits what is listed or sketched.
-        return (*e, t.low if e[0] is None else e[0], t.high if e[1] is None else e[1], t.final)
-
-    fields = "low double, high double, from double, to double, final boolean"
-    schema = T.StructType(
-        [
-            T.StructField("_g", group_type),
-            *[T.StructField(f"_e{i}", T.StructType.fromDDL(fields)) for i in range(len(kinds))],
-        ]
-    )
-    table = rows.sparkSession.createDataFrame([(g, *[limits(g, k) for k in kinds]) for g in groups], schema)
+    kinds = list(dict.fromkeys((t.column, t.share) for t in targets))
+    if grouped:
+        fields = [T.StructField(f"_e{i}", T.StructType.fromDDL(LIMITS)) for i in range(len(kinds))]
+        schema = T.StructType([rows.schema["_g"], *fields])
+        table = [(g, *[limits.get((g, *k)) for k in kinds]) for g in groups]
+        table = rows.sparkSession.createDataFrame(table, schema)
+        rows = rows.join(F.broadcast(table), "_g")  # one row for each group
     aggregates = []
-    for i, (column, _) in enumerate(kinds):
-        v, e = F.col(column), F.col(f"_e{i}")
-        inside = F.when(e.isNotNull() & _between(v, e["from"], e["to"]), v)
-        aggregates += [
-            F.struct(
-                F.count_if(v < e["low"]).alias("below_low"),
-                F.count_if(v <= e["low"]).alias("upto_low"),
-                F.count_if(v < e["high"]).alias("below_high"),
-                F.count_if(v <= e["high"]).alias("upto_high"),
-            ).alias(f"c{i}"),
-            F.collect_list(F.when(e["final"], inside)).alias(f"l{i}"),
-            F.percentile_approx(F.when(~e["final"], inside), FRACTIONS, ACCURACY).alias(f"s{i}"),
-        ]
-    joined = rows.join(F.broadcast(table), "_g")  # one row for each group
-    for row in joined.groupBy("_g").agg(*aggregates).collect():
+    for i, kind in enumerate(kinds):
+        known = [limits[(g, *kind)] for g in groups if (g, *kind) in limits]
+        if grouped:
+            e = [F.col(f"_e{i}")[n] for n in ("low", "high", "from", "to", "final")]
+        else:
+            e = [F.lit(x).cast("boolean" if n == 4 else "double") for n, x in enumerate(known[0])]
+        some = {n for n, place in (("low", 0), ("high", 1), ("from", 2), ("to", 3)) if any(x[place] is not None for x in known)}
+        some |= {"final" if x[4] else "sketch" for x in known}
+        aggregates += [x.alias(f"{n}{i}") for n, x in zip("cls", _summary(F.col(kind[0]), e, some))]
+    for row in rows.groupBy("_g").agg(*aggregates).collect():
         for i, kind in enumerate(kinds):
-            if (row["_g"], *kind) in by_key:
-                target, (low, high) = by_key[(row["_g"], *kind)]
+            if target := by_key.get((row["_g"], *kind)):
                 between = row[f"l{i}"] if target.final else row[f"s{i}"]
+                low, high, *_ = limits[(row["_g"], *kind)]
                 target.narrow(low, high, {**row[f"c{i}"].asDict(), "between": between})
 
 
@@ -160,7 +167,7 @@ def selected_quantiles(df: DataFrame, columns, shares, group: str | None = None,
         for s in shares
     ]
     while left := [t for t in targets if t.open]:
-        _pass(rows, left, rows.schema["_g"].dataType)
+        _pass(rows, left, group is not None)
     back = {n: c for c, n in names.items()}
     return {(t.group, back[t.column], t.share): t.value() for t in targets}, first
 

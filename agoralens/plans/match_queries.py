@@ -16,6 +16,7 @@ from agoralens.plans.inputs import (
     flag_correct,
     label_topics,
     opinions,
+    rule_classify,
     table,
     topics,
     vector_opinions,
@@ -24,6 +25,9 @@ from agoralens.plans.inputs import (
 from agoralens.plans.profile_queries import histogram_sql
 from agoralens.plans.registry import query
 from agoralens.session import fresh_path, settled
+from agoralens.schemas import OPINIONS_CLASSIFIED, OPINIONS_MATCHED
+from agoralens.sources.tables import conform, read_table, write_table
+from agoralens.sources.vector_buckets import merge_buckets, read_buckets
 from agoralens.sources.vector_table import merge_vectors, vector_table, write_vectors
 
 ROUND = 6
@@ -376,18 +380,16 @@ def text_pair_similarity(spark, sf_dir):
     return pairs.select("left_id", "similarity")
 
 
-@query(
-    "vector_upsert",
-    """WITH c AS (SELECT label, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
+UPSERT_SQL = """WITH c AS (SELECT label, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
 arriving AS (SELECT vec_id::VARCHAR AS point_id, 'replaced' AS topic_text FROM c
   UNION ALL SELECT 'new ' || label, 'added' FROM c),
 stored AS (SELECT vec_id::VARCHAR AS point_id, 'stored' AS topic_text FROM embeddings)
 SELECT point_id, topic_text FROM stored WHERE point_id NOT IN (SELECT point_id FROM arriving)
-UNION ALL SELECT point_id, topic_text FROM arriving""",
-)
-def vector_upsert(spark, sf_dir):
-    """The vector table written, then merged with one replaced and one new point per label."""
-    path = fresh_path(spark, "vectors")
+UNION ALL SELECT point_id, topic_text FROM arriving"""
+
+
+def _points(spark, sf_dir):
+    """The points of a vector table, and one replaced and one new point per label."""
     rows = table(spark, sf_dir, "embeddings")
 
     def point(df, point_id, text):
@@ -398,16 +400,55 @@ def vector_upsert(spark, sf_dir):
             "embedding",
         )
 
-    write_vectors(point(rows, F.col("vec_id").cast("string"), "stored"), path)
     first = rows.groupBy("label").agg(
         F.min("vec_id").alias("vec_id"), F.min_by("embedding", "vec_id").alias("embedding")
     )
     arriving = point(first, F.col("vec_id").cast("string"), "replaced").unionByName(
         point(first, F.concat(F.lit("new "), F.col("label").cast("string")), "added")
     )
+    return point(rows, F.col("vec_id").cast("string"), "stored"), arriving
+
+
+@query("vector_upsert", UPSERT_SQL)
+def vector_upsert(spark, sf_dir):
+    """The vector table written, then merged with the arriving points."""
+    path = fresh_path(spark, "vectors")
+    stored, arriving = _points(spark, sf_dir)
+    write_vectors(stored, path)
     return spark.read.parquet(merge_vectors(arriving, path)).select("point_id", "topic_text")
 
 
+@query("vector_bucket_merge", UPSERT_SQL)
+def vector_bucket_merge(spark, sf_dir):
+    """The same in buckets: the merge writes those that the arriving points fall into."""
+    path = fresh_path(spark, "vector-buckets")
+    stored, arriving = _points(spark, sf_dir)
+    merge_buckets(stored, path, buckets=64)
+    merge_buckets(arriving, path)
+    return read_buckets(spark, path).select("point_id", "topic_text")
+
+
+@query(
+    "study_tables",
+    f"""WITH {CLASSIFIED_SQL}, {TEXT_HITS_SQL.replace('hits AS', 'topic_hits AS')}
+SELECT c.opinion_id::VARCHAR AS opinion_id, c.topic_id, type, h.topic_id AS matched_topic_id, score AS similarity_score,
+  coalesce(h.topic_id = c.topic_id, false) AS is_correct, predicted_type, round(type_confidence, 6) AS type_confidence
+FROM classified c LEFT JOIN (SELECT * FROM topic_hits WHERE rank = 1) h ON h.doc_id = c.opinion_id""",
+)
+def study_tables(spark, sf_dir):
+    """Matched opinions written and read, then classified, written and read with their schemas."""
+    folder = fresh_path(spark, "study")
+    docs = opinions(spark, sf_dir)
+    encoder = TfIdfEncoder.fit(docs, dim=DIM)
+    found = match.match_topics(encoder(docs), text_topics(spark, sf_dir, encoder), dim=DIM)
+    rows = match.with_matches(docs.withColumn("effectiveness", F.lit(None).cast("string")), found)
+    write_table(conform(rows, OPINIONS_MATCHED), f"{folder}/opinions_with_matches.parquet")
+    matched = read_table(spark, f"{folder}/opinions_with_matches.parquet", OPINIONS_MATCHED)
+    write_table(conform(rule_classify(matched), OPINIONS_CLASSIFIED), f"{folder}/opinions_classified.parquet")
+    rows = read_table(spark, f"{folder}/opinions_classified.parquet", OPINIONS_CLASSIFIED)
+    return rounded(rows.drop("text", "effectiveness"), "type_confidence")
+
+
 @query(
     "vector_payload",
     """WITH toxic AS (SELECT source, max(toxic) AS toxic FROM documents JOIN labels USING (doc_id) GROUP BY source),
@@ -427,8 +468,11 @@ def vector_payload(spark, sf_dir):
         .filter("toxic = 1")
     )
     extra = F.create_map(F.lit("topic_text"), F.lit("withheld"), F.lit("toxic"), F.col("toxic").cast("string"))
-    encoder = TfIdfEncoder.fit(docs, dim=DIM)
-    points = vector_table(topics(spark, sf_dir), encoder, toxic.select("point_id", extra.alias("extra")))
+
+    def no_vectors(df, _):  # payloads need none
+        return df.withColumn("vector", F.lit(None).cast("array<double>"))
+
+    points = vector_table(topics(spark, sf_dir), no_vectors, toxic.select("point_id", extra.alias("extra")))
     return points.select("point_id", F.explode("payload").alias("key", "value"))
 
 

@@ -20,8 +20,11 @@ from agoralens.operators.analysis import fold_counts, position_counts
 
 TOTALS = "count long, confidence_sum double, confidence_count long"
 SUMS = ("count", "confidence_sum", "confidence_count")
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch uploads the keys it changes, not the files of the store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def running_counts(scored: DataFrame) -> DataFrame:
@@ -103,12 +106,14 @@ def running_totals(rows: DataFrame, keys, ttl_ms: int | None = None) -> DataFram
 @contextlib.contextmanager
 def keyed_state(spark: SparkSession):
     """The session with the state store that keyed processors need, for starting a query."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STORE}
+    for key, value in STORE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def write_changes(path: str):

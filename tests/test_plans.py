@@ -66,7 +66,7 @@ def test_a_classifier_is_not_copied(spark, name):
     assert plan(queries()[name](spark, SF_DIR)).count("regexp_extract_all") <= 2
 
 
-NO_PLAN = ("stream_", "train", "model_", "quality_classifier", "csv_", "parquet_", "vector_upsert")
+NO_PLAN = ("stream_", "train", "model_", "quality_classifier", "csv_", "parquet_", "vector_upsert", "epoch_")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in queries() if not n.startswith(NO_PLAN)))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from agoralens import schemas
 from agoralens.operators.encode import TfIdfEncoder
 from agoralens.sources import tables
+from agoralens.sources.vector_buckets import merge_buckets, read_buckets
 from agoralens.sources.vector_table import merge_vectors, vector_table, write_vectors
 
 ROWS = [
@@ -74,3 +75,43 @@ def test_vectors_with_payload_and_merge(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     write_vectors(vector_table(new, encoder), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def points_of(spark, rows):
+    ddl = "point_id string, topic_id string, topic_text string, vector array<double>, payload map<string,string>"
+    return spark.createDataFrame([(p, "t", text, [1.0, 2.0], {"k": text}) for p, text in rows], ddl)
+
+
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_a_merge_writes_only_the_buckets_it_changes(spark, tmp_path):
+    path = str(tmp_path / "v")
+    assert merge_buckets(points_of(spark, [(f"p{i}", "old") for i in range(400)]), path, buckets=16) == 1
+    before = files(tmp_path / "v" / "data")
+    assert len(before) == 16
+    assert merge_buckets(points_of(spark, [("p7", "new"), ("p7", "newer"), ("q", "added")]), path) == 2
+    after = files(tmp_path / "v" / "data")
+    assert before.items() <= after.items() and 1 <= len(after) - len(before) <= 2
+    got = {r["point_id"]: r for r in read_buckets(spark, path).collect()}
+    assert len(got) == 401 and (got["p7"]["topic_text"], got["q"]["topic_text"], got["p8"]["topic_text"]) == ("newer", "added", "old")
+    assert got["p7"]["payload"] == {"k": "newer"} and got["p7"]["vector"] == [1.0, 2.0]
+    asked = spark.createDataFrame([("p7",), ("q",), ("none",)], "point_id string")
+    assert sorted(r["point_id"] for r in read_buckets(spark, path, asked).collect()) == ["p7", "q"]
+    assert merge_buckets(points_of(spark, []), path) == 2
+
+
+def test_a_broken_merge_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "v")
+    merge_buckets(points_of(spark, [(f"p{i}", "old") for i in range(40)]), path, buckets=4)
+    fails = F.udf(lambda text: 1 / 0, "string")
+    broken = points_of(spark, [(f"p{i}", "new") for i in range(40)]).withColumn("topic_text", fails("topic_text"))
+    with pytest.raises(Exception, match="division by zero"):
+        merge_buckets(broken, path)
+    # Data without a manifest row is not read either.
+    points_of(spark, [("p1", "stray")]).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{path}/data/stray")
+    rows = read_buckets(spark, path).collect()
+    assert len(rows) == 40 and {r["topic_text"] for r in rows} == {"old"}
+    with pytest.raises(ValueError, match="no vector table"):
+        read_buckets(spark, str(tmp_path / "nothing"))
