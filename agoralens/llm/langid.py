@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from agoralens.llm.common import LETTER, held_out, wider
@@ -20,8 +19,7 @@ from agoralens.session import settled
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
-SAMPLE = 6000  # rows of each language
-SALTS = 64
+SAMPLE = 6000  # rows of each language, about
 SHARDS = 4
 EPOCHS = 4
 CALIBRATE = 6  # one row in so many sets the temperature
@@ -52,17 +50,26 @@ class LanguageModel:
     idf: np.ndarray
     weights: np.ndarray
     temperature: float = 1.0
+    least: float = 0.0  # certain predictions have this share at temperature 1, or more
 
     def logits(self, found, counts):
         return tf_idf(found, counts, self.idf) @ self.weights[found]
 
-    def predict(self, text):
-        """The language and its probability; ``und`` and 0 for null and for texts without a letter."""
+    def told(self, text):
+        """Language, probability, and whether the prediction is as certain as on texts of a known language.
+
+        ``und``, 0 and false for null and for texts without a letter.
+        """
         if not self.languages or not text or not LETTER.search(text):
-            return UNKNOWN, 0.0
-        p = soft_max(self.logits(*counts_of(text)) / self.temperature)
+            return UNKNOWN, 0.0, False
+        logits = self.logits(*counts_of(text))
+        p = soft_max(logits / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best])
+        return self.languages[best], float(p[best]), bool(soft_max(logits)[best] >= self.least)
+
+    def predict(self, text):
+        """The language and its probability; ``und`` and 0 for null and for texts without a letter."""
+        return self.told(text)[:2]
 
 
 class Leader:
@@ -156,24 +163,32 @@ def inverse_frequencies(texts):
     return np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
 
 
+def labelled_sample(docs, divisor, sample, id_col, text_col, lang_col):
+    """``(lang, text, part)``: about ``sample`` texts with a letter of each language, stored.
+
+    A text is taken if the hash of its id is below a limit, the share of its language's rows that
+    ``sample`` is; of a language with fewer rows all are taken. So no language is ranked, however
+    frequent it is. Of rows with one id and language the first text in order counts.
+    """
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = rows.where("_id is not null and lang is not null").where(~held_out("_id", divisor))
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    limits = counts.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("_id"), 11) / float(1 << 53)
+    chosen = rows.join(F.broadcast(limits), "lang").where(place < F.col("share"))  # a row for each language
+    chosen = chosen.groupBy("_id", "lang").agg(F.min("text").alias("text"))
+    part = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(SHARDS * CALIBRATE))
+    return settled(chosen.select("lang", "text", part.cast("int").alias("part")), "langid-sample")
+
+
 def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang_col="lang") -> LanguageModel:
-    """Fit on the ``sample`` rows of each language with the smallest hash of their id.
+    """Fit on about ``sample`` rows of each language (``labelled_sample``).
 
     Rows whose id has remainder 2 modulo ``divisor`` are not learned from. Without a row to learn
     from, every text is ``und``.
     """
-    usable = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, divisor))
-    ids = usable.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang")).distinct()
-    # Cut in parts of a language first, so no task sorts all rows of a frequent one.
-    salt = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SALTS))
-    for part in (["lang", salt], ["lang"]):
-        order = Window.partitionBy(*part).orderBy(F.xxhash64("_id"), "_id")
-        ids = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample).drop("_rank")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    part = F.pmod(F.shiftright(F.xxhash64("_id"), 7), F.lit(SHARDS * CALIBRATE))
-    # At most `sample` ids of each language: the broadcast is bounded.
-    rows = texts.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), ["_id", "lang"])
-    rows = settled(rows.select("lang", "text", part.cast("int").alias("part")), "langid-sample")
+    rows = labelled_sample(docs, divisor, sample, id_col, text_col, lang_col)
     languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     size = 1 << BUCKET_BITS
     if not languages:
@@ -181,7 +196,8 @@ def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang
 
     sparse = rows.mapInArrow(_sparse(languages), "part int, y int, f array<int>, n array<int>")
     sparse = settled(sparse, "langid-features")
-    idf = inverse_frequencies(usable.select(F.col(text_col).alias("text")))
+    learned = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, divisor))
+    idf = inverse_frequencies(learned.select(F.col(text_col).alias("text")))
 
     learn = sparse.where(F.col("part") >= SHARDS) if len(languages) > 1 else sparse
     shards = learn.groupBy(F.pmod("part", F.lit(SHARDS)))  # a bounded number of rows in each
@@ -193,10 +209,26 @@ def train(docs, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", lang
         weights += share * np.frombuffer(row["w"], np.float32).reshape(weights.shape)
     model = LanguageModel(languages, idf, weights)
     held = sparse.where(F.col("part") < SHARDS).mapInArrow(_logits(model), "y int, z array<double>").collect()
-    model.temperature = best_temperature([r["y"] for r in held], np.array([r["z"] for r in held]))
+    labels, logits = [r["y"] for r in held], np.array([r["z"] for r in held])
+    model.temperature = best_temperature(labels, logits)
+    model.least = least_certain(labels, logits, len(languages))
     return model
 
 
+def least_certain(labels, logits, languages):
+    """The share at temperature 1 below which a language counts as unknown.
+
+    Half way between chance and the least certain of the right predictions on rows that the model
+    did not learn from, so that texts like these stay. The temperature is left out: few rows, all
+    of them right, make it so small that every text looks certain. Zero without such a row.
+    """
+    if not len(labels):
+        return 0.0
+    p = soft_max(logits)
+    right = p.max(axis=1)[p.argmax(axis=1) == np.array(labels)]
+    return float((1 / languages + right.min()) / 2) if len(right) else 0.0
+
+
 def best_temperature(labels, logits):
     """The temperature with the least mean log loss, out of a fine grid. One without rows."""
     if not len(labels):
@@ -209,26 +241,28 @@ def best_temperature(labels, logits):
     return float(min(np.geomspace(0.02, 20, 241), key=loss))
 
 
-def with_language(docs, model, text_col="text", lang_name="lang_pred", score_name="score"):
-    """``docs`` with the predicted language and its probability; columns of these names go."""
+def with_language(docs, model, text_col="text", lang_name="lang_pred", score_name="score", certain_name=None):
+    """``docs`` with the predicted language and its probability; columns of these names go.
+
+    ``certain_name`` names a further column: whether the text is of a known language for certain.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size for given languages
-    kept = [c for c in docs.columns if c not in (lang_name, score_name)]
+    kinds = {lang_name: "string", score_name: "double"} | ({certain_name: "boolean"} if certain_name else {})
+    kept = [c for c in docs.columns if c not in kinds]
     rows = docs.select(*[docs[c] for c in kept])
 
     def run(batches):
         known = sent.value
         for batch in batches:
-            found = [known.predict(t.as_py()) for t in batch.column(text_col)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([lang for lang, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
-                ],
-                names=[*kept, lang_name, score_name],
-            )
-
-    return rows.mapInArrow(run, wider(rows.schema, **{lang_name: "string", score_name: "double"}))
+            found = [known.told(t.as_py()) for t in batch.column(text_col)]
+            told = [
+                pa.array([lang for lang, _, _ in found], pa.string()),
+                pa.array([score for _, score, _ in found], pa.float64()),
+                pa.array([certain for _, _, certain in found], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *told[: len(kinds)]], names=[*kept, *kinds])
+
+    return rows.mapInArrow(run, wider(rows.schema, **kinds))
 
 
 def language(docs, divisor=4, **options):
