@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agoralens import fixed_values as fv
@@ -205,4 +205,5 @@ def objective_history(model: PipelineModel) -> DataFrame:
     if not regression.hasSummary:
         raise ValueError("a restored model has no training history; read the one written with it")
     rows = [(i, float(x)) for i, x in enumerate(regression.summary.objectiveHistory)]
-    return SparkSession.getActiveSession().createDataFrame(rows, "epoch int, objective double")
+    spark = regression.summary.predictions.sparkSession
+    return spark.createDataFrame(rows, "epoch int, objective double")

@@ -1,7 +1,7 @@
 """Text encoders. An encoder is called as ``encoder(df, text_col)`` and adds ``vector``.
 
-``TfIdfEncoder`` gives sparse unit vectors, ``STRUCT<indices, values>``, from native column
-functions. ``model_encoder`` wraps a model that maps a list of texts to dense vectors.
+``TfIdfEncoder`` gives sparse unit vectors, ``STRUCT<indices, values>``: tokens are cut by column
+functions and counted on Arrow batches. ``model_encoder`` wraps a model that maps a list of texts to dense vectors.
 """
 
 import hashlib
