@@ -15,22 +15,32 @@ from agoralens.llm.packing import pack
 from agoralens.llm.simhash import near_kept
 from agoralens.session import settled
 
-#: A language below this probability counts as unknown; chance is 0.25 for four languages.
-LEAST_CERTAIN = 0.35
+def new_names(docs, *names):
+    """The names with as many underscores before them as it takes to be none of ``docs``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def drop_toxic(spark, docs, sf_dir):
     """Rows that the toxicity model does not predict as toxic. Null and empty texts stay."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.with_toxicity(docs, model, score_name="_score", label_name="_toxic")
-    return scored.where("_toxic = 0").drop("_score", "_toxic")
+    score, label = new_names(docs, "score", "toxic")
+    scored = toxicity.with_toxicity(docs, model, score_name=score, label_name=label)
+    return scored.where(F.col(label) == 0).drop(score, label)
 
 
 def drop_unknown_language(spark, docs, sf_dir):
-    """Rows whose language the model can tell. Texts without a letter go."""
-    told = langid.with_language(docs, langid.train(docs), lang_name="_lang", score_name="_score")
-    known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_CERTAIN)
-    return told.where(known).drop("_lang", "_score")
+    """Rows whose language the model can tell: as certainly as it tells texts of the languages it knows.
+
+    Texts without a letter go.
+    """
+    names = new_names(docs, "lang", "score", "certain")
+    told = langid.with_language(docs, langid.train(docs), "text", *names)
+    return told.where(F.col(names[2])).drop(*names)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
