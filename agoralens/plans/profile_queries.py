@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from agoralens.functions.text import is_blank, preview, with_text_counts
-from agoralens.operators import profile
+from agoralens.operators import profile, sketches
 from agoralens.operators.clean import clean_tables, long_enough, with_known_topic
 from agoralens.plans.inputs import OPINIONS_SQL, SPACE, TOPICS_SQL, documents, opinions, table, topics
 from agoralens.plans.registry import query
-from agoralens.session import fresh_path
+from agoralens.session import fresh_path, settled
 from agoralens.sources.tables import load_all, read_table, write_clean_tables, write_table
 
 WORD_COUNT_SQL = f"len(regexp_extract_all(text, '[^{SPACE}]+'))::INTEGER"
@@ -403,3 +403,33 @@ def parquet_roundtrip(spark, sf_dir):
     write_table(docs, path)
     schema = docs.select(F.col("opinion_id").cast("string"), "topic_id", "text").schema
     return read_table(spark, path, schema)
+
+
+@query(
+    "top_customers",
+    """SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey ORDER BY count DESC, o_custkey LIMIT 20""",
+)
+def top_customers(spark, sf_dir):
+    """The most frequent of many keys, by bounded counters in each task and an exact count of the candidates."""
+    return sketches.most_frequent(table(spark, sf_dir, "orders"), "o_custkey", 20)
+
+
+@query(
+    "top_event_types",
+    """SELECT event_type, count(*) AS count FROM events GROUP BY event_type ORDER BY count DESC, event_type LIMIT 3""",
+)
+def top_event_types(spark, sf_dir):
+    return sketches.most_frequent(table(spark, sf_dir, "events"), "event_type", 3)
+
+
+@query(
+    "distinct_by_sketch",
+    """SELECT count(DISTINCT user_id) AS exact, true AS within FROM events""",
+)
+def distinct_by_sketch(spark, sf_dir):
+    """Distinct users from one stored sketch a day, joined: within 5 % of the exact number, three errors."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    stored = settled(sketches.distinct_sketches(events, "day", "user_id"), "sketches")
+    estimate = sketches.distinct_estimate(stored).first()["distinct"]
+    exact = events.agg(F.count_distinct("user_id").alias("exact"))
+    return exact.select("exact", (F.abs(F.lit(estimate) - F.col("exact")) <= 0.05 * F.col("exact")).alias("within"))
