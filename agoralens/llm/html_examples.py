@@ -37,6 +37,9 @@ _PAGES = [
     '<a href="/b">{S}</a></div></body>',
     '<body><div data-y="1"><h1>{S}</h1><div>{L}</div><div>{M}</div><div>{L}</div></div><div><ul>{N}</ul></div></body>',
     '<body data-y="1"><h1>{S}</h1><p>{L}</p><p>{M}</p><p>{L}</p></body>',
+    # running text without any element, and cut by line breaks alone
+    '<body data-y="1">{L} {L}</body>',
+    '<body data-y="1">{S}<br>{L}<br><br>{M} {L}</body>',
     # main without article, adverts, sign-up and search forms
     '<body><header><p>{S}</p><form role="search"><label>{S}</label></form></header><div class="banner notice"><p>{L}</p></div>'
     '<main data-y="1"><h1>{S}</h1><p>{L}</p><figure><figcaption>{M}</figcaption></figure><p>{M}</p><div data-y="0" '

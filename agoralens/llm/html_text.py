@@ -24,6 +24,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Their content is never page text.
 SILENT = set("head title script style noscript template svg math iframe object canvas audio video map "
              "select button textarea datalist".split())
+FOREIGN = {"svg", "math"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 LISTS, CELLS = set("ul ol dl menu".split()), set("table thead tbody tfoot tr caption".split())
 ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -53,6 +54,7 @@ LAYOUT = "wrap wrapper container layout page site row col column grid"
 TOLD = {word: "layout" for word in LAYOUT.split()} | {word: kind for kind, words in NAMES.items() for word in words.split()}
 ORDER = ["comment", "advert", "notice", "side", "form", "share", "menu", "edge", "content"]
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+BODY = re.compile(r"<body[\s>/]", re.I)
 LENGTHS = (0, 25, 80, 200)
 SMOOTH = 0.1
 #: Elements that say themselves what they are; text speaks differently about them.
@@ -60,12 +62,25 @@ FRAMES = set("nav footer aside form".split())
 BATCH_CHARS = 4_000_000
 
 
-def named(attributes):
+#: Names of a state: they tell what an element has or does, not what it is.
+STATE = re.compile(r"^(has|is|no|not|with|without)[-_]|[-_](open|opened|closed|enabled|disabled|on|off|allowed|count|\d+)$", re.I)
+#: Elements of running text; names of places in a layout tell nothing about them.
+RUNNING = HEADINGS | {"p"}
+PLACES = {"side", "edge", "menu"}
+
+
+def named(tag, attributes):
     """What class, id and role say about an element, or None. The first kind of ``ORDER`` holds."""
     found = set()
     for name, value in attributes:
         if name in ("class", "id", "role") and value:
-            found.update(TOLD.get(w.lower()) for w in WORD.findall(value))
+            for part in value.split():
+                if not STATE.search(part):
+                    found.update(TOLD.get(w.lower()) for w in WORD.findall(part))
+    if tag in RUNNING:
+        found -= PLACES
+    elif tag == "article" and "content" in found:
+        found -= PLACES  # a post is not its place, whatever topic it is related to
     return None if "layout" in found else next((kind for kind in ORDER if kind in found), None)
 
 
@@ -82,12 +97,12 @@ class Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self.silent:
-            if tag in SILENT and tag not in VOID:
-                self._push(tag, self.open[-1][1])
-            elif tag == "body":
+            if tag == "body":
                 self._leave("head")
                 if not self.silent:
                     self.handle_starttag(tag, attrs)
+            elif tag not in VOID:
+                self._push(tag, self.open[-1][1])  # its end must not close what is open outside
             return
         if tag == "br" or tag == "wbr":
             self.segments.append((self.open[-1][1], self.block, " " if tag == "br" else ""))
@@ -95,7 +110,7 @@ class Page(HTMLParser):
             self._close_above("p", SCOPES)
         for other in ITEMS.get(tag, ()):
             self._close_above(other, SCOPES)
-        block, kind = tag in BLOCKS, None if tag in ("html", "body", "main") else named(attrs)
+        block, kind = tag in BLOCKS, None if tag in ("html", "body", "main") else named(tag, attrs)
         self.block += block
         if tag in VOID:
             return
@@ -159,8 +174,9 @@ class Page(HTMLParser):
             self._leave(tag)
 
     def handle_startendtag(self, tag, attrs):
-        # Outside of foreign content the slash means nothing.
-        self.handle_starttag(tag, attrs)
+        # The slash ends foreign elements; elsewhere it means nothing.
+        if tag not in FOREIGN and not any(name in FOREIGN for name, _ in self.open):
+            self.handle_starttag(tag, attrs)
 
     def handle_data(self, data):
         if self.silent or not data:
@@ -193,6 +209,8 @@ class Page(HTMLParser):
 
 def read_page(html):
     page = Page()
+    if not BODY.search(html):
+        page.feed("<body>")  # a page without one has it all the same
     page.feed(html)
     page.close()
     return page

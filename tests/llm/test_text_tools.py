@@ -308,3 +308,37 @@ def test_a_full_cache_starts_anew(monkeypatch):
     texts = ["some words of a text", "some other words", "", "words words  words"]
     first = codec.encode(texts)
     assert len(codec.cache) > 3 and codec.encode(texts) == first and codec.decode(first) == texts
+
+
+SENTENCES = "This is a sentence of the article, and it goes on for a while so that it is long. " * 3
+BODY = f"<p>{SENTENCES}</p>" * 4
+LINES = "\n".join([SENTENCES.strip()] * 4)
+
+
+@pytest.fixture(scope="module")
+def tree(spark):
+    return html_text.default_model(spark)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f'<body><nav>a</nav><article class="post related-topic">{BODY}</article><footer>x</footer></body>', LINES),
+        (f'<body><article class="post comments-open">{BODY}</article></body>', LINES),
+        (f'<body><div class="content has-sidebar">{BODY}</div></body>', LINES),
+        (f'<body><article><h1 class="entry-header">A title</h1>{BODY}</article></body>', f"A title\n{LINES}"),
+        (f'<body><article>{BODY}<p class="read-more-text">{SENTENCES}</p></article></body>', f"{LINES}\n{SENTENCES.strip()}"),
+        (BODY, LINES),
+        (f"<html><head><title>t</title></head>{BODY}</html>", LINES),
+        (SENTENCES * 3, (SENTENCES * 3).strip()),
+        (f"<body><article><svg/>{BODY}</article></body>", LINES),
+        (f'<body><article><svg><path d="x"/><g><text>no</text></g></svg>{BODY}</article></body>', LINES),
+        (f"<body><article><math><mi>x</mi><mspace/></math>{BODY}</article></body>", LINES),
+        (f'<body><div class="post-content"><noscript><div>x</div></noscript>{BODY}</div></body>', LINES),
+        (f"<body><article><select><option>a<option>b</select><noscript><p>x<p>y</noscript>{BODY}</article></body>", LINES),
+        (f'<body><article>{BODY}</article><section class="comments"><article class="comment">{BODY}</article></section></body>', LINES),
+        (f'<body><article>{BODY}</article><div class="sidebar">{BODY}</div><p class="advert">{SENTENCES}</p></body>', LINES),
+    ],
+)
+def test_odd_markup_and_names(tree, html, text):
+    assert tree.text(html) == text
