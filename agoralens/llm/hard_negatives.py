@@ -409,6 +409,7 @@ def hard_negatives(
     ``options`` go to ``build_index``.
     """
     rows, anchors = (whole_vectors(t, id_col, label_col, vector_col, scale) for t in (rows, anchors))
+    rows = settled(rows, "negatives-whole")  # read by the sample, the codes and each length
     out = None
     lengths = [t.select(F.size("v").alias("d")).distinct() for t in (rows, anchors)]
     for size in sorted(r["d"] for r in lengths[0].intersect(lengths[1]).collect()):
