@@ -30,15 +30,11 @@ QUERY_BLOCK = 4096
 
 
 def usable(vectors, id_col, vector_col):
-    """``(_id, v)``: rows with an id and a vector of the most frequent length without null,
-    infinite or NaN components that is not zero. The others take no part."""
+    """``(_id, v)``: rows with an id and a vector without null, infinite or NaN components that is not zero."""
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where("_id is not null and v is not null and size(v) > 0")
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    common = lengths.orderBy(F.desc("n"), "d").first()
-    size = common["d"] if common else 0
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.where((F.size("v") == size) & fine & F.exists("v", lambda x: x != 0)), size
+    return rows.where(fine & F.exists("v", lambda x: x != 0))
 
 
 def _matrix(column, size):
@@ -183,24 +179,35 @@ def _pack_queries(size):
     return run
 
 
+HITS = "query_id bigint, rank int, vec_id bigint, score double"
+
+
 def nearest(vectors, queries, k=20, id_col="vec_id", vector_col="embedding", block=BLOCK, query_block=QUERY_BLOCK):
     """``(query_id, rank, vec_id, score)``: the k rows of ``vectors`` found nearest to each query.
 
     Nearest first by inner product in double precision, ties to the smaller id; a query is never
     its own hit. ``queries`` holds rows of the same kind. Ids are integers. Null ids, and vectors
-    that are null, zero, of another length than most or not all finite, take no part; an empty
-    table gives an empty result. With fewer than k candidates, all are returned. The index holds
-    every vector.
+    that are null, zero or not all finite, take no part. Vectors of different lengths have no inner
+    product: each length is searched by itself. A repeated id is a candidate with each of its rows,
+    and asks once, with its least vector. An empty table gives an empty result. With fewer than k
+    candidates, all are returned. The index holds every vector.
     """
-    rows, size = usable(vectors, id_col, vector_col)
+    rows, asked = (usable(t, id_col, vector_col) for t in (vectors, queries))
+    lengths = [t.select(F.size("v").alias("d")).distinct() for t in (rows, asked)]
+    out = None
+    for size in sorted(r["d"] for r in lengths[0].intersect(lengths[1]).collect()):
+        alike = [t.where(F.size("v") == size) for t in (rows, asked)]
+        found = _nearest(*alike, size, k, block, query_block)
+        out = found if out is None else out.union(found)
+    return vectors.sparkSession.createDataFrame([], HITS) if out is None else out
+
+
+def _nearest(rows, asked, size, k, block, query_block):
+    """The hits among rows of one length."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     largest = rows.agg(F.max(norm)).first()[0]
-    asked, asked_size = usable(queries, id_col, vector_col)
-    if largest is None or size != asked_size:
-        none = vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-        return none
     index, blocks = build_index(rows, size, largest, block)
-    asked = asked.dropDuplicates(["_id"])
+    asked = asked.groupBy("_id").agg(F.min("v").alias("v"))
     parts = max(1, math.ceil(asked.count() / query_block))
     part = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(parts)).cast("int")
     packed = asked.withColumn("part", part).groupBy("part")

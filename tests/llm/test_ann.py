@@ -58,3 +58,23 @@ def test_odd_vectors_take_no_part(spark):
     got = found(nearest(df, df.where("vec_id % 20 = 0"), 20))
     assert {q: [i for i, _ in best] for q, best in got.items()} == {0: [3, 1, 2]}
     assert nearest(df.limit(0), df, 5).count() == nearest(df, df.limit(0), 5).count() == 0
+
+
+def test_lengths_are_searched_by_themselves(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=2 + i % 3)) for i in range(240)]
+    df = frame(spark, rows)
+    got = found(nearest(df, df.where("vec_id % 20 = 0"), 5))
+    want = {}
+    for size in (2, 3, 4):
+        alike = [r for r in rows if len(r[1]) == size]
+        want |= brute(alike, [i for i, _ in alike if i % 20 == 0], 5)
+    assert got.keys() == want.keys()
+    assert sum([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in want) >= 0.9 * len(want)
+
+
+def test_repeated_ids(spark):
+    df = frame(spark, [(0, [1, 0]), (0, [0, 1]), (1, [3, 1]), (1, [3, 1]), (2, [1, 5])])
+    got = found(nearest(df, df.where("vec_id = 0"), 5))
+    assert got == {0: [(2, 5.0), (1, 1.0), (1, 1.0)]}  # asked with [0, 1], the least of its vectors
+    assert found(nearest(df, df.where("vec_id = 0").limit(0), 5)) == {}
