@@ -48,14 +48,16 @@ class ToxicityModel:
 def labelled_sample(docs, labels, divisor=4, sample=SAMPLE, id_col="doc_id", text_col="text", label_col="toxic"):
     """``(_id, y, text)`` of the sample, stored. Rows with a null id, label or text take no part.
 
-    A repeated label counts once, and the larger one holds.
+    A repeated label counts once, and the larger one holds; of rows with one id the first text in
+    order counts.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col, divisor))
     ids = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where("text is not null")
     # At most `sample` pairs of numbers: the broadcast has a fixed bound.
-    return settled(texts.join(F.broadcast(ids), "_id"), "toxicity-sample")
+    rows = texts.join(F.broadcast(ids), "_id").groupBy("_id", "y").agg(F.min("text").alias("text"))
+    return settled(rows, "toxicity-sample")
 
 
 def _document_counts(batches):

@@ -67,3 +67,11 @@ def test_scores_equal_a_plain_fit(spark, docs_of):
     assert len(out) == 63 and len({round(r["score"], 4) for r in out}) >= 4
     for r in out:
         assert r["score"] == pytest.approx(score(r["text"]), abs=1e-5)
+
+
+def test_repeated_documents_take_one_place(spark, docs_of):
+    rows = [(7, "b text")] * 40 + [(7, "a text"), (8, "c text"), (9, None)]
+    labels = spark.createDataFrame([(7, 0), (7, 1), (8, 0), (9, 1)], "doc_id int, toxic int")
+    found = {r["_id"]: (r["y"], r["text"]) for r in toxicity.labelled_sample(docs_of(rows), labels).collect()}
+    held = {i for i in (7, 8) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert found == {i: v for i, v in {7: (1, "a text"), 8: (0, "c text")}.items() if i not in held}
