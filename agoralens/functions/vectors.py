@@ -1,11 +1,20 @@
-"""Column functions on dense vectors held as arrays."""
+"""Column functions on dense vectors held as arrays, and how batches of vectors are cut."""
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from agoralens.functions.text import let
 
 SCORE_DIGITS = 9
+CHUNK_BYTES = 16 << 20  # that the arrays of a step inside a task may take
+
+
+def slices(costs, limit=CHUNK_BYTES // 8):
+    """Ranges of neighbouring rows whose costs sum to about ``limit``, or of one dear row."""
+    group = np.cumsum(costs) // limit
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(costs)]
+    return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
 
 
 def as_doubles(v) -> Column:

@@ -20,6 +20,8 @@ Four plans give the same result:
   hold one of its k best topics, by the triangle inequality (``match_dense``);
 * blocked: topics and opinions are cut into blocks of bounded size, and each pair of blocks is
   one small task that keeps k hits per opinion.
+
+Inside a task scores are computed in tiles of bounded size, whatever the batch or block.
 """
 
 import numpy as np
@@ -30,12 +32,15 @@ from pyspark.sql import types as T
 
 from agoralens import fixed_values as fv
 from agoralens.functions import vectors
-from agoralens.functions.vectors import SCORE_DIGITS
+from agoralens.functions.vectors import CHUNK_BYTES, SCORE_DIGITS, slices
 
 SCALE = 10**SCORE_DIGITS
-CHUNK_BYTES = 32 << 20
+TILE, TILE_COLUMNS = 1 << 20, 2048  # scores of dense vectors at once
+LEAST = -(1 << 62)
 BROADCAST_BYTES = 64 << 20
-BLOCK_BYTES = 128 << 20
+BLOCK_BYTES = 16 << 20
+COPIES = 16  # of a side, before its blocks grow beyond the asked size
+SPARSE_NUMBERS = 512  # that a sparse vector counts as, if it has more dimensions
 HITS = "array<struct<point_id:string,topic_id:string,score:double>>"
 HIT_TYPE = pa.list_(
     pa.struct([("point_id", pa.string()), ("topic_id", pa.string()), ("score", pa.float64())])
@@ -78,9 +83,38 @@ def _best(scores, k):
     return n - 1 - (key - whole * n), whole / SCALE
 
 
-def _chunks(rows, width):
-    step = max(1, CHUNK_BYTES // (8 * max(1, width)))
-    return range(0, rows, step), step
+def keep_nearest(best, unit, matrix, place, n, floor=None):
+    """Put the scores of ``unit @ matrix.T`` into ``best``, the highest keys of each row, falling.
+
+    A key packs a rounded score and a place in tie order, so the choice is exact also in ties. ``place``
+    rises and says which of the ``n`` topics are the rows of the matrix. Scores are made in tiles; those
+    that do not reach the last key of their row, or its ``floor``, are not looked at again.
+    """
+    k, width = best.shape[1], min(TILE_COLUMNS, max(1, len(matrix)))
+    step = max(1, TILE // width)
+    for a in range(0, len(unit), step):
+        rows, top = unit[a : a + step], best[a : a + step]
+        for b in range(0, len(matrix), width):
+            score, spot = rows @ matrix[b : b + width].T, place[b : b + width]
+            last = top[:, -1]
+            whole = last // n
+            ahead = n - 1 - (last - whole * n) < spot[0]  # wins a tie with every column
+            limit = (whole + np.where(ahead, 0.4, -0.6)) / SCALE
+            if floor is not None:
+                limit = np.maximum(limit, floor[a : a + step])
+            i, j = np.nonzero(score > limit[:, None])
+            if len(i) > score.size // 8:
+                key = np.rint(score * SCALE).astype(np.int64) * n + (n - 1 - spot)
+                key[score <= limit[:, None]] = LEAST
+                key = np.concatenate([top, key], axis=1)
+                top[:] = -np.sort(-np.partition(key, key.shape[1] - k, axis=1)[:, -k:], axis=1)
+            elif len(i):
+                key = np.rint(score[i, j] * SCALE).astype(np.int64) * n + (n - 1 - spot[j])
+                met = np.unique(i)
+                i, key = np.append(np.repeat(met, k), i), np.append(top[met].ravel(), key)
+                order = np.lexsort((-key, i))
+                first = np.searchsorted(i[order], met)
+                top[met] = key[order][first[:, None] + np.arange(k)]
 
 
 class DenseTopics:
@@ -89,14 +123,21 @@ class DenseTopics:
     def __init__(self, column, dim):
         matrix, self.valid = _unit_rows(column, dim)
         self.matrix = matrix[self.valid]
-        self.width = dim + len(self.matrix)
 
     def __len__(self):
         return len(self.matrix)
 
-    def scores(self, column):
+    def slices(self, column):
+        return slices(np.full(len(column), 4 * self.matrix.shape[1]))
+
+    def nearest(self, column, k):
+        """Positions and rounded scores of the k best topics of each row with a vector, and which rows have one."""
         block, valid = _unit_rows(column, self.matrix.shape[1])
-        return block[valid] @ self.matrix.T, valid
+        n = len(self)
+        key = np.full((int(valid.sum()), min(k, n)), LEAST)
+        keep_nearest(key, block[valid], self.matrix, np.arange(n), n)
+        whole = key // n
+        return n - 1 - (key - whole * n), whole / SCALE, valid
 
 
 class Postings:
@@ -113,7 +154,14 @@ class Postings:
     def __len__(self):
         return self.width
 
-    def scores(self, column):
+    def slices(self, column):
+        """Ranges of rows that read a bounded number of postings."""
+        rows, buckets, _, _ = _unit_entries(column)
+        size = self.start[buckets + 1] - self.start[buckets]
+        return slices(5 * np.bincount(rows, weights=size, minlength=len(column)) + 4 * self.width)
+
+    def nearest(self, column, k):
+        """Positions and rounded scores of the k best topics of each row with a vector, and which rows have one."""
         rows, buckets, values, valid = _unit_entries(column)
         place = np.cumsum(valid) - 1
         first = self.start[buckets]
@@ -123,7 +171,7 @@ class Postings:
         cell = place[rows[entry]] * len(self) + self.topic[at]
         count = int(valid.sum())
         total = np.bincount(cell, weights=values[entry] * self.weight[at], minlength=count * len(self))
-        return total.reshape(count, len(self)), valid
+        return *_best(total.reshape(count, len(self)), k), valid
 
 
 def _unit_entries(column):
@@ -143,6 +191,21 @@ def _unit_entries(column):
     return at[keep], buckets[keep].astype(np.int64), weights[keep] / length[at[keep]], valid
 
 
+def entry_slices(batch, *columns, cost=16, row=1):
+    """A batch in slices of bounded size for the entries of its sparse vectors.
+
+    ``cost`` and ``row`` tell how many numbers a step needs for an entry and a row.
+    """
+    sizes = np.full(batch.num_rows, row)
+    for c in columns:
+        vector = batch.column(c)
+        indices = vector.field(0) if pa.types.is_struct(vector.type) else vector
+        valid = np.asarray(vector.is_valid()) & np.asarray(indices.is_valid())
+        sizes = sizes + cost * np.where(valid, np.diff(indices.offsets.to_numpy()), 0)
+    for start, stop in slices(sizes):
+        yield batch.slice(start, stop - start)
+
+
 def _topic_matrix(table, dim):
     """Topic ids, point ids and unit vectors in tie order, topics without a vector left out."""
     order = sorted(
@@ -163,17 +226,12 @@ def _hits(vector_column, points, topic_ids, matrix, k):
     if not len(matrix):
         return pa.nulls(len(vector_column), HIT_TYPE)
     offsets, positions, scores, mask = [0], [], [], []
-    starts, step = _chunks(len(vector_column), matrix.width)
-    for start in starts:
-        found, valid = matrix.scores(vector_column.slice(start, step))
+    for start, stop in matrix.slices(vector_column):
+        where, score, valid = matrix.nearest(vector_column.slice(start, stop - start), k)
         mask.append(~valid)
-        size = np.zeros(len(valid), dtype=np.int64)
-        if valid.any():
-            where, score = _best(found, k)
-            size[valid] = where.shape[1]
-            positions.append(where.ravel())
-            scores.append(score.ravel())
-        offsets.extend(offsets[-1] + np.cumsum(size))
+        positions.append(where.ravel())
+        scores.append(score.ravel())
+        offsets.extend(offsets[-1] + np.cumsum(np.where(valid, where.shape[1], 0)))
     at = pa.array(np.concatenate(positions) if positions else np.empty(0, np.int64))
     score = pa.array(np.concatenate(scores) if scores else np.empty(0))
     hit = pa.StructArray.from_arrays(
@@ -246,7 +304,25 @@ def _block_hits(left, right, k, dim):
         .cogroup(right.select("point_id", "topic_id", "vector", *keys).groupBy(*keys))
         .applyInArrow(score, schema)
     )
-    return lists.select("opinion_id", F.inline("hits"))
+    return lists.filter("hits is not null")
+
+
+def block_rows(rows, asked, width):
+    """Rows of a block of a side whose rows take ``width`` bytes.
+
+    As many as asked for; more, within ``BLOCK_BYTES``, where the number of blocks would pass ``COPIES``: the
+    other side is copied as often as there are blocks.
+    """
+    return max(asked, min(-(-rows // COPIES), max(1, BLOCK_BYTES // max(1, width))))
+
+
+def ordered_hits(hits, k):
+    """The k best of a list of hits, best first."""
+    keyed = F.transform(hits, lambda h: F.struct((-h["score"]).alias("s"), h["topic_id"], h["point_id"]))
+    return F.transform(
+        F.slice(F.array_sort(keyed), 1, k),
+        lambda h: F.struct(h["point_id"].alias("point_id"), h["topic_id"].alias("topic_id"), (-h["s"]).alias("score")),
+    )
 
 
 def merged_hits(hits, k):
@@ -275,8 +351,10 @@ def _each(count):
 
 
 def _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows):
-    n_blocks = _blocks(topics.count(), topic_rows)
-    n_chunks = _blocks(opinions.count(), opinion_rows)
+    width = 8 * (min(dim, SPARSE_NUMBERS) if isinstance(topics.schema["vector"].dataType, T.StructType) else dim)
+    n_topics, n_opinions = topics.count(), opinions.count()
+    n_blocks = _blocks(n_topics, block_rows(n_topics, topic_rows, width))
+    n_chunks = _blocks(n_opinions, block_rows(n_opinions, opinion_rows, width))
     left = opinions.select(
         "opinion_id",
         "vector",
@@ -292,7 +370,8 @@ def _blocked_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows):
         _hash("point_id", n_blocks).alias("block"),
         _each(F.lit(n_chunks)).alias("chunk"),
     )
-    best = merged_hits(_block_hits(left, right, k, dim), k)
+    lists = _block_hits(left, right, k, dim).groupBy("opinion_id").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    best = lists.select("opinion_id", ordered_hits(F.col("hits"), k).alias("hits"))
     return opinions.select("opinion_id", *keep).join(best, "opinion_id", "left")
 
 
@@ -318,19 +397,20 @@ def topic_hits(
     the same rows. Weights below zero take ``blocked`` in place of ``lists``. ``cells`` makes
     ``n_cells`` cells, the square root of the topics unless told otherwise; with ``nprobe`` an
     opinion visits only so many of them and may miss hits. Blocks of ``topic_rows``
-    topics and ``opinion_rows`` opinions hold 128 MiB of vectors unless told otherwise: the
-    larger the blocks, the fewer copies of either side are shuffled. ``dim`` is needed for
+    topics and ``opinion_rows`` opinions hold 16 MiB of vectors unless told otherwise: the
+    larger the blocks, the fewer copies of either side are shuffled, so smaller ones grow up to that
+    size where a side of dense vectors would be copied more than 16 times. ``dim`` is needed for
     sparse vectors, which ``cells`` does not take.
     """
     opinions = opinions.withColumn("opinion_id", F.col("opinion_id").cast("string"))
     topics = topics.withColumns({c: F.col(c).cast("string") for c in ("point_id", "topic_id")})
     topics = topics.filter("vector is not null")
     n, dim, stored = _measure(topics, _vector_dim(topics, dim))
+    sparse = isinstance(topics.schema["vector"].dataType, T.StructType)
     if plan in ("auto", "broadcast"):
-        sparse = isinstance(topics.schema["vector"].dataType, T.StructType)
         plan = "broadcast" if stored <= broadcast_bytes else "lists" if sparse else "cells"
     block = max(1, BLOCK_BYTES * max(1, n) // max(1, stored))
-    topic_rows, opinion_rows = topic_rows or block, opinion_rows or max(1, BLOCK_BYTES // (8 * dim))
+    topic_rows, opinion_rows = topic_rows or block, opinion_rows or max(1, BLOCK_BYTES // (8 * (min(dim, SPARSE_NUMBERS) if sparse else dim)))
     if plan == "broadcast":
         return _broadcast_hits(opinions, topics, k, keep, dim)
     if plan == "lists":
@@ -404,7 +484,7 @@ def pair_similarity(pairs: DataFrame, left="left_vector", right="right_vector",
         raise ValueError("sparse vectors need dim")
 
     def score(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in entry_slices(whole, left, right)):
             a, b = _unit_entries(batch.column(left)), _unit_entries(batch.column(right))
             # Both sides have a key for each row and bucket; equal keys meet.
             keys = [rows * dim + buckets for rows, buckets, _, _ in (a, b)]

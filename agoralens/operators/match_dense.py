@@ -11,7 +11,7 @@ hits are those of comparing all pairs, however the cells are cut. With ``nprobe`
 visits that number of nearest centres and no more, and hits may be missed.
 
 Cells lie in blocks of bounded size, small ones together and large ones cut. An opinion travels once
-to each block that it visits, whatever the number of its cells there.
+to each block that it visits, whatever the number of its cells there; its visits are stored as one row.
 """
 
 import numpy as np
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agoralens.functions import vectors
-from agoralens.operators.match import SCALE, _each, _field, _hash, _unit_rows, merged_hits
+from agoralens.functions.vectors import slices
+from agoralens.operators.match import LEAST, SCALE, _each, _field, _hash, _unit_rows, block_rows, keep_nearest, merged_hits
 from agoralens.session import settled
 
 MOST_CELLS = 4096
@@ -64,14 +65,16 @@ class Cells:
     def angles(self, unit):
         return np.arccos(np.clip(unit @ self.centres.T, -1, 1))
 
-    def bounds(self, unit):
+    def bounds(self, unit, angles=None):
         """The best score that a member of each cell can have with each unit row."""
-        gap = np.maximum(self.angles(unit) - self.radius - 1e-9, 0)
+        angles = self.angles(unit) if angles is None else angles
+        gap = np.maximum(angles - self.radius - 1e-9, 0)
         return np.where(self.sizes > 0, np.cos(np.minimum(gap, np.pi)), -2.0)
 
     def leading(self, unit, rows):
         """For each row the cells with the best bounds, nearest centres first among equals, until ``rows`` are seen."""
-        order = np.lexsort((self.angles(unit), -self.bounds(unit)), axis=1)
+        angles = self.angles(unit)
+        order = np.lexsort((angles, -self.bounds(unit, angles)), axis=1)
         seen = np.cumsum(self.sizes[order], axis=1) - self.sizes[order]
         out = np.zeros(order.shape, bool)
         np.put_along_axis(out, order, seen < rows, axis=1)
@@ -107,7 +110,7 @@ class InvertedFile:
         # One row for each cell.
         for s in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("r")).collect():
             self.cells.sizes[s["cell"]], self.cells.radius[s["cell"]] = s["n"], s["r"]
-        self.first, self.parts, self.blocks = pack_cells(self.cells.sizes, topic_rows)
+        self.first, self.parts, self.blocks = pack_cells(self.cells.sizes, block_rows(self.rows, topic_rows, 8 * dim))
         places = [(c, int(self.first[c]), int(self.parts[c])) for c in np.flatnonzero(self.cells.sizes).tolist()]
         places = F.broadcast(self.spark.createDataFrame(places, "cell int, first int, parts int"))
         part = F.pmod(F.xxhash64("point_id"), F.col("parts"))
@@ -116,28 +119,34 @@ class InvertedFile:
         )
 
     def visits(self, asked: DataFrame, rows=None, nprobe=None, reached=None) -> DataFrame:
-        """``(o, vector, block, cells, pairs)``: the cells of each block that an opinion visits.
+        """``(o, vector, floor, visits)``, stored: the blocks that an opinion visits, with its cells there.
 
         Leading cells until ``rows`` topics are seen, the nearest ``nprobe`` cells, or with ``reached``
-        all others whose bound reaches that column.
+        all others whose bound reaches that column. A score below ``floor`` is none of the k best.
         """
         sent = self.spark.sparkContext.broadcast((self.cells, self.first, self.parts))
-        kinds = "o bigint, vector array<double>, block int, cells array<int>, pairs bigint"
+        kinds = "o bigint, vector array<double>, floor double, visits array<struct<block:int,cells:array<int>,pairs:bigint>>"
         columns = ["o", "vector", *([reached] if reached else [])]
         return settled(asked.select(*columns).mapInArrow(_visits(sent, self.dim, rows, nprobe, reached), kinds), "match-visits")
 
     def hits(self, visits: DataFrame, k: int, opinion_rows: int, opinions: int) -> DataFrame:
         """The k best of the visited cells for each opinion and block, stored."""
-        chunks = max(1, -(-opinions // opinion_rows))
-        left = visits.withColumn("chunk", _hash("o", chunks))
+        chunks = max(1, -(-opinions // block_rows(opinions, opinion_rows, 8 * self.dim)))
+        left = visits.select("o", "vector", "floor", F.inline("visits")).drop("pairs").withColumn("chunk", _hash("o", chunks))
         right = self.topics.withColumn("chunk", _each(F.lit(chunks)))
         found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
         return settled(found.applyInArrow(_score_cells(self.dim, k), HIT), "match-hits")
 
 
+def _parts(batch, cells):
+    """A batch in slices of bounded size for arrays of its rows by cells."""
+    for start, stop in slices(np.full(batch.num_rows, 8 * len(cells.centres) + 1)):
+        yield batch.slice(start, stop - start)
+
+
 def _place(sent, dim):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, sent.value)):
             unit, _ = _unit_rows(batch.column("vector"), dim)
             angles = sent.value.angles(unit)
             cell = angles.argmin(axis=1)
@@ -149,39 +158,51 @@ def _place(sent, dim):
     return run
 
 
+def _lists(wanted, cells, first, parts):
+    """The blocks of the wanted cells of each row, with the cells and the pairs in each."""
+    row, cell = np.nonzero(wanted)
+    size = parts[cell]
+    at = np.repeat(np.arange(len(cell)), size)
+    part = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+    row, cell = row[at], cell[at]
+    block = first[cell] + part  # rises within a row
+    # A cut cell counts once, with its first block.
+    pairs = np.append(0, np.cumsum(np.where(part == 0, cells.sizes[cell], 0)))
+    new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+    edges = np.append(new, len(row))
+    found = pa.StructArray.from_arrays(
+        [
+            pa.array(block[new].astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(cell.astype(np.int32))),
+            pa.array(np.diff(pairs[edges])),
+        ],
+        names=["block", "cells", "pairs"],
+    )
+    counts = np.bincount(row[new], minlength=len(wanted))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), found)
+
+
 def _visits(sent, dim, rows, nprobe, reached):
     def run(batches):
         cells, first, parts = sent.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, cells)):
             unit, valid = _unit_rows(batch.column("vector"), dim)
             if nprobe:
                 wanted = cells.nearest(unit, nprobe)
             else:
                 wanted = cells.leading(unit, rows)
+            floor = np.full(len(unit), -2.0)
             if reached:
-                score = batch.column(reached).to_numpy()
-                wanted = ~wanted & (cells.bounds(unit) >= (score - MARGIN)[:, None]) & (cells.sizes > 0)
-            at, blocks, lists, pairs = [], [], [], []
-            for i in np.flatnonzero(valid).tolist():
-                where = {}
-                for cell in np.flatnonzero(wanted[i]).tolist():
-                    for part in range(int(parts[cell])):
-                        where.setdefault(int(first[cell]) + part, []).append(cell)
-                at += [i] * len(where)
-                blocks += where
-                lists += where.values()
-                # A cut cell counts once, with its first block.
-                pairs += [int(sum(cells.sizes[c] for c in found if first[c] == b)) for b, found in where.items()]
-            chosen = pa.array(at, pa.int64())
+                floor = batch.column(reached).to_numpy() - MARGIN
+                wanted = ~wanted & (cells.bounds(unit) >= floor[:, None]) & (cells.sizes > 0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("o").take(chosen),
-                    batch.column("vector").take(chosen),
-                    pa.array(blocks, pa.int32()),
-                    pa.array(lists, pa.list_(pa.int32())),
-                    pa.array(pairs, pa.int64()),
+                    batch.column("o"),
+                    batch.column("vector"),
+                    pa.array(floor),
+                    _lists(wanted & valid[:, None], cells, first, parts),
                 ],
-                names=["o", "vector", "block", "cells", "pairs"],
+                names=["o", "vector", "floor", "visits"],
             )
 
     return run
@@ -205,16 +226,17 @@ def _score_cells(dim, k):
         lists = visits["cells"].combine_chunks()
         row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
         cell = lists.flatten().to_numpy()
-        least = -(1 << 62)
-        best = np.full((len(unit), k), least)
-        for c in np.unique(cell).tolist():
-            who, members = row[cell == c], np.flatnonzero(of == c)
+        by_cell = np.argsort(cell, kind="stable")
+        met, start = np.unique(cell[by_cell], return_index=True)
+        floor = visits["floor"].to_numpy()
+        best = np.full((len(unit), k), LEAST)
+        for c, at in zip(met.tolist(), np.split(by_cell, start[1:])):
+            who, members = row[at], np.flatnonzero(of == c)
             if len(members):
-                score = np.rint(unit[who] @ matrix[members].T * SCALE).astype(np.int64)
-                keys = np.concatenate([best[who], score * n + (n - 1 - members)], axis=1)
-                best[who] = -np.partition(-keys, k - 1, axis=1)[:, :k]
-        best = -np.sort(-best, axis=1)
-        i, j = np.nonzero(best > least)
+                top = best[who]
+                keep_nearest(top, unit[who], matrix[members], members, n, floor[who])
+                best[who] = top
+        i, j = np.nonzero(best > LEAST)
         key = best[i, j]
         score = key // n
         at = pa.array(n - 1 - (key - score * n), pa.int64())
@@ -282,7 +304,7 @@ def probe_report(opinions, topics, k, dim, probes, topic_rows=1 << 15, opinion_r
         hits = merged_hits(found[0] if probe else found[0].unionByName(found[1]), k)
         hits = settled(hits.select("opinion_id", F.explode("hits.point_id").alias("point_id")), "match-found")
         exact = hits if exact is None else exact
-        scored = sum(v.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0] for v in visits)
+        scored = sum(v.select(F.inline("visits")).agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0] for v in visits)
         right = hits.join(exact.withColumnRenamed("point_id", "p"), "opinion_id").filter("point_id = p").count()
         out.append((probe, scored, scored / max(1, pairs), right / max(1, exact.count())))
     return opinions.sparkSession.createDataFrame(out, "nprobe int, pairs_scored long, share double, recall double")

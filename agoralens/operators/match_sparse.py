@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralens.operators.match import HITS, SCALE, _each, _field, _hash, _unit_entries, merged_hits
+from agoralens.operators.match import HITS, SCALE, _each, _field, _hash, _unit_entries, entry_slices, merged_hits, ordered_hits
 from agoralens.session import settled
 
 CHAMPIONS = 32  # of each bucket
@@ -37,7 +37,7 @@ def unit_rows(df: DataFrame, names) -> DataFrame:
     rows = df.select(*names, "vector")
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in entry_slices(whole, "vector")):
             at, buckets, weights, valid = _unit_entries(batch.column("vector"))
             some = weights != 0
             sizes = np.bincount(at[some], minlength=batch.num_rows)
@@ -120,7 +120,8 @@ def _asked(sent, k):
 
     def run(batches):
         lists = sent.value
-        for batch in batches:
+        champions = 8 * LEADING * int(np.diff(lists[0]).max(initial=0))
+        for batch in (part for whole in batches for part in entry_slices(whole, "f", row=champions)):
             f, w = batch.column("f"), batch.column("w")
             sizes = np.where(f.is_valid(), np.diff(f.offsets.to_numpy()), 0)
             rows = np.repeat(np.arange(batch.num_rows), sizes)
@@ -188,6 +189,13 @@ def candidate_pairs(asked: DataFrame, lists: Lists, topic_blocks: int, list_rows
     return summed.filter(F.col("s") + F.col("rest") >= F.col("reached") - MARGIN).select("o", "block", "t")
 
 
+def _rows(table, columns, step=256):
+    """The rows of a table as Python values, made a few at a time."""
+    for start in range(0, table.num_rows, step):
+        part = table.slice(start, step)
+        yield from zip(*(part[c].to_pylist() for c in columns))
+
+
 def _score_block(dim, k):
     """The k best of the candidates of each opinion in a block of topics."""
 
@@ -204,7 +212,7 @@ def _score_block(dim, k):
         numbers = topics["t"].to_numpy()
         by_number = np.argsort(numbers)
         out = [[], [], []]
-        for o, ts, of, ow in zip(*(asked[c].to_pylist() for c in ("o", "ts", "f", "w"))):
+        for o, ts, of, ow in _rows(asked, ("o", "ts", "f", "w")):
             x = np.zeros(dim)
             x[of] = ow
             at = np.sort(by_number[np.searchsorted(numbers, ts, sorter=by_number)])
@@ -263,19 +271,11 @@ def listed_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows) -> Dat
     rows = asked.select(*names, "o", F.col("f").isNotNull().alias("known")).join(best, "o", "left")
     found = F.coalesce("found", F.array().cast(HITS))
     others = F.filter(none, lambda h: ~F.exists(found, lambda x: x["point_id"] == h["point_id"]))
-    filled = _ordered(F.concat(found, others.cast(HITS)), k)
+    filled = ordered_hits(F.concat(found, others.cast(HITS)), k)
     hits = F.when(F.size(found) >= k, found).when(F.col("known"), filled)
     return rows.select(*names, hits.cast(HITS).alias("hits"))
 
 
-def _ordered(hits, k):
-    keyed = F.transform(hits, lambda h: F.struct((-h["score"]).alias("s"), h["topic_id"], h["point_id"]))
-    return F.transform(
-        F.slice(F.array_sort(keyed), 1, k),
-        lambda h: F.struct(h["point_id"].alias("point_id"), h["topic_id"].alias("topic_id"), (-h["s"]).alias("score")),
-    )
-
-
 def pair_report(opinions: DataFrame, topics: DataFrame, k: int, dim: int) -> DataFrame:
     """How many pairs there are, how many entries of the lists are read and how many pairs are scored."""
     topics = topics.filter("vector is not null")

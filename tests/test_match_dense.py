@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from agoralens.operators import match, match_dense
@@ -99,3 +102,78 @@ def test_odd_tables(spark):
     assert [h["point_id"] for h in got.pop("o000")] == ["p000", "p005", "p006"] and all(not h for h in got.values()) and len(got) == 4
     assert [r["hits"] for r in match.topic_hits(left, right.limit(0), plan="cells").collect()] == [None] * 5
     assert match.topic_hits(left.limit(0), right, plan="cells").count() == 0
+
+
+def many_ties(rng, rows, dim):
+    """Unit rows, half of them copies of a few."""
+    x = rng.normal(size=(rows, dim))
+    x[::2] = x[: rows // 2 : 4][rng.integers(0, len(x[: rows // 2 : 4]), len(x[::2]))]
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_tiles_keep_the_best_of_all_and_their_ties(monkeypatch):
+    rng = np.random.default_rng(5)
+    unit, topics = many_ties(rng, 60, 4), many_ties(rng, 500, 4)
+    monkeypatch.setattr(match, "TILE_COLUMNS", 37)
+    monkeypatch.setattr(match, "TILE", 37 * 11)
+    best = np.full((60, 5), match.LEAST)
+    # Two matrices whose places lie between each other, as those of two cells.
+    for at in (np.arange(1, 500, 3), np.setdiff1d(np.arange(500), np.arange(1, 500, 3))):
+        match.keep_nearest(best, unit, topics[at], at, 500)
+    score = np.rint(unit @ topics.T * match.SCALE)
+    for i in range(60):
+        assert (499 - best[i] % 500).tolist() == sorted(range(500), key=lambda j: (-score[i, j], j))[:5]
+
+
+def test_small_blocks_grow_before_they_are_copied_often():
+    assert match.block_rows(900, 256, 512) == 256
+    for rows in (10_000, 100_000, 400_000):
+        size = match.block_rows(rows, 256, 512)
+        assert -(-rows // size) <= match.COPIES and 512 * size <= match.BLOCK_BYTES
+    assert 512 * match.block_rows(10**8, 256, 512) == match.BLOCK_BYTES
+
+
+def test_one_stored_row_for_the_visits_of_an_opinion(spark):
+    rng = np.random.default_rng(6)
+    left, right = frames(spark, list(rng.normal(size=(50, 8))), list(rng.normal(size=(400, 8))))
+    file = match_dense.InvertedFile(right, 8, 10)
+    visits = file.visits(match_dense.asked_rows(left), rows=400).collect()
+    assert len(visits) == 50 and all(len(r["visits"]) == file.blocks for r in visits)
+    assert {sum(v["pairs"] for v in r["visits"]) for r in visits} == {400}
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_memory_of_a_batch_does_not_grow_with_the_cells():
+    rng = np.random.default_rng(7)
+    cells = match_dense.Cells(rng.normal(size=(1000, 4)))
+    cells.sizes[:] = 5
+    places = match_dense.pack_cells(cells.sizes, 500)[:2]
+    batch = pa.RecordBatch.from_pydict({"o": np.arange(3000), "vector": list(rng.normal(size=(3000, 4)))})
+
+    def run():
+        for _ in match_dense._visits(Sent((cells, *places)), 4, 160, None, None)([batch]):
+            pass
+
+    assert peak_mb(run) < 100
+
+
+def test_memory_of_a_block_does_not_grow_with_a_cell():
+    rng = np.random.default_rng(8)
+    n = 3000
+    topics = pa.table({"point_id": [f"{i}" for i in range(n)], "topic_id": ["t"] * n, "vector": list(rng.normal(size=(n, 4))), "cell": [0] * n})
+    visits = pa.table({"o": range(n), "vector": list(rng.normal(size=(n, 4))), "floor": [-2.0] * n, "cells": [[0]] * n})
+    visits = visits.set_column(3, "cells", pa.array([[0]] * n, pa.list_(pa.int32())))
+    assert peak_mb(lambda: match_dense._score_cells(4, 5)(visits, topics)) < 100
