@@ -6,6 +6,7 @@ functions and counted on Arrow batches. ``model_encoder`` wraps a model that map
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,20 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agoralens.functions.text import tokens
+from agoralens.functions.vectors import slices
 
 SPARSE = "struct<indices:array<int>,values:array<double>>"
+SLICE_WORDS = 1 << 18  # that are counted at once
 
 
+@lru_cache(maxsize=1 << 16)
 def bucket_of(token: str, dim: int) -> int:
     """The vector position of a token: the first 28 bits of its MD5, modulo ``dim``."""
     return int(hashlib.md5(token.encode()).hexdigest()[:7], 16) % dim
 
 
 def count_buckets(words, dim):
-    """Rows, buckets and counts of an Arrow batch of token lists, in row and bucket order.
-
-    Each distinct token of the batch is hashed once.
-    """
+    """Rows, buckets and counts of an Arrow batch of token lists, in row and bucket order."""
     sizes = np.diff(words.offsets.to_numpy())
     sizes = np.where(words.is_valid(), sizes, 0)
     flat = words.flatten().dictionary_encode()
@@ -38,11 +39,18 @@ def count_buckets(words, dim):
     return keys // dim, keys % dim, counts
 
 
+def word_slices(words):
+    """A batch of token lists in parts of bounded size, at least one."""
+    sizes = np.where(words.is_valid(), np.diff(words.offsets.to_numpy()), 0) + 1
+    for start, stop in slices(sizes, SLICE_WORDS) or [(0, 0)]:
+        yield words.slice(start, stop - start)
+
+
 class TfIdfEncoder:
     """Hashed TF-IDF with a fixed number of buckets.
 
     Texts are cut into tokens inside the JVM. Counting them per text needs a loop over
-    arrays, which Spark interprets element by element, so that part runs on whole Arrow
+    arrays, which Spark interprets element by element, so that part runs on slices of Arrow
     batches. No token leaves its row, so nothing is shuffled. The fitted state is one weight
     per bucket: its size is ``dim`` whatever the corpus.
     """
@@ -58,8 +66,9 @@ class TfIdfEncoder:
 
         def count(batches):
             for batch in batches:
-                _, buckets, _ = count_buckets(batch.column("words"), dim)
-                texts_with = np.bincount(buckets, minlength=dim)
+                texts_with = np.zeros(dim, np.int64)
+                for words in word_slices(batch.column("words")):
+                    texts_with += np.bincount(count_buckets(words, dim)[1], minlength=dim)
                 met = np.flatnonzero(texts_with)
                 # Bucket -1 carries the number of texts.
                 yield pa.RecordBatch.from_arrays(
@@ -84,8 +93,7 @@ class TfIdfEncoder:
         """Adds the unit ``vector``; null for a null text and for one without weight."""
         idf, dim = self.idf, self.dim
 
-        @F.arrow_udf(SPARSE)
-        def embed(words: pa.Array) -> pa.Array:
+        def weighted(words):
             rows, buckets, counts = count_buckets(words, dim)
             weights = counts * idf[buckets]
             lengths = np.sqrt(np.bincount(rows, weights**2, minlength=len(words)))
@@ -101,6 +109,10 @@ class TfIdfEncoder:
                 mask=pa.array(~known),
             )
 
+        @F.arrow_udf(SPARSE)
+        def embed(words: pa.Array) -> pa.Array:
+            return pa.concat_arrays([weighted(part) for part in word_slices(words)])
+
         return df.withColumn("vector", embed(tokens(F.col(text))))
 
     def weight_table(self) -> DataFrame:

@@ -1,7 +1,10 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from agoralens.operators import match, match_sparse
+from agoralens.operators import encode, match, match_sparse
 
 DIM = 40
 VECTOR = "vector struct<indices:array<int>,values:array<double>>"
@@ -157,3 +160,53 @@ def test_no_cross_join_and_no_pair_of_all_blocks(spark):
     pairs = match_sparse.candidate_pairs(match_sparse.asked_rows(left, lists, 2, ["opinion_id"]), lists, 2)
     plan = pairs._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def wide(rng, rows, entries):
+    """A column of sparse vectors."""
+    at = pa.array(np.arange(rows + 1, dtype=np.int32) * entries)
+    flat = [pa.array(np.tile(np.arange(entries, dtype=np.int32), rows)), pa.array(rng.uniform(0.1, 1, rows * entries))]
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, x) for x in flat], names=["indices", "values"])
+
+
+def test_memory_does_not_grow_with_the_postings_that_a_batch_reads():
+    rng = np.random.default_rng(12)
+    column = wide(rng, 2000, 40)
+    matrix = match.Postings(wide(rng, 150, 40), 40)
+    names = pa.array([f"{i:03}" for i in range(150)])
+    hits = []
+    assert peak_mb(lambda: hits.append(match._hits(column, names, names, matrix, 5))) < 60  # 12 million products
+    assert hits[0].slice(700, 9).to_pylist() == match._hits(column.slice(700, 9), names, names, matrix, 5).to_pylist()
+
+
+def test_memory_does_not_grow_with_the_champions_that_a_batch_meets():
+    rng = np.random.default_rng(13)
+    lists = (np.arange(41) * 32, rng.integers(0, 500, 1280), rng.uniform(0.1, 1, 1280), np.ones(40))
+    column = wide(rng, 6000, 40)
+    batch = pa.RecordBatch.from_arrays([column.field(0), column.field(1)], names=["f", "w"])
+    parts = []
+    assert peak_mb(lambda: parts.extend(match_sparse._asked(Sent(lists), 5)([batch]))) < 100
+    assert sum(p.num_rows for p in parts) == 6000
+
+
+def test_memory_does_not_grow_with_the_words_of_a_batch():
+    words = pa.array([[f"w{(i * j) % 97}" for j in range(700)] for i in range(3000)] + [None, []])
+    whole = encode.count_buckets(words, DIM)
+    got = []
+    assert peak_mb(lambda: got.extend(encode.count_buckets(p, DIM) for p in encode.word_slices(words))) < 30
+    assert [x.tolist() for x in whole[1:]] == [np.concatenate([g[i] for g in got]).tolist() for i in (1, 2)]
+    assert sum(len(p) for p in encode.word_slices(words)) == 3002
