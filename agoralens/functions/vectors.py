@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from agoralens.functions.text import let
 
 SCORE_DIGITS = 9
-CHUNK_BYTES = 16 << 20  # that the arrays of a step inside a task may take
+CHUNK_BYTES = 32 << 20  # that the arrays of a step inside a task may take
 
 
 def slices(costs, limit=CHUNK_BYTES // 8):
