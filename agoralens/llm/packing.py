@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ END_ID = 2
 PART_ROWS = 20000
 ROUNDS = 8
 BATCH_CHARS = 4_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000  # of a generation
 
 #: White space in UTF-8 other than space and newline; with it, runs with a space in them.
 _OTHER_SPACE = [c.encode() for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -44,15 +45,17 @@ def _byte_names():
 
 
 BYTES = _byte_names()
+SPACE_NAME = BYTES[ord(" ")]
 
 
 class WordTokenizer:
-    """Ids of whole texts through a byte-level BPE tokenizer, each word encoded once.
+    """Ids of whole texts through a byte-level BPE tokenizer, each distinct word encoded once.
 
     Byte-level BPE cuts a text before every single space between two words, so the ids of a text
     are those of its words, each with the space before it. A new word is cut into letters, digits
-    and signs, and the model of the tokenizer merges the bytes of each part. Texts with other
-    white space next to a space, or with a special token, are encoded as a whole.
+    and signs, and the model of the tokenizer merges the bytes of each part. Words are kept in two
+    generations, so that those still in use outlive the others. Texts with other white space next
+    to a space, or with a special token, are encoded as a whole.
     """
 
     def __init__(self, path):
@@ -64,47 +67,78 @@ class WordTokenizer:
             raise ValueError("a byte-level tokenizer without a normaliser is needed")
         self.merge = self.tokenizer.model.tokenize
         self.stops = {s: self._part(s) for s in STOPS}
-        self.cache = {}
+        self.recent, self.older, self.signs = {}, {}, {}
 
     def _encode(self, texts):
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
     def _part(self, part):
-        tokens = self.merge(part.encode().decode("latin-1").translate(BYTES))
-        return array("I", [t.id for t in tokens]).tobytes()
+        if part.isascii() and part[0] == " " and part[1:].isalpha():
+            named = SPACE_NAME + part[1:]
+        else:
+            named = part.encode().decode("latin-1").translate(BYTES)
+        return array("I", [t.id for t in self.merge(named)]).tobytes()
 
     def _word(self, word):
-        bare = word[:-1]
-        if word.isalpha():
-            return self._part(f" {word}")
-        if bare.isalpha() and word[-1] in self.stops:
-            return (self.cache.get(bare) or self._part(f" {bare}")) + self.stops[word[-1]]
-        return b"".join(map(self._part, PARTS.findall(f" {word}")))
+        """The ids of a word after a space, from the words of this and the last generation."""
+        found = self.recent.get(word) or self.older.get(word)
+        if found is None:
+            bare = word[:-1]
+            if word.isalpha():
+                found = self._part(f" {word}")
+            elif bare.isalpha() and word[-1] in self.stops:
+                found = self._word(bare) + self.stops[word[-1]]
+            else:
+                found = b"".join(map(self._sign, PARTS.findall(f" {word}")))
+        self.recent[word] = found
+        return found
+
+    def _sign(self, part):
+        if part[0] == " " and part[1:].isalpha():
+            return self._word(part[1:])
+        found = self.signs.get(part)
+        if found is None:
+            found = self.signs[part] = self._part(part)
+        return found
+
+    def _joined(self, texts):
+        """The ids of texts of words with one space between them."""
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        start = words.offsets.to_numpy()
+        distinct = words.flatten().dictionary_encode()
+        known = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = distinct.indices.to_numpy().astype(np.int64)
+        # The first word of a text has no space before it.
+        first = [known[c] for c in codes[start[:-1]]]
+        codes[start[:-1]] = len(known) + np.arange(len(texts))
+        ids = list(map(self.recent.get, known))
+        for i in np.flatnonzero(np.bincount(codes)[: len(known)]).tolist():
+            if ids[i] is None:
+                ids[i] = self._word(known[i])
+        ids += self._encode(first)
+        coded = pa.array(ids, pa.large_binary()).take(pa.array(codes))
+        edges = np.frombuffer(coded.buffers()[1], np.int64, len(codes) + 1)[start]
+        octets = coded.buffers()[2].to_pybytes() if edges[-1] else b""
+        return [octets[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
     def encode(self, texts):
         """The ids of each text as little-endian numbers of 32 bits."""
-        words, whole = [], []
+        plain, whole = [], []
         for i, text in enumerate(texts):
             octets = text.encode("utf-8", "replace")
             edge = octets[:1].isspace() or octets[-1:].isspace()
-            if edge or any(s in octets for s in _UNSAFE) or any(t in text for t in self.special):
-                whole.append(i)
-                words.append(None)
-            else:
-                words.append(text.split(" "))
+            unsafe = not text or edge or any(s in octets for s in _UNSAFE) or any(t in text for t in self.special)
+            (whole if unsafe else plain).append(i)
         out = [b""] * len(texts)
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = ids
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        first = [w.pop(0) if w else "" for w in words]
-        new = list(set().union(*(w for w in words if w)).difference(self.cache))
-        self.cache.update(zip(new, map(self._word, new)))
-        find = self.cache.__getitem__
-        for i, start in enumerate(self._encode(first)):
-            if words[i] is not None:
-                out[i] = start + b"".join(map(find, words[i]))
+        for rows, run in ((whole, self._encode), (plain, self._joined)):
+            if rows:
+                for i, ids in zip(rows, run([texts[i] for i in rows])):
+                    out[i] = ids
+        if len(self.recent) > CACHED_WORDS:
+            self.recent, self.older = {}, self.recent
+        if len(self.signs) > CACHED_WORDS:
+            self.signs = {}
         return out
 
 

@@ -34,6 +34,20 @@ def test_word_tokenizer_gives_the_ids_of_the_tokenizer(documents):
     assert packing.WordTokenizer(BPE).encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in plain]
 
 
+def test_word_tokenizer_merges_a_word_once(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    tokenizer, merged = packing.WordTokenizer(BPE), []
+    merge = tokenizer.merge
+    monkeypatch.setattr(tokenizer, "merge", lambda part: merged.append(part) or merge(part))
+    texts = ["To harbour, harbour. harbour!! (harbour) harbour", "", "of\nharbour; harbour été,", "été", "a  été", "9"]
+    texts += [f"to harbour word{i} other" for i in range(8)]  # more words than are kept
+    plain = tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert tokenizer.encode(texts[:6]) + [x for t in texts[6:] for x in tokenizer.encode([t])] == [
+        np.array(e.ids, "<u4").tobytes() for e in plain
+    ]
+    assert sum("harbour" in part and part[0] == packing.SPACE_NAME for part in merged) == 1
+
+
 def fewest_bins(lengths, capacity):
     """By trying all partitions of a few items."""
     best = [len(lengths)]
