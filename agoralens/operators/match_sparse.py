@@ -32,9 +32,8 @@ MARGIN = 10.0 / SCALE
 CHAMPION = "f int, t bigint, w double"
 
 
-def unit_rows(df: DataFrame, names) -> DataFrame:
-    """The columns ``names`` and the unit vector as ``f``, ``w``; null without a finite length."""
-    rows = df.select(*names, "vector")
+def _units(names):
+    """Batches with the columns ``names`` and the unit vector as ``f``, ``w``; null without a finite length."""
 
     def run(batches):
         for batch in (part for whole in batches for part in entry_slices(whole, "vector")):
@@ -48,8 +47,16 @@ def unit_rows(df: DataFrame, names) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *lists], names=[*names, "f", "w"])
 
-    kinds = [*[rows.schema[n] for n in names], _field("f", "array<int>"), _field("w", "array<double>")]
-    return rows.mapInArrow(run, T.StructType(kinds))
+    return run
+
+
+def _unit_fields(df, names):
+    return [*[df.schema[n] for n in names], _field("f", "array<int>"), _field("w", "array<double>")]
+
+
+def unit_rows(df: DataFrame, names) -> DataFrame:
+    """The columns ``names`` and the unit vector as ``f``, ``w``; null without a finite length."""
+    return df.select(*names, "vector").mapInArrow(_units(names), T.StructType(_unit_fields(df, names)))
 
 
 class Lists:
@@ -141,15 +148,16 @@ def _asked(sent, k):
 def asked_rows(opinions: DataFrame, lists: Lists, k: int, names) -> DataFrame:
     """The stored opinions with what step 1 and 2 say of them and a row number ``o``."""
     sent = opinions.sparkSession.sparkContext.broadcast((lists.start, lists.topic, lists.weight, lists.most))
-    rows = unit_rows(opinions, names)
     kinds = [
-        *rows.schema.fields,
+        *_unit_fields(opinions, names),
         _field("rf", "array<int>"),
         _field("rw", "array<double>"),
         _field("reached", "double"),
         _field("rest", "double"),
     ]
-    rows = rows.mapInArrow(_asked(sent, k), T.StructType(kinds))
+    units, ask = _units(names), _asked(sent, k)
+    # One pass: each step of its own would hold a Python worker and a batch more in every task.
+    rows = opinions.select(*names, "vector").mapInArrow(lambda batches: ask(units(batches)), T.StructType(kinds))
     return settled(rows.withColumn("o", F.monotonically_increasing_id()), "match-asked")
 
 

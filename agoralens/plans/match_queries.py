@@ -291,10 +291,15 @@ def text_topics(spark, sf_dir, encoder):
     return settled(vector_table(items, encoder), "text-topics")
 
 
+def text_opinions(docs, encoder):
+    """The stored vectors of the opinions: a task that encodes as it matches holds twice the Python workers."""
+    return settled(encoder(docs).select("opinion_id", "vector"), "text-opinions")
+
+
 def _text_matches(spark, sf_dir, **options):
     docs = opinions(spark, sf_dir)
     encoder = TfIdfEncoder.fit(docs, dim=DIM)
-    return match.match_topics(encoder(docs), text_topics(spark, sf_dir, encoder), dim=DIM, **options)
+    return match.match_topics(text_opinions(docs, encoder), text_topics(spark, sf_dir, encoder), dim=DIM, **options)
 
 
 @query(
@@ -333,7 +338,7 @@ def text_match_pairs(spark, sf_dir):
     """How many pairs and list entries there are, and how many of them the inverted lists need."""
     docs = opinions(spark, sf_dir)
     encoder = TfIdfEncoder.fit(docs, dim=DIM)
-    return match_sparse.pair_report(encoder(docs), text_topics(spark, sf_dir, encoder), 5, DIM)
+    return match_sparse.pair_report(text_opinions(docs, encoder), text_topics(spark, sf_dir, encoder), 5, DIM)
 
 
 @query(

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from agoralens.operators import encode, match, match_sparse
+from agoralens.plans import match_queries
 
 DIM = 40
 VECTOR = "vector struct<indices:array<int>,values:array<double>>"
@@ -210,3 +211,32 @@ def test_memory_does_not_grow_with_the_words_of_a_batch():
     assert peak_mb(lambda: got.extend(encode.count_buckets(p, DIM) for p in encode.word_slices(words))) < 30
     assert [x.tolist() for x in whole[1:]] == [np.concatenate([g[i] for g in got]).tolist() for i in (1, 2)]
     assert sum(len(p) for p in encode.word_slices(words)) == 3002
+
+
+def python_steps(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("MapInArrow") + plan.count("ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", ["text_match_pairs", "text_match_lists", "text_match_best"])
+def test_a_task_has_one_python_worker(spark, tmp_path, monkeypatch, name):
+    docs = [(i, f"wort{i % 7} und {'x' * (i % 5 + 1)}" if i % 6 else None, "de", f"s{i % 3}") for i in range(30)]
+    docs += docs[:4] + [(None, "und wort1", None, None)]
+    items = [(i, f"wort{i} {'x' * i}" if i else None) for i in range(5)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    steps = []
+
+    def kept(real):
+        return lambda df, label="step": (steps.append((label, python_steps(df))), real(df, label))[1]
+
+    for module in (match_sparse, match_queries):
+        monkeypatch.setattr(module, "settled", kept(module.settled))
+    real = match._broadcast_hits
+    found = lambda *a: (lambda df: (steps.append(("hits", python_steps(df))), df)[1])(real(*a))
+    monkeypatch.setattr(match, "_broadcast_hits", found)
+    rows = getattr(match_queries, name)(spark, str(tmp_path))
+    assert rows.count() > 0
+    steps = dict(steps)
+    assert steps.get("match-asked", 1) == steps.get("hits", 1) == steps["text-opinions"] == 1
+    assert "match-asked" in steps or "hits" in steps
