@@ -445,7 +445,7 @@ def study_tables(spark, sf_dir):
     folder = fresh_path(spark, "study")
     docs = opinions(spark, sf_dir)
     encoder = TfIdfEncoder.fit(docs, dim=DIM)
-    found = match.match_topics(encoder(docs), text_topics(spark, sf_dir, encoder), dim=DIM)
+    found = match.match_topics(text_opinions(docs, encoder), text_topics(spark, sf_dir, encoder), dim=DIM)
     rows = match.with_matches(docs.withColumn("effectiveness", F.lit(None).cast("string")), found)
     write_table(conform(rows, OPINIONS_MATCHED), f"{folder}/opinions_with_matches.parquet")
     matched = read_table(spark, f"{folder}/opinions_with_matches.parquet", OPINIONS_MATCHED)

@@ -35,7 +35,9 @@ def run_study(tables: Tables, folder: str, dim=4096, **training) -> Study:
     encoder.save(f"{folder}/encoder.parquet")
     write_vectors(vector_table(clean.topics, encoder), f"{folder}/topic_vectors.parquet")
     vectors = spark.read.parquet(f"{folder}/topic_vectors.parquet")
-    matches = match_topics(encoder(clean.opinions), vectors, dim=dim)
+    write_table(encoder(clean.opinions).select("opinion_id", "vector"), f"{folder}/opinion_vectors.parquet")
+    coded = spark.read.parquet(f"{folder}/opinion_vectors.parquet")
+    matches = match_topics(coded, vectors, dim=dim)
     write_table(matches, f"{folder}/matches.parquet")
     matched = with_matches(clean.opinions, spark.read.parquet(f"{folder}/matches.parquet"))
     write_table(matched, f"{folder}/opinions_with_matches.parquet")

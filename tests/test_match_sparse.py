@@ -218,7 +218,7 @@ def python_steps(df):
     return plan.count("MapInArrow") + plan.count("ArrowEvalPython")
 
 
-@pytest.mark.parametrize("name", ["text_match_pairs", "text_match_lists", "text_match_best"])
+@pytest.mark.parametrize("name", ["text_match_pairs", "study_tables", "text_match_lists", "text_match_best"])
 def test_a_task_has_one_python_worker(spark, tmp_path, monkeypatch, name):
     docs = [(i, f"wort{i % 7} und {'x' * (i % 5 + 1)}" if i % 6 else None, "de", f"s{i % 3}") for i in range(30)]
     docs += docs[:4] + [(None, "und wort1", None, None)]
