@@ -2,11 +2,13 @@
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WHITE = r"[\x20\x09-\x0D]+"
 LETTER = re.compile(r"[^\W\d_]")
+PORTION_ROWS = 1000
 
 
 def table(spark, sf_dir, name):
@@ -40,6 +42,19 @@ def slices(sizes, limit):
         yield start, len(sizes)
 
 
+def give_back():
+    """Frees the memory that Arrow holds in reserve; a Python worker would carry it into later tasks."""
+    pa.default_memory_pool().release_unused()
+
+
+def portions(batches, rows=PORTION_ROWS):
+    """The batches in runs of ``rows`` rows at most, so that what a step makes of them is bounded too."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+            give_back()
+
+
 def wider(schema, **kinds):
     """A schema with more columns at its end, by name and type."""
     more = [T.StructField(name, T.StructType.fromDDL(f"x {kind}").fields[0].dataType) for name, kind in kinds.items()]

@@ -8,12 +8,13 @@ the temperature that turns logits into honest probabilities.
 """
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import LETTER, held_out, wider
+from agoralens.llm.common import LETTER, held_out, portions, wider
 from agoralens.llm.ngrams import all_grams
 from agoralens.session import settled
 
@@ -96,7 +97,7 @@ class Leader:
 
 def _sparse(languages):
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             rows = [counts_of(t) for t in batch.column("text").to_pylist()]
             labels = [languages.index(lang) for lang in batch.column("lang").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -118,10 +119,19 @@ def _read(rows):
         yield y, f.values.to_numpy(), n.values.to_numpy()
 
 
+def _in_order(rows):
+    """Rows by label, number of buckets and bytes. Only rows alike in the first two are turned into bytes at once."""
+
+    def alike(row):
+        return row[0], len(row[1])
+
+    for _, same in groupby(sorted(rows, key=alike), alike):
+        yield from sorted(same, key=lambda r: (r[1].tobytes(), r[2].tobytes()))
+
+
 def _train_shard(idf, classes):
     def run(shard):
-        rows = [(y, f, tf_idf(f, n, idf)) for y, f, n in _read(shard)]
-        rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+        rows = list(_in_order((y, f, tf_idf(f, n, idf)) for y, f, n in _read(shard)))
         leader, order = Leader(len(idf), classes), np.random.default_rng(11)
         for _ in range(EPOCHS):
             for i in order.permutation(len(rows)):
@@ -134,7 +144,7 @@ def _train_shard(idf, classes):
 
 def _logits(model):
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             found = [(y, model.logits(f, n)) for y, f, n in _read(batch)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([y for y, _ in found], pa.int32()), pa.array([z for _, z in found], pa.list_(pa.float64()))],
@@ -146,7 +156,7 @@ def _logits(model):
 
 def _frequencies(batches):
     seen = np.zeros((1 << BUCKET_BITS) + 1, np.int64)
-    for batch in batches:
+    for batch in portions(batches):
         for text in batch.column("text"):
             seen[counts_of(text.as_py())[0]] += 1
             seen[-1] += 1
@@ -253,7 +263,7 @@ def with_language(docs, model, text_col="text", lang_name="lang_pred", score_nam
 
     def run(batches):
         known = sent.value
-        for batch in batches:
+        for batch in portions(batches):
             found = [known.told(t.as_py()) for t in batch.column(text_col)]
             told = [
                 pa.array([lang for lang, _, _ in found], pa.string()),

@@ -18,15 +18,16 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import slices, wider
+from agoralens.llm.common import give_back, slices, wider
 from agoralens.session import settled
 
 CAPACITY = 1024
 END_ID = 2
 PART_ROWS = 20000
 ROUNDS = 8
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 CACHED_WORDS = 300_000  # of a generation
+CACHED_SIGNS = 50_000
 
 #: White space in UTF-8 other than space and newline; with it, runs with a space in them.
 _OTHER_SPACE = [c.encode() for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -137,7 +138,7 @@ class WordTokenizer:
                     out[i] = ids
         if len(self.recent) > CACHED_WORDS:
             self.recent, self.older = {}, self.recent
-        if len(self.signs) > CACHED_WORDS:
+        if len(self.signs) > CACHED_SIGNS:
             self.signs = {}
         return out
 
@@ -147,23 +148,17 @@ def _tokenizer(path):
     return WordTokenizer(path)
 
 
-def pieces(docs, path, id_col="doc_id", text_col="text", capacity=CAPACITY, end_id=END_ID):
-    """``(_id, piece, start, length, ids)`` of all documents; ``ids`` are little-endian, 32 bits.
-
-    A document is the ids of its text, then ``end_id``. Only a longer one than ``capacity`` is cut;
-    all pieces but the first then have the full length. Null and empty texts are one piece, the
-    end. Other columns are ignored, repeated rows are packed as often as they occur.
-    """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+def _cut(path, capacity, end_id):
+    """Rows of ``pieces`` from batches of ``_id`` and ``_text``; one slice of a batch is unpacked at a time."""
     end = array("I", [end_id]).tobytes()
 
     def run(batches):
         tokenizer = _tokenizer(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            for a, b in slices([len(t) for t in texts], BATCH_CHARS):
+            texts = batch.column("_text")
+            for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BATCH_CHARS):
                 at, number, starts, lengths, ids = [], [], [], [], []
-                for i, coded in enumerate(tokenizer.encode(texts[a:b])):
+                for i, coded in enumerate(tokenizer.encode([t or "" for t in texts[a:b].to_pylist()])):
                     coded += end
                     n = len(coded) // 4
                     cut = (n - 1) % capacity + 1
@@ -184,9 +179,21 @@ def pieces(docs, path, id_col="doc_id", text_col="text", capacity=CAPACITY, end_
                     ],
                     names=["_id", "piece", "start", "length", "ids"],
                 )
+                give_back()
+
+    return run
 
+
+def pieces(docs, path, id_col="doc_id", text_col="text", capacity=CAPACITY, end_id=END_ID):
+    """``(_id, piece, start, length, ids)`` of all documents; ``ids`` are little-endian, 32 bits.
+
+    A document is the ids of its text, then ``end_id``. Only a longer one than ``capacity`` is cut;
+    all pieces but the first then have the full length. Null and empty texts are one piece, the
+    end. Other columns are ignored, repeated rows are packed as often as they occur.
+    """
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kinds = {"piece": "int", "start": "bigint", "length": "bigint", "ids": "binary"}
-    return rows.mapInArrow(run, wider(rows.drop("_text").schema, **kinds))
+    return rows.mapInArrow(_cut(path, capacity, end_id), wider(rows.drop("_text").schema, **kinds))
 
 
 def best_fit(lengths, capacity=CAPACITY):

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import ascii_words
+from agoralens.llm.common import ascii_words, portions
 from agoralens.llm.components import components, smallest_kept
 from agoralens.session import settled
 
@@ -50,7 +50,7 @@ def fingerprints(docs, text_col="text", words=3, others=("doc_id",)):
     rows = docs.select(*others, F.col(text_col).alias("_text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             values = [fingerprint(t.as_py(), words) for t in batch.column(batch.num_columns - 1)]
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(values, pa.int64())], names=[*others, "fp"])

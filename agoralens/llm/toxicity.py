@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import held_out, wider
+from agoralens.llm.common import held_out, portions, wider
 from agoralens.llm.ngrams import all_grams
 from agoralens.session import settled
 
@@ -63,7 +63,7 @@ def labelled_sample(docs, labels, divisor=4, sample=SAMPLE, id_col="doc_id", tex
 def _document_counts(batches):
     """How many toxic and clean texts of this task hold each n-gram."""
     counts = np.zeros((2, 1 << BUCKET_BITS), np.int32)
-    for batch in batches:
+    for batch in portions(batches):
         for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
             counts[y, np.unique(all_grams(text, ORDERS, BUCKET_BITS))] += 1
     found = np.flatnonzero(counts.any(axis=0)).astype(np.int32)
@@ -74,7 +74,7 @@ def _document_counts(batches):
 
 def _kept_features(kept):
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             found = [
                 np.unique(g[kept[g]]).astype(np.int32)
                 for g in (all_grams(t, ORDERS, BUCKET_BITS) for t in batch.column("text").to_pylist())
@@ -148,7 +148,7 @@ def with_toxicity(docs, model, text_col="text", score_name="score", label_name="
 
     def run(batches):
         scorer = sent.value
-        for batch in batches:
+        for batch in portions(batches):
             scores = np.array([scorer.score(t.as_py()) for t in batch.column(text_col)], np.float64)
             labels = (scores >= scorer.threshold).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
