@@ -4,7 +4,8 @@ The model file is read field by field. From it come the normaliser (character ma
 space, dummy prefix, the mark for spaces), the pieces with their scores as a unigram or a merge
 model, and the fallback to bytes. Texts are cut before each run of spaces where no piece of the
 vocabulary reaches over such a border; the ids of a text are then those of its words, and each
-distinct word of a batch is encoded once, in batches on several threads.
+distinct word of a batch is encoded once, in batches on several threads. Words in use are kept for
+the next batches. A step unpacks one slice of Spark's batch at a time.
 """
 
 import os
@@ -16,15 +17,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from agoralens.llm.common import slices, wider
+from agoralens.llm.common import give_back, slices, wider
 
 MARK = "▁"
 UNIGRAM, MERGES = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
-BATCH_CHARS = 4_000_000
-CACHED_WORDS = 1_000_000
+BATCH_OCTETS = 500_000
+CACHED_WORDS = 200_000  # of a generation
+KEPT_CHARS = 50
 WORDS = 1000
 FAR_BELOW = -1e6
 
@@ -144,7 +147,7 @@ class Codec:
         self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         # Normalised texts hold no space, so its byte can stand between the words of a batch.
         self.between = self.tokenizer.token_to_id("<0x20>") if model.byte_fallback else None
-        self.cache = {}
+        self.cache, self.older = {}, {}
         octets = [
             bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode("utf-8")
             for p, k in zip(model.pieces, model.kinds)
@@ -182,29 +185,36 @@ class Codec:
         return out
 
     def _words(self, text):
-        """The words of a text without the mark before them, or None if it has other spaces."""
-        plain = self.by_words and self.charsmap is None and self.model.dummy_prefix
-        if not plain or not text or "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+        """The words of a text without the mark before them, or None for a model whose texts are not cut so."""
+        if not (self.by_words and self.model.dummy_prefix):
             return None
-        return text.split(" ")
+        plain = self.charsmap is None and text and "  " not in text and text[0] != " " and text[-1] != " "
+        if plain and MARK not in text:
+            return text.split(" ")
+        return [p[1:] for p in self.cut.findall(self.normalise(text))]
 
     def encode(self, texts):
         """The ids of each text as little-endian numbers of 32 bits."""
         if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
         words = [self._words(t) for t in texts]
         coded = [list(map(self.cache.get, w or ())) for w in words]
         gaps = [[j for j, c in enumerate(found) if c is None] for found in coded]
-        new = list({w[j] for w, at in zip(words, gaps) for j in at})
-        self.cache.update(zip(new, self._encode_words([MARK + w for w in new])))
+        missing = {w[j] for w, at in zip(words, gaps) for j in at}
+        found_now = {w: c for w in missing if (c := self.older.get(w)) is not None}
+        new = [w for w in missing if w not in found_now]
+        found_now.update(zip(new, self._encode_words([MARK + w for w in new])))
+        self.cache.update((w, c) for w, c in found_now.items() if len(w) <= KEPT_CHARS)
         for w, found, at in zip(words, coded, gaps):
             for j in at:
-                found[j] = self.cache[w[j]]
+                found[j] = found_now[w[j]]
         odd = [self.normalise(t) for t, w in zip(texts, words) if w is None]
         odd = [self.cut.findall(t) if self.by_words else [t] * bool(t) for t in odd]
         parts = list(set().union(*odd))
         of_part, rest = dict(zip(parts, self._encode_words(parts))), iter(odd)
-        return [b"".join(found if w else map(of_part.__getitem__, next(rest))) for w, found in zip(words, coded)]
+        return [
+            b"".join(map(of_part.__getitem__, next(rest)) if w is None else found) for w, found in zip(words, coded)
+        ]
 
     def decode(self, coded):
         """The texts of ids as ``encode`` gives them.
@@ -238,18 +248,24 @@ def codec(path, threads=2):
     return Codec(path, threads)
 
 
-def _mapped(df, text_col, names_and_kinds, work):
-    kept = [c for c in df.columns if c not in names_and_kinds]
-    rows = df.select(*[df[c] for c in kept])
+def _sliced(at, names, work):
+    """Batches with the columns that ``work`` makes of column ``at``; one slice of a batch is unpacked at a time."""
 
     def run(batches):
         for batch in batches:
-            values = batch.column(kept.index(text_col)).to_pylist()
-            for a, b in slices([len(v or "") for v in values], BATCH_CHARS):
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, b - a).columns, *work(values[a:b])], names=[*kept, *names_and_kinds]
-                )
+            sizes = pc.fill_null(pc.binary_length(batch.column(at).cast("binary")), 0).to_pylist()
+            for a, b in slices(sizes, BATCH_OCTETS):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, *work(part.column(at).to_pylist())], names=names)
+                give_back()
 
+    return run
+
+
+def _mapped(df, text_col, names_and_kinds, work):
+    kept = [c for c in df.columns if c not in names_and_kinds]
+    rows = df.select(*[df[c] for c in kept])
+    run = _sliced(kept.index(text_col), [*kept, *names_and_kinds], work)
     return rows.mapInArrow(run, wider(rows.schema, **names_and_kinds))
 
 

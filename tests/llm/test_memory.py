@@ -1,14 +1,16 @@
-"""What the Python steps of the pipeline hold at once does not grow with the batches that Spark sends."""
+"""What the Python steps of the pipeline and of the codec hold at once does not grow with the batches that Spark sends."""
 
 import tracemalloc
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import types as T
 
-from agoralens.llm import langid, packing, toxicity
+from agoralens.llm import langid, packing, sentencepiece_codec, toxicity
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def test_packing_unpacks_a_slice_of_a_batch_at_a_time(monkeypatch):
@@ -56,3 +58,48 @@ def test_rows_of_a_shard_are_sorted_as_by_their_bytes():
     whole = sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
     plain = lambda found: [(y, f.tolist(), x.tolist()) for y, f, x in found]
     assert plain(langid._in_order(iter(rows))) == plain(whole)
+
+
+class Rows:
+    """Stands for a data frame whose step is wanted, not run."""
+
+    columns = ["doc_id", "text"]
+    schema = T.StructType().add("doc_id", "long").add("text", "string")
+
+    def __getitem__(self, name):
+        return name
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_round_trip_unpacks_a_slice_of_a_batch_at_a_time(spark):
+    texts = [None, "", " é  " * 50 + "z"] + ["harbour light " * 285 + str(i) for i in range(3000)]  # 12 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    run = sentencepiece_codec.round_trip(Rows(), PIECES)
+    list(run(iter([batch.slice(0, 9)])))  # loads the models
+    seen = []
+    tracemalloc.start()
+    for out in run(iter([batch])):
+        same = out.column("decoded").equals(out.column("text").fill_null(""))
+        seen += [(i, same and ok) for i, ok in zip(out.column("doc_id").to_pylist(), out.column("parity").to_pylist())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == [(i, True) for i in range(len(texts))]
+    assert peak < 30e6
+
+
+def test_codec_keeps_words_in_use_and_no_long_ones(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "CACHED_WORDS", 30)
+    codec, encoded = sentencepiece_codec.Codec(PIECES), []
+    encode = codec._encode_words
+    monkeypatch.setattr(codec, "_encode_words", lambda words: encoded.extend(words) or encode(words))
+    texts = [f"to harbour word{i}  other " + "日本語" * 100 for i in range(100)]  # more words than are kept
+    plain = sentencepiece_codec._reference_codec(PIECES).encode(texts)
+    assert [np.frombuffer(codec.encode([t])[0], "<u4").tolist() for t in texts] == plain
+    assert encoded.count("▁harbour") == 1
+    kept = [*codec.cache, *codec.older]
+    assert len(kept) <= 70 and max(map(len, kept)) <= 50
