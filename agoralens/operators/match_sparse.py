@@ -7,27 +7,36 @@ bucket holds the topics with a weight in it; its largest weight bounds what the
    buckets that promise most, they give each opinion a score that its k-th best topic reaches.
 2. An opinion's buckets are ordered by what they can add. Those at the end that together stay below
    that score need not be read: a topic which shares only these is not among the k best.
-3. The other buckets are joined with their lists, frequent buckets in blocks of both sides, and the
-   parts of a score are summed by pair. Pairs that cannot reach the score with the rest go.
-4. The pairs that are left are scored on whole vectors, in blocks of topics.
+3. The other buckets are looked up in their lists, and the parts of a score are summed by pair. Pairs
+   that cannot reach the score with the rest go.
+4. The pairs that are left are scored on whole vectors.
 
-Only sums over buckets (their number is fixed) go to the driver. No pair that counts is dropped:
-the hits are those of comparing all pairs.
+The stored opinions stay where they are: the topics come to their tasks in blocks of bounded size, one
+block and one pass after the other, and 3 and 4 are one step of a task, in tiles of bounded size. No
+pair and no part of a score is shuffled or stored; with more than one block, the few hits of each are.
+
+The driver holds sums over buckets (their number is fixed) and one block of topics at a time. No pair
+that counts is dropped: the hits are those of comparing all pairs.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralens.operators.match import HITS, SCALE, _each, _field, _hash, _unit_entries, entry_slices, merged_hits, ordered_hits
+from agoralens.functions.vectors import CHUNK_BYTES, slices
+from agoralens.operators.match import BLOCK_BYTES, HIT_TYPE, HITS, SCALE, _blocks, _field, _unit_entries, entry_slices, ordered_hits
 from agoralens.session import settled
 
 CHAMPIONS = 32  # of each bucket
 LEADING = 32  # buckets of an opinion whose champions are summed
-LIST_ROWS = 1024  # topics of a bucket in one block of its list
-READERS = 4096  # opinions that read a block of a list
+LIST_ROWS = 1024  # topics in one part of a block's lists
+READERS = 4096  # opinions that read a part of the lists at once
+ENTRY_BYTES = 12
 MARGIN = 10.0 / SCALE
 CHAMPION = "f int, t bigint, w double"
 
@@ -77,6 +86,83 @@ class Lists:
         self.start = np.searchsorted(best["f"].to_numpy(), np.arange(dim + 1))
         _, self.topic = np.unique(best["t"].to_numpy(), return_inverse=True)
         self.weight = best["w"].to_numpy()
+        self.rows = self.topics.count()
+
+    def ranges(self, count):
+        """First and last number of the topics of each block: ``count`` blocks or fewer with about as many postings."""
+        step = max(1, self.rows // (32 * count))
+        sums = self.topics.groupBy(F.expr(f"t div {step}").alias("g")).agg(F.sum(F.size("f")).alias("n"))
+        sums = sums.toPandas().sort_values("g")  # about 32 rows for each block
+        if not len(sums):
+            return []
+        sizes = sums["n"].to_numpy(np.int64)
+        ahead = np.cumsum(sizes) - sizes
+        first = np.unique(ahead * count // sizes.sum(), return_index=True)[1]
+        edges = (sums["g"].to_numpy(np.int64)[first] * step).tolist()
+        return list(zip(edges, [*(e - 1 for e in edges[1:]), (1 << 63) - 1]))
+
+    def sent_block(self, numbers, list_rows=LIST_ROWS):
+        """The topics between two numbers, sent to all tasks."""
+        table = self.topics.filter(F.col("t").between(*numbers)).select("t", "point_id", "topic_id", "f", "w").toArrow()
+        return self.topics.sparkSession.sparkContext.broadcast(ListBlock(table, self.dim, list_rows))
+
+
+class ListBlock:
+    """Some topics in tie order: their vectors, and their inverted lists in parts of ``list_rows`` topics."""
+
+    def __init__(self, table, dim, list_rows=LIST_ROWS):
+        order = sorted(
+            range(table.num_rows),
+            key=lambda i, t=table["topic_id"].to_pylist(), p=table["point_id"].to_pylist(): (t[i] or "", p[i] or ""),
+        )
+        table = table.take(pa.array(order, pa.int64()))
+        self.numbers, self.points, self.topic_ids, f, w = (
+            table[c].combine_chunks() for c in ("t", "point_id", "topic_id", "f", "w")
+        )
+        self.dim, self.sizes = dim, np.diff(f.offsets.to_numpy()).astype(np.int64)
+        self.start = np.append(0, np.cumsum(self.sizes))
+        self.buckets, self.weights = f.flatten().to_numpy(), w.flatten().to_numpy()
+        self.listed = np.bincount(self.buckets, minlength=dim)  # topics in each list
+        self.parts = []
+        for a in range(0, len(self.sizes), list_rows):
+            b = min(a + list_rows, len(self.sizes))
+            own = slice(self.start[a], self.start[b])
+            by_bucket = np.argsort(self.buckets[own], kind="stable")
+            start = np.searchsorted(self.buckets[own][by_bucket], np.arange(dim + 1))
+            topic = np.repeat(np.arange(b - a), self.sizes[a:b])[by_bucket]
+            self.parts.append((a, b - a, start, topic, self.weights[own][by_bucket]))
+
+    def pairs(self, rows, buckets, values, reached, rest):
+        """Rows and topics that share an entry and whose parts of a score reach, with the rest, that of the row."""
+        out = [], []
+        for ahead, width, start, topic, weight in self.parts:
+            entry, at = _runs(start[buckets], start[buckets + 1])
+            cell = rows[entry] * width + topic[at]
+            total = np.bincount(cell, weights=values[entry] * weight[at], minlength=len(reached) * width)
+            met = np.zeros(len(total), bool)
+            met[cell] = True
+            met &= (total.reshape(-1, width) + rest[:, None] >= reached[:, None] - MARGIN).ravel()
+            found = np.flatnonzero(met)
+            out[0].append(found // width)
+            out[1].append(found % width + ahead)
+        return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+
+    def scores(self, vectors, rows, topics):
+        """The whole scores of pairs, in units of the last digit, for dense rows of opinions."""
+        out = [np.zeros(0)]
+        for a, b in slices(5 * self.sizes[topics]):
+            t = topics[a:b]
+            pair, at = _runs(self.start[t], self.start[t + 1])
+            parts = vectors[rows[a:b][pair], self.buckets[at]] * self.weights[at]
+            out.append(np.rint(np.bincount(pair, weights=parts, minlength=b - a) * SCALE))
+        return np.concatenate(out)
+
+
+def _runs(first, last):
+    """The numbers from ``first`` to before ``last`` of each run, one run after the other, with the place of their run."""
+    size = last - first
+    run = np.repeat(np.arange(len(size)), size)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size) + first[run]
 
 
 def _ranks(rows, order):
@@ -123,35 +209,48 @@ def needed_buckets(rows, buckets, values, reached, most):
 
 
 def _asked(sent, k):
-    """Opinions with the score they reach, the buckets to read and the bound of the others."""
+    """Opinions with the score they reach, the buckets to read ahead of the others, their number and the bound of the others."""
 
     def run(batches):
         lists = sent.value
         champions = 8 * LEADING * int(np.diff(lists[0]).max(initial=0))
         for batch in (part for whole in batches for part in entry_slices(whole, "f", row=champions)):
-            f, w = batch.column("f"), batch.column("w")
-            sizes = np.where(f.is_valid(), np.diff(f.offsets.to_numpy()), 0)
-            rows = np.repeat(np.arange(batch.num_rows), sizes)
-            buckets, values = f.flatten().to_numpy().astype(np.int64), w.flatten().to_numpy()
+            rows, buckets, values = _flat(batch)
             reached = reached_scores(rows, buckets, values, batch.num_rows, lists, k)
             need, rest = needed_buckets(rows, buckets, values, reached, lists[3])
-            offsets = pa.array(np.append(0, np.cumsum(np.bincount(rows[need], minlength=batch.num_rows))).astype(np.int32))
-            read = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (buckets[need].astype(np.int32), values[need])]
+            order = np.lexsort((~need, rows))
+            known = batch.column("f").is_valid()
+            offsets = pa.array(np.append(0, np.cumsum(np.bincount(rows, minlength=batch.num_rows))).astype(np.int32))
+            vector = [
+                pa.ListArray.from_arrays(offsets, pa.array(x[order]), mask=pc.invert(known))
+                for x in (buckets.astype(np.int32), values)
+            ]
+            names = [n for n in batch.schema.names if n not in ("f", "w")]
+            count = np.bincount(rows[need], minlength=batch.num_rows).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *read, pa.array(reached), pa.array(rest)],
-                names=[*batch.schema.names, "rf", "rw", "reached", "rest"],
+                [*[batch.column(n) for n in names], *vector, pa.array(count), pa.array(reached), pa.array(rest)],
+                names=[*names, "f", "w", "need", "reached", "rest"],
             )
 
     return run
 
 
+def _flat(batch):
+    """Row, bucket and weight of each entry of the unit vectors of a batch."""
+    f, w = batch.column("f"), batch.column("w")
+    sizes = np.where(f.is_valid(), np.diff(f.offsets.to_numpy()), 0)
+    return np.repeat(np.arange(batch.num_rows), sizes), f.flatten().to_numpy().astype(np.int64), w.flatten().to_numpy()
+
+
 def asked_rows(opinions: DataFrame, lists: Lists, k: int, names) -> DataFrame:
-    """The stored opinions with what step 1 and 2 say of them and a row number ``o``."""
+    """The stored opinions with what step 1 and 2 say of them and a row number ``o``.
+
+    The first ``need`` entries of ``f`` and ``w`` must be read; vectors are stored once.
+    """
     sent = opinions.sparkSession.sparkContext.broadcast((lists.start, lists.topic, lists.weight, lists.most))
     kinds = [
         *_unit_fields(opinions, names),
-        _field("rf", "array<int>"),
-        _field("rw", "array<double>"),
+        _field("need", "int"),
         _field("reached", "double"),
         _field("rest", "double"),
     ]
@@ -161,92 +260,89 @@ def asked_rows(opinions: DataFrame, lists: Lists, k: int, names) -> DataFrame:
     return settled(rows.withColumn("o", F.monotonically_increasing_id()), "match-asked")
 
 
-def _cut(sizes, rows):
-    return np.maximum(1, -(-sizes // rows))
+def _visits(batches, block, readers):
+    """Slices of batches whose sums are of bounded size: the slice, its entries, and its candidates in the block."""
+    for batch in (part for whole in batches for part in entry_slices(whole, "f")):
+        rows, buckets, values = _flat(batch)
+        need, reached, rest = (batch.column(c).to_numpy() for c in ("need", "reached", "rest"))
+        first = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+        read = np.arange(len(rows)) - first[rows] < need[rows]
+        cost = 5 * np.bincount(rows[read], weights=block.listed[buckets[read]], minlength=batch.num_rows)
+        cost += 4 * max((width for _, width, *_ in block.parts), default=0) + block.dim
+        for a, b in slices(np.maximum(cost, CHUNK_BYTES // 8 / readers)):
+            own = slice(first[a], first[b])
+            entries = rows[own] - a, buckets[own], values[own]
+            asked = (x[read[own]] for x in entries)
+            yield batch.slice(a, b - a), entries, *block.pairs(*asked, reached[a:b], rest[a:b])
+
+
+def _pairs_of(asked, sent, number, readers=READERS):
+    """``(o, block, t)``: the pairs of a block of topics that can be among the k best."""
+
+    def run(batches):
+        block = sent.value
+        for batch, _, rows, topics in _visits(batches, block, readers):
+            o, t = batch.column("o").take(pa.array(rows)), block.numbers.take(pa.array(topics))
+            yield pa.RecordBatch.from_arrays([o, pa.array(np.full(len(rows), number, np.int32)), t], names=["o", "block", "t"])
+
+    return asked.select("o", "f", "w", "need", "reached", "rest").mapInArrow(run, "o bigint, block int, t bigint")
 
 
 def candidate_pairs(asked: DataFrame, lists: Lists, topic_blocks: int, list_rows=LIST_ROWS, readers=READERS) -> DataFrame:
     """``(o, block, t)``: the pairs that can be among the k best, ``block`` the block of the topic."""
-    read = asked.select("o", "reached", "rest", F.inline(F.arrays_zip(F.col("rf").alias("f"), F.col("rw").alias("x"))))
-    counts = read.groupBy("f").agg(F.count("*").alias("n")).toPandas()  # a row for each bucket
-    found = np.zeros(lists.dim, np.int64)
-    found[counts["f"]] = counts["n"]
-    used = np.flatnonzero((found > 0) & (lists.size > 0))
-    parts, chunks = _cut(lists.size[used], list_rows), _cut(found[used], readers)
-    sizes = asked.sparkSession.createDataFrame(
-        list(zip(used.tolist(), parts.tolist(), chunks.tolist())), "f int, parts int, chunks int"
-    )
-    sizes = F.broadcast(sizes)  # a row for each bucket
-    left = read.join(sizes, "f").select(
-        "*", F.pmod(F.xxhash64("o"), F.col("chunks")).cast("int").alias("chunk"), _each(F.col("parts")).alias("part")
-    )
-    right = lists.postings.join(sizes, "f").select(
-        "f",
-        "t",
-        "w",
-        F.pmod(F.xxhash64("t"), F.col("parts")).cast("int").alias("part"),
-        _each(F.col("chunks")).alias("chunk"),
-    )
-    met = left.join(right, ["f", "part", "chunk"]).select(
-        "o", "t", _hash("t", topic_blocks).alias("block"), "reached", "rest", (F.col("x") * F.col("w")).alias("part_score")
-    )
-    # Dealt by opinion and block once: the sum by pair and the lists of the blocks need no other shuffle.
-    summed = met.repartition("o", "block").groupBy("o", "block", "t").agg(
-        F.sum("part_score").alias("s"), F.max("reached").alias("reached"), F.max("rest").alias("rest")
-    )
-    return summed.filter(F.col("s") + F.col("rest") >= F.col("reached") - MARGIN).select("o", "block", "t")
-
-
-def _rows(table, columns, step=256):
-    """The rows of a table as Python values, made a few at a time."""
-    for start in range(0, table.num_rows, step):
-        part = table.slice(start, step)
-        yield from zip(*(part[c].to_pylist() for c in columns))
-
-
-def _score_block(dim, k):
-    """The k best of the candidates of each opinion in a block of topics."""
-
-    def run(asked, topics):
-        order = sorted(
-            range(topics.num_rows),
-            key=lambda i, t=topics["topic_id"].to_pylist(), p=topics["point_id"].to_pylist(): (t[i] or "", p[i]),
-        )
-        topics = topics.take(pa.array(order, pa.int64()))
-        f, w = (topics[c].combine_chunks() for c in ("f", "w"))
-        start = f.offsets.to_numpy()
-        buckets, weights = f.flatten().to_numpy(), w.flatten().to_numpy()
-        start = start - start[0]
-        numbers = topics["t"].to_numpy()
-        by_number = np.argsort(numbers)
-        out = [[], [], []]
-        for o, ts, of, ow in _rows(asked, ("o", "ts", "f", "w")):
-            x = np.zeros(dim)
-            x[of] = ow
-            at = np.sort(by_number[np.searchsorted(numbers, ts, sorter=by_number)])
-            size = start[at + 1] - start[at]
-            entry = np.repeat(np.arange(len(at)), size)
-            flat = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size) + start[at][entry]
-            score = np.rint(np.bincount(entry, weights=x[buckets[flat]] * weights[flat], minlength=len(at)) * SCALE)
-            best = np.lexsort((at, -score))[:k]
-            out[0] += [o] * len(best)
-            out[1] += at[best].tolist()
-            out[2] += (score[best] / SCALE).tolist()
-        at = pa.array(out[1], pa.int64())
-        return pa.table(
-            {
-                "opinion_id": pa.array(out[0], pa.int64()),
-                "point_id": topics["point_id"].take(at),
-                "topic_id": topics["topic_id"].take(at),
-                "score": pa.array(out[2], pa.float64()),
-            }
-        )
+    parts = [
+        _pairs_of(asked, lists.sent_block(numbers, list_rows), i, readers)
+        for i, numbers in enumerate(lists.ranges(topic_blocks))
+    ]
+    if not parts:
+        return asked.select("o", F.lit(0).alias("block"), F.col("o").alias("t")).limit(0)
+    return reduce(DataFrame.unionAll, parts)
 
-    return run
 
+def _hits_of(asked, sent, k, names, readers):
+    """The columns ``names`` and ``found``: the k best candidates in a block of topics, null without a vector."""
 
-def _topic_blocks(lists, topic_rows):
-    return max(1, -(-lists.topics.count() // topic_rows))
+    def run(batches):
+        block = sent.value
+        for batch, (at, buckets, values), rows, topics in _visits(batches, block, readers):
+            vectors = np.zeros((batch.num_rows, block.dim))
+            vectors[at, buckets] = values
+            score = block.scores(vectors, rows, topics)
+            order = np.lexsort((topics, -score, rows))
+            best = order[_ranks(rows, order)[order] < k]
+            j = pa.array(topics[best])
+            hit = pa.StructArray.from_arrays(
+                [block.points.take(j), block.topic_ids.take(j), pa.array(score[best] / SCALE)],
+                fields=list(HIT_TYPE.value_type),
+            )
+            offsets = np.append(0, np.cumsum(np.bincount(rows[best], minlength=batch.num_rows)))
+            known = batch.column("f").is_valid()
+            found = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), hit, type=HIT_TYPE, mask=pc.invert(known))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], found], names=[*names, "found"])
+
+    columns = dict.fromkeys([*names, "f", "w", "need", "reached", "rest"])
+    kinds = T.StructType([*[asked.schema[n] for n in names], _field("found", HITS)])
+    return asked.select(*columns).mapInArrow(run, kinds)
+
+
+def _found(asked, lists, k, names, topic_rows, readers):
+    """The columns ``names`` and ``found``, the k best candidates in all blocks of topics, null without a vector."""
+    ranges = lists.ranges(_blocks(lists.rows, topic_rows))
+    if len(ranges) == 1:
+        return _hits_of(asked, lists.sent_block(ranges[0]), k, names, readers)
+    none = F.when(F.col("f").isNotNull(), F.array().cast(HITS))
+    parts = []
+    for numbers in ranges:
+        sent = lists.sent_block(numbers)
+        # Stored, so that the tasks need one block at a time.
+        parts.append(settled(_hits_of(asked, sent, k, ["o"], readers).filter(F.size("found") > 0), "match-hits"))
+        sent.destroy()
+    if not parts:
+        return asked.select(*names, none.alias("found"))
+    best = reduce(DataFrame.unionAll, parts).groupBy("o").agg(F.flatten(F.collect_list("found")).alias("all"))
+    best = best.select("o", ordered_hits(F.col("all"), k).alias("best"))
+    rows = asked.select(*names, "o", none.alias("none")).join(best, "o", "left")
+    return rows.select(*names, F.coalesce("best", "none").cast(HITS).alias("found"))
 
 
 def listed_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows) -> DataFrame:
@@ -259,28 +355,16 @@ def listed_hits(opinions, topics, k, keep, dim, topic_rows, opinion_rows) -> Dat
     asked = asked_rows(opinions, lists, k, names)
     if any((df.agg(F.min(F.array_min("w"))).first()[0] or 0) < 0 for df in (lists.topics, asked)):
         return None
-    blocks = _topic_blocks(lists, topic_rows)
-    chunks = max(1, -(-asked.count() // opinion_rows))
-    pairs = candidate_pairs(asked, lists, blocks).groupBy("o", "block").agg(F.collect_list("t").alias("ts"))
-    visits = pairs.join(asked.select("o", "f", "w"), "o").withColumn("chunk", _hash("o", chunks))
-    placed = lists.topics.withColumns({"block": _hash("t", blocks), "chunk": _each(F.lit(chunks))})
-    scored = (
-        visits.groupBy("block", "chunk")
-        .cogroup(placed.groupBy("block", "chunk"))
-        .applyInArrow(_score_block(dim, k), "opinion_id bigint, point_id string, topic_id string, score double")
-    )
+    rows = _found(asked, lists, k, names, topic_rows, opinion_rows)
     # Where fewer than k topics share a bucket, the first ones in tie order follow with no score.
     first = lists.topics.orderBy(F.coalesce("topic_id", F.lit("")), "point_id").limit(k)
     first = [(r["point_id"], r["topic_id"], 0.0) for r in first.select("point_id", "topic_id").collect()]
     none = F.lit(None).cast(HITS)
     if first:
         none = F.array(*[F.struct(F.lit(p).alias("point_id"), F.lit(t).alias("topic_id"), F.lit(s).alias("score")) for p, t, s in first])
-    best = merged_hits(scored, k).select(F.col("opinion_id").alias("o"), F.col("hits").alias("found"))
-    rows = asked.select(*names, "o", F.col("f").isNotNull().alias("known")).join(best, "o", "left")
-    found = F.coalesce("found", F.array().cast(HITS))
-    others = F.filter(none, lambda h: ~F.exists(found, lambda x: x["point_id"] == h["point_id"]))
-    filled = ordered_hits(F.concat(found, others.cast(HITS)), k)
-    hits = F.when(F.size(found) >= k, found).when(F.col("known"), filled)
+    others = F.filter(none, lambda h: ~F.exists("found", lambda x: x["point_id"] == h["point_id"]))
+    filled = ordered_hits(F.concat("found", others.cast(HITS)), k)
+    hits = F.when(F.size("found") >= k, F.col("found")).when(F.col("found").isNotNull(), filled)
     return rows.select(*names, hits.cast(HITS).alias("hits"))
 
 
@@ -292,13 +376,13 @@ def pair_report(opinions: DataFrame, topics: DataFrame, k: int, dim: int) -> Dat
     known = asked.filter("f is not null")
     sizes = [(b, int(n)) for b, n in enumerate(lists.size)]
     sizes = F.broadcast(opinions.sparkSession.createDataFrame(sizes, "f int, n long"))
-
-    def entries(column):
-        return known.select(F.explode(column).alias("f")).join(sizes, "f").agg(F.coalesce(F.sum("n"), F.lit(0)))
-
-    scored = candidate_pairs(asked, lists, 1).agg(F.count("*"))
-    pairs = known.count() * lists.topics.count()
-    out = opinions.sparkSession.createDataFrame([(pairs,)], "pairs long")
-    return out.withColumns(
-        {"entries": entries("f").scalar(), "entries_read": entries("rf").scalar(), "pairs_scored": scored.scalar()}
-    )
+    met = known.select("need", F.posexplode("f").alias("place", "f")).join(sizes, "f")
+    read = F.when(F.col("place") < F.col("need"), F.col("n"))
+    entries = met.agg(*[F.coalesce(F.sum(n), F.lit(0)) for n in ("n", read)]).first()
+    scored = 0
+    for i, numbers in enumerate(lists.ranges(_blocks(int(lists.size.sum()) * ENTRY_BYTES, BLOCK_BYTES))):
+        sent = lists.sent_block(numbers)
+        scored += _pairs_of(asked, sent, i).count()
+        sent.destroy()
+    counts = (known.count() * lists.rows, *entries, scored)
+    return opinions.sparkSession.createDataFrame([counts], "pairs long, entries long, entries_read long, pairs_scored long")

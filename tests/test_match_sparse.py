@@ -1,3 +1,4 @@
+import re
 import tracemalloc
 
 import numpy as np
@@ -240,3 +241,51 @@ def test_a_task_has_one_python_worker(spark, tmp_path, monkeypatch, name):
     steps = dict(steps)
     assert steps.get("match-asked", 1) == steps.get("hits", 1) == steps["text-opinions"] == 1
     assert "match-asked" in steps or "hits" in steps
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_not_shuffled_and_vectors_are_stored_once(spark):
+    left, right = frames(spark, skewed(np.random.default_rng(3), 40), skewed(np.random.default_rng(4), 30))
+    lists = match_sparse.Lists(right, DIM)
+    asked = match_sparse.asked_rows(left, lists, 2, ["opinion_id"])
+    assert [c for c, kind in asked.dtypes if kind.startswith("array")] == ["f", "w"]
+    for blocks in (1, 3):
+        pairs = match_sparse.candidate_pairs(asked, lists, blocks)
+        assert not {"Exchange", "Join", "Sort"} & set(re.findall("Exchange|Join|Sort", plan_of(pairs)))
+        assert pairs.count() > 40 and pairs.select("block").distinct().count() == blocks
+
+
+def test_pair_counts_do_not_depend_on_the_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    opinions, topics = skewed(rng, 60), skewed(rng, 90)
+    opinions[3], topics[5], topics[6] = None, np.zeros(DIM), topics[7]
+    left, right = frames(spark, opinions, topics)
+    left = left.unionAll(left.limit(5))
+    whole = match_sparse.pair_report(left, right, 3, DIM).first()
+    monkeypatch.setattr(match_sparse, "BLOCK_BYTES", 1500)
+    sent = []
+    real = match_sparse.Lists.sent_block
+    monkeypatch.setattr(match_sparse.Lists, "sent_block", lambda *a: (sent.append(a[1]), real(*a))[1])
+    assert match_sparse.pair_report(left, right, 3, DIM).first() == whole
+    assert len(sent) > 3 and all(a[1] + 1 == b[0] for a, b in zip(sent, sent[1:]))
+    some = [x for x in topics if np.any(x)]
+    held = np.array([sum(x[b] > 0 for x in some) for b in range(DIM)])
+    asked = [x for x in [*opinions, *opinions[:5]] if x is not None]
+    assert whole["pairs"] == len(asked) * 89 and whole["entries"] == sum(held[x > 0].sum() for x in asked)
+    assert 0 < whole["entries_read"] <= whole["entries"] and 0 < whole["pairs_scored"] <= whole["pairs"]
+
+
+def test_memory_does_not_grow_with_the_postings_that_opinions_read():
+    rng = np.random.default_rng(15)
+    names, right, left = pa.array([f"{i:03}" for i in range(150)]), wide(rng, 150, 40), wide(rng, 6000, 40)
+    topics = pa.table({"t": pa.array(np.arange(150)), "point_id": names, "topic_id": names, "f": right.field(0), "w": right.field(1)})
+    block = match_sparse.ListBlock(topics, 40, 64)
+    zero = pa.array(np.zeros(6000))
+    need = pa.array(np.full(6000, 40, np.int32))
+    batch = pa.RecordBatch.from_arrays([left.field(0), left.field(1), need, zero, zero], names=["f", "w", "need", "reached", "rest"])
+    found = []
+    assert peak_mb(lambda: found.extend(len(x[2]) for x in match_sparse._visits([batch], block, 4096))) < 100  # 36 million products
+    assert sum(found) == 6000 * 150
