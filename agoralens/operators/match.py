@@ -399,7 +399,8 @@ def topic_hits(
     opinion visits only so many of them and may miss hits. Blocks of ``topic_rows``
     topics and ``opinion_rows`` opinions hold 16 MiB of vectors unless told otherwise: the
     larger the blocks, the fewer copies of either side are shuffled, so smaller ones grow up to that
-    size where a side of dense vectors would be copied more than 16 times. ``dim`` is needed for
+    size where a side of dense vectors would be copied more than 16 times. ``lists`` shuffles neither
+    side: its blocks of topics are sent to all tasks one after the other. ``dim`` is needed for
     sparse vectors, which ``cells`` does not take.
     """
     opinions = opinions.withColumn("opinion_id", F.col("opinion_id").cast("string"))

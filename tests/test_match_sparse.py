@@ -289,3 +289,45 @@ def test_memory_does_not_grow_with_the_postings_that_opinions_read():
     found = []
     assert peak_mb(lambda: found.extend(len(x[2]) for x in match_sparse._visits([batch], block, 4096))) < 100  # 36 million products
     assert sum(found) == 6000 * 150
+
+
+def test_hits_of_one_block_are_made_without_a_shuffle(spark):
+    rng = np.random.default_rng(16)
+    opinions, topics = skewed(rng, 40), skewed(rng, 30)
+    left, right = frames(spark, opinions, topics)
+    got = match.topic_hits(left, right, k=3, dim=DIM, plan="lists", keep=("extra",))
+    assert not re.findall("Exchange|Join|Sort|CoGroups", plan_of(got))
+    agree(hits_of(got), brute(opinions, topics, [f"t{i:03}" for i in range(30)], 3))
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_blocks_of_topics_store_the_k_best(spark, monkeypatch, block):
+    rng = np.random.default_rng(17)
+    opinions, topics = skewed(rng, 30), skewed(rng, 14)
+    opinions[2], topics[3], topics[8], topics[11] = None, np.zeros(DIM), topics[1], topics[1] * 2
+    ids = [None if i in (1, 5) else f"t{i % 4}" for i in range(14)]
+    left, right = frames(spark, opinions, topics, ids)
+    stored, sent = [], []
+    real = match_sparse.settled
+    monkeypatch.setattr(match_sparse, "settled", lambda df, name: (out := real(df, name), stored.append((name, out)))[0])
+    kept = match_sparse.Lists.sent_block
+    monkeypatch.setattr(match_sparse.Lists, "sent_block", lambda *a: (out := kept(*a), sent.append(out))[0])
+    got = match.topic_hits(left, right, k=2, dim=DIM, plan="lists", topic_rows=block)
+    want = brute(opinions, topics, [x or "" for x in ids], 2)
+    got = {o: hits and [(p, t or "", s) for p, t, s in hits] for o, hits in hits_of(got).items()}
+    agree(got, want)
+    hits = [df for name, df in stored if name == "match-hits"]
+    assert len(hits) == (0 if block == 1000 else len(sent)) and len(sent) == (1 if block == 1000 else -(-13 // block))
+    assert all(df.columns == ["o", "found"] and df.filter("size(found) > 2").isEmpty() for df in hits)
+
+
+def test_text_match_lists_gives_the_rows_of_text_match_topk_without_a_shuffle(spark, tmp_path):
+    docs = [(i, f"wort{i % 7} und {'x' * (i % 5 + 1)} wort{i % 4}" if i % 6 else None, "de", f"s{i % 3}") for i in range(40)]
+    docs += docs[:4] + [(None, "und wort1", None, None)]
+    items = [(i, f"wort{i} {'x' * i}" if i else None) for i in range(12)] + [(3, "wort3 xxx")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got, want = match_queries.text_match_lists(spark, str(tmp_path)), match_queries.text_match_topk(spark, str(tmp_path))
+    assert not re.findall("Exchange|Join|Sort|CoGroups", plan_of(got))
+    rows = [sorted((r["opinion_id"] or "", r["rank"], r["topic_id"], round(r["score"], 8)) for r in df.collect()) for df in (got, want)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
